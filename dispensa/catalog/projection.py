@@ -192,6 +192,15 @@ def _long_means_sql(prefix: str) -> str:
     )
 
 
+def _panel_groups(job: pj.Projection) -> DataFrame:
+    return job.means().where(F.col("onPanel") == 1)
+
+
+def _long_means(job: pj.Projection, prefix: str) -> DataFrame:
+    means = job.means() if prefix == "Unvrs" else _panel_groups(job)
+    return means.select(*_STRATUM, "Level", "Value", F.col(f"{prefix}Units").alias("Units"))
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -214,11 +223,11 @@ def _level_queries() -> dict[str, Query]:
     out = {}
     for lv in ALL_LEVELS:
         out[f"level_means_universe_{lv.lower()}"] = Query(
-            _stage(lambda j, lv=lv: one_level(j.universe_means(), lv, f"UnvrsWx{lv}Units")),
+            _stage(lambda j, lv=lv: one_level(j.means(), lv, "UnvrsUnits", f"UnvrsWx{lv}Units")),
             oracle(f"select PdID, Region, TSC, Chain, {lv}, u as UnvrsWx{lv}Units from um_{lv}"),
         )
         out[f"level_means_panel_{lv.lower()}"] = Query(
-            _stage(lambda j, lv=lv: one_level(j.panel_means(), lv, f"PanelWx{lv}Units")),
+            _stage(lambda j, lv=lv: one_level(_panel_groups(j), lv, "PanelUnits", f"PanelWx{lv}Units")),
             oracle(f"select PdID, Region, TSC, Chain, {lv}, u as PanelWx{lv}Units from pm_{lv}"),
         )
     return out
@@ -230,8 +239,8 @@ QUERIES: dict[str, Query] = {
     "period_index": Query(_period_index, oracle("select * from numbered")),
     "period_window": Query(_period_window, oracle("select * from pd")),
     "shop_region": Query(_stage(lambda j: j.shop_base()), oracle("select * from base")),
-    "shop_turnover": Query(_stage(lambda j: j.turnover()), oracle("select * from turnover")),
-    "orphan_shops": Query(_stage(lambda j: j.orphan_shops()), oracle("select * from lone_shops")),
+    "shop_turnover": Query(_stage(lambda j: pj.prior_year_turnover(j.shop_sales())), oracle("select * from turnover")),
+    "orphan_shops": Query(_stage(lambda j: pj.orphan_shops(j.shop_sales())), oracle("select * from lone_shops")),
     "shop_universe": Query(_stage(lambda j: j.shop_universe()), oracle("select * from shop_units")),
     "group_median": Query(_stage(lambda j: j.median()), oracle("select * from medians")),
     "impute_median": Query(_stage(lambda j: j.imputed()), oracle("select * from filled")),
@@ -250,10 +259,10 @@ QUERIES: dict[str, Query] = {
     "universe": Query(_stage(lambda j: j.universe()), oracle("select * from unvrs")),
     "panel": Query(_stage(lambda j: j.panel()), oracle("select * from panel")),
     "universe_base": Query(_stage(lambda j: j.universe_base()), oracle("select * from unvrs_base")),
-    "level_means_universe": Query(_stage(lambda j: j.universe_means()), oracle(_long_means_sql("um"))),
+    "level_means_universe": Query(_stage(lambda j: _long_means(j, "Unvrs")), oracle(_long_means_sql("um"))),
     "universe_levels": Query(_stage(lambda j: j.universe_levels()), oracle("select * from unvrs_levels")),
     "panel_base": Query(_stage(lambda j: j.panel_base()), oracle("select * from panel_base")),
-    "level_means_panel": Query(_stage(lambda j: j.panel_means()), oracle(_long_means_sql("pm"))),
+    "level_means_panel": Query(_stage(lambda j: _long_means(j, "Panel")), oracle(_long_means_sql("pm"))),
     "panel_levels": Query(_stage(lambda j: j.panel_levels()), oracle("select * from panel_levels")),
     "potential": Query(_stage(lambda j: j.potential()), oracle("select * from potential")),
     "orphan_packs": Query(_stage(lambda j: j.orphans()), oracle("select * from orphans")),

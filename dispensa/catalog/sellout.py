@@ -1 +1,129 @@
-QUERIES = {}
+"""Sell-out queries. The SQL joins every fact row to the dimensions and aggregates once."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dispensa.catalog import Query
+from dispensa.plans import sellout as so
+from dispensa.sources.standins import standin, standin_sql
+from dispensa.sources.staging import Staging
+
+PHARMACY, PERIOD, MARKET = "0000001", "0003", "ILAC"
+
+
+def _numbers(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, so that both engines print them alike."""
+    return df.withColumns({c: F.col(c).cast("double") for c, t in df.dtypes if t.startswith("decimal")})
+
+
+def _accounts(spark: SparkSession, folder: str) -> DataFrame:
+    return so.account_regions(*[standin(spark, folder, n) for n in ("account", "shops_raw", "brick_region", "region_name")])
+
+
+def _market(spark: SparkSession, folder: str, market: so.Market) -> DataFrame:
+    t = {n: standin(spark, folder, n) for n in ("month_src", "price_list", "atc_names")}
+    return so.market_sellout(t["month_src"], market, t["price_list"], _accounts(spark, folder), t["atc_names"])
+
+
+def mart(spark: SparkSession, folder: str, period: str | None = None) -> DataFrame:
+    t = {n: standin(spark, folder, n) for n in ("month_src", "price_list", "atc_names")}
+    return so.sellout_mart(t["month_src"], t["price_list"], _accounts(spark, folder), t["atc_names"], period)
+
+
+def _union(spark: SparkSession, folder: str) -> DataFrame:
+    facts = standin(spark, folder, "month_src")
+    drug, other = (
+        so.require_not_null(so.union_sources(facts, m), so.FACT_COLUMNS).withColumn("market", F.lit(m.label))
+        for m in (so.DRUG, so.NON_DRUG)
+    )
+    return _numbers(drug.unionByName(other))
+
+
+def _published(spark: SparkSession, folder: str) -> DataFrame:
+    path = Staging(spark).root + "/mart"
+    so.publish_mart(mart(spark, folder), path)
+    return so.read_mart(spark, path)
+
+
+def _violations(spark: SparkSession, folder: str) -> DataFrame:
+    return so.not_null_violations(mart(spark, folder), ["AccountName", "Urun", "TL", "Kategori1", "Bolge", "OldCode"])
+
+
+def _top(spark: SparkSession, folder: str) -> DataFrame:
+    periods = standin(spark, folder, "report_period")
+    return so.top_products(mart(spark, folder, PERIOD), periods, PHARMACY, PERIOD, MARKET)
+
+
+def _top_all(spark: SparkSession, folder: str) -> DataFrame:
+    return so.top_products_all(mart(spark, folder), standin(spark, folder, "report_period"))
+
+
+# --- the oracle ------------------------------------------------------------------------------
+
+_INPUTS = (
+    "month_src", "price_list", "account", "atc_names", "shops_raw", "brick_region", "region_name", "report_period",
+)
+
+
+def _market_sql(sources: str, label: str, price: str, names: str) -> str:
+    cats = names.split()
+    shown = ", ".join(f"{c} as Kategori{i}" for i, c in enumerate(cats, 1))
+    keys = ", ".join(c for c in cats if c != "''")
+    return f"""select '20' || s.period[1:2] as YIL, s.period as DONEM, s.whs as EczaneKod, account_name as AccountName,
+        s.pfc as UrunKod, new_name as Urun, cast(sum(pr_unit + pr_bonus) as int) as KUTU,
+        cast(round(sum((pr_unit + pr_bonus) * {price}), 0) as int) as TL, '{label}' as PazarTipi, {shown},
+        who_atc as Kategori5, cast(1 as smallint) as Goster, bolge as Bolge, universe_code as UniverseCode
+        from month_src s left join (select period, prd_cd, new_name, prod_flag, who_atc, pub_price as list_price, isf
+                                    from price_list) l on l.prd_cd = s.pfc and l.period = s.period
+        left join account on account_code = s.whs left join atc_names n on n.pfc = s.pfc
+        left join shops_raw on imscode = universe_code left join brick_region on brick1 = brick
+        left join region_name on brickcode = tcode
+        where source in ({sources})
+        group by s.period, s.whs, s.pfc, account_name, new_name, prod_flag, who_atc, bolge, universe_code, {keys}"""
+
+
+def _oracle(final: str) -> str:
+    ctes = {n: standin_sql(n) for n in _INPUTS}
+    ctes["drug"] = _market_sql("'T', 'R'", "ILAC", "list_price", "atc1 atc2 atc3 atc4")
+    ctes["other"] = _market_sql("'P', 'RP'", "ILAC DISI", "isf", "nfc1 nfc2 nfc3 ''")
+    ctes["mart"] = "select *, cast(null as varchar) as OldCode from (select * from drug union all select * from other)"
+    ctes["ranked"] = """select UniverseCode, PazarTipi, coalesce(Urun, '') as URUN, coalesce(sum(TL), 0) as TL,
+        coalesce(sum(KUTU), 0) as KUTU, DONEM as Donem, AccountName as Eczane,
+        row_number() over (partition by UniverseCode, DONEM, PazarTipi
+                           order by sum(TL) desc nulls last, Urun nulls first, AccountName nulls first) as RowNo
+        from mart join report_period on period = DONEM
+        where Goster = 1 and is_active = 1 and UniverseCode is not null
+        group by UniverseCode, PazarTipi, Urun, DONEM, AccountName"""
+    body = ",\n".join(f"{n} as ({t})" for n, t in ctes.items())
+    return f"with {body}\n{final}"
+
+
+_UNION_SQL = f"""select period, {', '.join(so.FACT_COLUMNS)}, 0::double as tpt_price,
+    case when source in ('T', 'R') then 'ILAC' else 'ILAC DISI' end as market from month_src"""
+
+_RANKED = "cast(TL as bigint) as TL, cast(KUTU as bigint) as KUTU, Donem, Eczane, RowNo, URUN"
+
+QUERIES: dict[str, Query] = {
+    "sellout_union": Query(_union, _oracle(_UNION_SQL)),
+    "sellout_drug": Query(lambda s, d: _market(s, d, so.DRUG), _oracle("select * from drug")),
+    "sellout_nondrug": Query(lambda s, d: _market(s, d, so.NON_DRUG), _oracle("select * from other")),
+    "sellout_mart": Query(_published, _oracle("select * from mart")),
+    "not_null_violations": Query(
+        _violations,
+        _oracle(
+            "select "
+            + ", ".join(f"count(*) - count({c}) as {c}" for c in ("AccountName", "Urun", "TL", "Kategori1", "Bolge", "OldCode"))
+            + " from mart"
+        ),
+    ),
+    "top_products": Query(
+        _top,
+        _oracle(
+            f"select {_RANKED} from ranked where UniverseCode = '{PHARMACY}' and Donem = '{PERIOD}' "
+            f"and PazarTipi = '{MARKET}' and RowNo <= 50"
+        ),
+    ),
+    "top_products_all": Query(_top_all, _oracle(f"select UniverseCode, PazarTipi, {_RANKED} from ranked where RowNo <= 50")),
+}

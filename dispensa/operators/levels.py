@@ -7,6 +7,7 @@ neither the eightfold level expansion nor the joins see a row per shop.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,23 +21,26 @@ LEVELS = ("Brand", "ATC4", "ATC3", "ATC2", "ATC1", "Basket", "Rx")
 ALL_LEVELS = ("Class", *LEVELS)
 
 
-def level_means(rows: DataFrame, months: DataFrame) -> DataFrame:
-    """Long table (stratum, Level, Value, Units): the summed units divided by the months, truncated.
+def level_means(cells: DataFrame, months: DataFrame, units: Sequence[str]) -> DataFrame:
+    """Long table (stratum, Level, Value, *units): summed units divided by the months, truncated.
 
-    ``rows`` has a stratum, the eight level columns and Units; ``months`` is one row (MthsAvg).
-    Null values of a level form a group, which no equality join finds later.
+    ``cells`` has a stratum, the eight level columns, the ``units`` columns and onPanel;
+    ``months`` is one row (MthsAvg). Null values of a level form a group, which no equality join
+    finds later. onPanel is 1 where some cell of the group has it.
     """
-    long = rows.unpivot([*STRATUM, "Units"], list(ALL_LEVELS), "Level", "Value")
-    sums = long.groupBy(*STRATUM, "Level", "Value").agg(F.sum("Units").alias("Units"))
+    long = cells.unpivot([*STRATUM, "onPanel", *units], list(ALL_LEVELS), "Level", "Value")
+    sums = long.groupBy(*STRATUM, "Level", "Value").agg(
+        F.max("onPanel").alias("onPanel"), *[F.sum(u).alias(u) for u in units]
+    )
     return sums.crossJoin(F.broadcast(months)).select(
-        *STRATUM, "Level", "Value", int_div(F.col("Units"), F.col("MthsAvg")).alias("Units")
+        *STRATUM, "Level", "Value", "onPanel", *[int_div(F.col(u), F.col("MthsAvg")).alias(u) for u in units]
     )
 
 
-def one_level(means: DataFrame, level: str, into: str) -> DataFrame:
+def one_level(means: DataFrame, level: str, units: str, into: str) -> DataFrame:
     """The means of one level as a table of its own."""
     return means.where(F.col("Level") == level).select(
-        *STRATUM, F.col("Value").alias(level), F.col("Units").alias(into)
+        *STRATUM, F.col("Value").alias(level), F.col(units).alias(into)
     )
 
 
@@ -56,19 +60,24 @@ def join_level(rows: DataFrame, means: DataFrame, level: str, level_column: str,
     return joined.drop(*[f"_{k}" for k in STRATUM], "_Value")
 
 
-def attach_levels(rows: DataFrame, means: DataFrame, prefix: str, fix_class_key: bool = False) -> DataFrame:
-    """Add the eight columns ``<prefix>Wx<level>Units`` to rows of one (stratum, pack).
+def attach_levels(
+    cells: DataFrame, means: DataFrame, units: Mapping[str, str], fix_class_key: bool = False
+) -> DataFrame:
+    """Add eight columns ``<prefix>Wx<level>Units`` per entry of ``units`` (prefix -> column of means).
 
     The class mean is looked up by Brand, as the published rule has it, unless ``fix_class_key``.
     The class column then takes the mean of the first level whose value equals the class.
     """
-    out = join_level(rows, means, "Class", "Class" if fix_class_key else "Brand", Units="_own")
+    own = {column: f"_own{prefix}" for prefix, column in units.items()}
+    out = join_level(cells, means, "Class", "Class" if fix_class_key else "Brand", **own)
     for level in LEVELS:
-        out = join_level(out, means, level, level, Units=f"{prefix}Wx{level}Units")
-    chosen = F.col("_own")
+        out = join_level(out, means, level, level, **{c: f"{p}Wx{level}Units" for p, c in units.items()})
+    chosen = {p: F.col(f"_own{p}") for p in units}
     for level in reversed(LEVELS):
-        chosen = F.when(F.col("Class") == F.col(level), F.col(f"{prefix}Wx{level}Units")).otherwise(chosen)
-    return out.withColumn(f"{prefix}WxClassUnits", chosen).drop("_own")
+        for p in units:
+            value = F.col(f"{p}Wx{level}Units")
+            chosen[p] = F.when(F.col("Class") == F.col(level), value).otherwise(chosen[p])
+    return out.withColumns({f"{p}WxClassUnits": chosen[p] for p in units}).drop(*own.values())
 
 
 def distinct_values(rows: DataFrame, prefix: str) -> DataFrame:

@@ -29,6 +29,7 @@ from dispensa.sources.staging import Staging
 
 TRIPLE = ("PdID", "ShopID", "PackID")
 ATTRIBUTES = ("Brand", "ATC1", "ATC2", "ATC3", "ATC4", "Basket", "Rx", "Class")
+UNITS = ("UnvrsUnits", "PanelUnits")
 
 # Regions that are reported as one.
 FOLDED_REGIONS = {
@@ -129,44 +130,49 @@ def shop_base(
     )
 
 
-def _known_shops_and_packs(sellin: DataFrame, packs: DataFrame, base: DataFrame) -> DataFrame:
+def shop_sales(sellin: DataFrame, packs: DataFrame, base: DataFrame, oper: DataFrame, window: DataFrame) -> DataFrame:
+    """Per known shop: units of known packs in the prior year, and whether it sold in the window.
+
+    One pass for both questions: ``measured`` is true where the shop has prior-year rows, and
+    ``recent`` where it sold in the window or in an operated period. Shops are filtered after the
+    sum, packs before it.
+    """
+    recent = window.select("PdID").unionByName(window.select(F.col("ProcPdID").cast("string").alias("PdID")))
+    periods = (
+        prior_year(oper)
+        .withColumn("prior", F.lit(1))
+        .unionByName(recent.withColumn("prior", F.lit(0)))
+        .groupBy(F.col("PdID").alias("period"))
+        .agg((F.max("prior") == 1).alias("prior"), (F.min("prior") == 0).alias("recent"))
+    )
     codes = packs.select(F.substring("bridge_code", 2, 7).alias("pfc")).distinct()
     shops = base.where(F.col("onUnvrs") == 1).select(F.col("imscode").alias("customer_code")).distinct()
-    return sellin.join(codes, "pfc", "left_semi").join(shops, "customer_code", "left_semi")
-
-
-def prior_year_turnover(sellin: DataFrame, packs: DataFrame, base: DataFrame, oper: DataFrame) -> DataFrame:
-    """Units per shop over the calendar year before the last operated period."""
-    year = F.broadcast(prior_year(oper).withColumnRenamed("PdID", "period"))  # twelve rows
     return (
-        _known_shops_and_packs(sellin.join(year, "period", "left_semi"), packs, base)
+        sellin.join(F.broadcast(periods), "period")  # a row per period of the run
+        .join(codes, "pfc", "left_semi")
         .groupBy("customer_code")
-        .agg(F.sum("total_unit").alias("Units"))
+        .agg(
+            F.sum(F.when(F.col("prior"), F.col("total_unit"))).alias("Units"),
+            F.max("prior").alias("measured"),
+            F.max("recent").alias("recent"),
+        )
+        .join(shops, "customer_code", "left_semi")
     )
 
 
-def orphan_shops(
-    sellin: DataFrame, packs: DataFrame, base: DataFrame, turnover: DataFrame, window: DataFrame
-) -> DataFrame:
+def prior_year_turnover(sales: DataFrame) -> DataFrame:
+    """Units per shop over the calendar year before the last operated period."""
+    return sales.where("measured").select("customer_code", "Units")
+
+
+def orphan_shops(sales: DataFrame) -> DataFrame:
     """Shops that sell in the window or an operated period and have no turnover in the prior year."""
-    periods = (
-        window.select("PdID")
-        .unionByName(window.select(F.col("ProcPdID").cast("string").alias("PdID")))
-        .distinct()
-        .withColumnRenamed("PdID", "period")
-    )
-    return (
-        _known_shops_and_packs(sellin.join(periods, "period", "left_semi"), packs, base)
-        .select("customer_code")
-        .distinct()
-        .join(turnover, "customer_code", "left_anti")
-    )
+    return sales.where("recent and not measured").select("customer_code")
 
 
-def shop_universe(turnover: DataFrame, orphans: DataFrame, base: DataFrame) -> DataFrame:
+def shop_universe(sales: DataFrame, base: DataFrame) -> DataFrame:
     """All shops concerned, with region; orphans have no units yet."""
-    both = turnover.unionByName(orphans, allowMissingColumns=True)
-    return both.join(base, both["customer_code"] == base["imscode"]).select(
+    return sales.where("measured or recent").join(base, F.col("customer_code") == F.col("imscode")).select(
         F.col("customer_code").cast("int").alias("ShopID"), "Region", "onPanel", "Units"
     )
 
@@ -314,9 +320,42 @@ def on_panel(base: DataFrame, panel_rows: DataFrame) -> DataFrame:
     return base.join(panel_rows.select("PdID", "ShopID").distinct(), ["PdID", "ShopID"], "left_semi")
 
 
-def stratum_packs(base: DataFrame, packs: DataFrame) -> DataFrame:
-    """Universe rows summed to (stratum, pack), with the pack's levels."""
-    sums = base.groupBy(*STRATUM, "PackID").agg(F.sum("Units").alias("Units"))
+def panel_and_universe(unvrs: DataFrame, panel_rows: DataFrame, shops: DataFrame) -> DataFrame:
+    """Every triple of either side once, with its stratum and three flags.
+
+    ``inUniverse`` and ``inPanel`` tell which side knows the triple; ``onPanel`` tells whether the
+    shop is on the panel in that period at all. The universe comes out of its aggregation
+    partitioned by the triple, so the full join only moves the panel.
+    """
+    both = (
+        unvrs.withColumn("inUniverse", F.lit(1))
+        .join(panel_rows.withColumn("inPanel", F.lit(1)), list(TRIPLE), "full")
+        .select(
+            *TRIPLE,
+            "Units",
+            F.coalesce("inUniverse", F.lit(0)).alias("inUniverse"),
+            F.coalesce("inPanel", F.lit(0)).alias("inPanel"),
+        )
+    )
+    reporting = panel_rows.select("PdID", "ShopID").distinct().withColumn("onPanel", F.lit(1))
+    flagged = both.join(reporting, ["PdID", "ShopID"], "left").withColumn(
+        "onPanel", F.coalesce("onPanel", F.lit(0))
+    )
+    return with_shops(flagged, shops)
+
+
+def level_cells(pairs: DataFrame, packs: DataFrame) -> DataFrame:
+    """Universe units summed to (stratum, pack), for all shops and for panel shops, with levels."""
+    sums = (
+        pairs.where(F.col("inUniverse") == 1)
+        .groupBy(*STRATUM, "PackID")
+        .agg(
+            F.sum("Units").alias("UnvrsUnits"),
+            F.sum(F.when(F.col("onPanel") == 1, F.col("Units"))).alias("PanelUnits"),
+            F.max("onPanel").alias("onPanel"),
+            F.max("inPanel").alias("inPanel"),
+        )
+    )
     return sums.join(packs, "PackID")
 
 
@@ -326,21 +365,22 @@ def potential(attached: DataFrame) -> DataFrame:
     return attached.select(*columns).distinct()
 
 
-def orphan_packs(panel_rows: DataFrame, unvrs: DataFrame, shops: DataFrame, packs: DataFrame) -> DataFrame:
+def orphan_packs(pairs: DataFrame, packs: DataFrame) -> DataFrame:
     """Panel triples without a universe row, with shop and pack attributes."""
-    alone = panel_rows.join(unvrs.select(*TRIPLE), list(TRIPLE), "left_anti")
-    return with_shops(alone, shops).join(packs, "PackID").select(*TRIPLE, "Region", "TSC", "Chain", *ATTRIBUTES)
+    alone = pairs.where(F.col("inUniverse") == 0)
+    return alone.join(packs, "PackID").select(*TRIPLE, "Region", "TSC", "Chain", *ATTRIBUTES)
 
 
-def fallback_lookup(panel_levels: DataFrame, universe_levels: DataFrame) -> DataFrame:
+def fallback_lookup(attached: DataFrame) -> DataFrame:
     """Long table (stratum, Level, Value, PanelUnits, UnvrsUnits) for the fallback.
 
-    A full outer join of the two distinct lists: joining it once gives the same rows as joining
-    the panel's list and then the universe's.
+    Panel means count where some known panel triple uses the cell. The full outer join of the two
+    distinct lists is joined once later, with the same rows as joining one list after the other.
     """
     keys = [*STRATUM, "Level", "Value"]
-    measured = lv.distinct_values(panel_levels, "Panel").where(F.col("PanelUnits").isNotNull())
-    return measured.join(lv.distinct_values(universe_levels, "Unvrs"), keys, "full")
+    used = attached.where(F.col("inPanel") == 1)
+    measured = lv.distinct_values(used, "Panel").where(F.col("PanelUnits").isNotNull())
+    return measured.join(lv.distinct_values(attached, "Unvrs"), keys, "full")
 
 
 def orphan_levels(orphans: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -481,25 +521,12 @@ class Projection:
             "shop_base", lambda: shop_base(i.shops_raw, i.brick_region, i.region_name, i.folded_regions), keep=False
         )
 
-    def turnover(self) -> DataFrame:
+    def shop_sales(self) -> DataFrame:
         i = self.inputs
-        return self._once(
-            "turnover", lambda: prior_year_turnover(self.monthly(), i.packs_raw, self.shop_base(), i.oper)
-        )
-
-    def orphan_shops(self) -> DataFrame:
-        return self._once(
-            "orphan_shops",
-            lambda: orphan_shops(
-                self.monthly(), self.inputs.packs_raw, self.shop_base(), self.turnover(), self.window()
-            ),
-            keep=False,
-        )
+        return shop_sales(self.monthly(), i.packs_raw, self.shop_base(), i.oper, self.window())
 
     def shop_universe(self) -> DataFrame:
-        return self._once(
-            "shop_universe", lambda: shop_universe(self.turnover(), self.orphan_shops(), self.shop_base())
-        )
+        return self._once("shop_universe", lambda: shop_universe(self.shop_sales(), self.shop_base()))
 
     def median(self) -> DataFrame:
         return self._once("median", lambda: region_median(self.shop_universe(), self.staging), keep=False)
@@ -518,9 +545,7 @@ class Projection:
         return self._once("packs", lambda: pack_hierarchy(i.packs_raw, i.pfg, i.prod_flag))
 
     def universe(self) -> DataFrame:
-        return self._once(
-            "universe", lambda: universe(self.monthly(), self.window(), self.shops(), self.packs())
-        )
+        return universe(self.monthly(), self.window(), self.shops(), self.packs())
 
     def panel(self) -> DataFrame:
         return self._once(
@@ -534,68 +559,46 @@ class Projection:
     def panel_base(self) -> DataFrame:
         return on_panel(self.universe_base(), self.panel())
 
-    def universe_packs(self) -> DataFrame:
-        """(stratum, pack) sums of the universe."""
-        base = with_shops(self.universe(), self.shops())
-        return self._once("universe_packs", lambda: stratum_packs(base, self.packs()))
-
-    def panel_packs(self) -> DataFrame:
-        """(stratum, pack) sums of the panel shops' sell-in."""
-        base = with_shops(on_panel(self.universe(), self.panel()), self.shops())
-        return self._once("panel_packs", lambda: stratum_packs(base, self.packs()))
-
-    def universe_means(self) -> DataFrame:
-        return self._once("universe_means", lambda: lv.level_means(self.universe_packs(), self.inputs.months))
+    def pairs(self) -> DataFrame:
+        return self._once("pairs", lambda: panel_and_universe(self.universe(), self.panel(), self.shops()))
 
-    def panel_means(self) -> DataFrame:
-        return self._once("panel_means", lambda: lv.level_means(self.panel_packs(), self.inputs.months))
+    def cells(self) -> DataFrame:
+        return self._once("cells", lambda: level_cells(self.pairs(), self.packs()))
 
-    def universe_attached(self) -> DataFrame:
-        """(stratum, pack) with the eight universe means."""
-        rows = self.universe_packs().drop("Units")
-        return self._once(
-            "universe_attached",
-            lambda: lv.attach_levels(rows, self.universe_means(), "Unvrs", self.inputs.fix_class_key),
-        )
+    def means(self) -> DataFrame:
+        """All level means, of the universe and of the panel shops."""
+        return self._once("means", lambda: lv.level_means(self.cells(), self.inputs.months, UNITS))
 
-    def panel_attached(self) -> DataFrame:
-        """(stratum, pack) with the eight panel means."""
-        rows = self.panel_packs().drop("Units")
+    def attached(self) -> DataFrame:
+        """(stratum, pack) with the eight universe means and the eight panel means."""
+        prefixes = dict(zip(("Unvrs", "Panel"), UNITS, strict=True))
+        rows = self.cells().drop(*UNITS)
         return self._once(
-            "panel_attached", lambda: lv.attach_levels(rows, self.panel_means(), "Panel", self.inputs.fix_class_key)
+            "attached", lambda: lv.attach_levels(rows, self.means(), prefixes, self.inputs.fix_class_key)
         )
 
-    def _spread(self, triples: DataFrame, attached: DataFrame) -> DataFrame:
-        return with_shops(triples, self.shops()).join(attached, [*STRATUM, "PackID"])
+    def _levels(self, pairs: DataFrame, prefix: str) -> DataFrame:
+        means = [f"{prefix}Wx{level}Units" for level in lv.ALL_LEVELS]
+        attached = self.attached().select(*STRATUM, "PackID", *ATTRIBUTES, *means)
+        return pairs.select(*TRIPLE, "Region", "TSC", "Chain").join(attached, [*STRATUM, "PackID"])
 
     def universe_levels(self) -> DataFrame:
         """Universe rows with the eight universe means."""
-        return self._spread(self.universe().drop("Units"), self.universe_attached())
-
-    def known_triples(self) -> DataFrame:
-        """Panel triples that have a universe row."""
-        return self._once(
-            "known_triples",
-            lambda: self.panel().join(self.universe().select(*TRIPLE), list(TRIPLE), "left_semi"),
-        )
+        return self._levels(self.pairs().where(F.col("inUniverse") == 1), "Unvrs")
 
     def panel_levels(self) -> DataFrame:
-        """Known panel triples with the eight panel means."""
-        return self._spread(self.known_triples(), self.panel_attached())
-
-    def panel_stratum_packs(self) -> DataFrame:
-        """The (stratum, pack) rows of the panel means that some known panel triple uses."""
-        used = with_shops(self.known_triples(), self.shops()).select(*STRATUM, "PackID").distinct()
-        return self.panel_attached().join(used, [*STRATUM, "PackID"], "left_semi")
+        """Panel triples that the universe knows, with the eight panel means."""
+        known = (F.col("inUniverse") == 1) & (F.col("inPanel") == 1)
+        return self._levels(self.pairs().where(known), "Panel")
 
     def potential(self) -> DataFrame:
-        return potential(self.universe_attached())
+        return potential(self.attached())
 
     def orphans(self) -> DataFrame:
-        return orphan_packs(self.panel(), self.universe(), self.shops(), self.packs())
+        return orphan_packs(self.pairs(), self.packs())
 
     def lookup(self) -> DataFrame:
-        return self._once("lookup", lambda: fallback_lookup(self.panel_stratum_packs(), self.universe_attached()))
+        return self._once("lookup", lambda: fallback_lookup(self.attached()))
 
     def orphan_levels(self) -> DataFrame:
         """Orphans with all means; the eight joins run on cells, not on triples."""
@@ -608,7 +611,7 @@ class Projection:
         return joined.drop("_attributes")
 
     def factor_regular(self) -> DataFrame:
-        return factor_regular(self.panel_levels(), self.universe_attached())
+        return factor_regular(self.panel_levels(), self.attached())
 
     def factor_orphan(self) -> DataFrame:
         return factor_orphan(self.orphan_levels())

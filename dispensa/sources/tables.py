@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispensa.functions.compat import raise_unless
 
 
+@functools.cache
 def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The table as a DataFrame; its schema is read once per session."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
