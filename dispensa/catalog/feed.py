@@ -1 +1,22 @@
-QUERIES = {}
+"""Feed query. The SQL cuts the text between the first and the last bracket."""
+
+from __future__ import annotations
+
+from dispensa.catalog import Query
+from dispensa.plans import feed
+from dispensa.sources.standins import standin, standin_sql
+
+_FIELDS = ", ".join(
+    f"try_cast(json_extract_string(e, '$.{source}') as {'int' if t == 'int' else 'varchar'}) as {column}"
+    for source, column, t in feed.VISIT_FIELDS
+)
+
+QUERIES: dict[str, Query] = {
+    "json_shred": Query(
+        lambda s, d: feed.shred_json(standin(s, d, "payloads")),
+        f"""with payloads as ({standin_sql('payloads')}),
+            cut as (select substr(body, strpos(body, '['), length(body) - strpos(reverse(body), ']') - strpos(body, '[') + 2)
+                    as j from payloads)
+            select {_FIELDS} from (select unnest(cast(cast(j as json) as json[])) as e from cut)""",
+    ),
+}
