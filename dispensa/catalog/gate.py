@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dispensa.catalog import Query
 from dispensa.plans import gate as g
+from dispensa.sources.staging import Staging
 from dispensa.sources.standins import standin, standin_sql
 
 STATUS = {"control": "C", "executed": "E"}
@@ -56,7 +57,7 @@ def _notes(spark: SparkSession, folder: str) -> DataFrame:
 
 def _routed(spark: SparkSession, folder: str) -> DataFrame:
     t = _tables(spark, folder)
-    verdicts = g.gate_verdict(**t)
+    verdicts = Staging(spark).keep(g.gate_verdict(**t), "verdicts")
     return g.route(spark.sql(_PROCESSES, log=t["log"]), verdicts, g.write_notes(t["log"], verdicts))
 
 

@@ -51,9 +51,9 @@ def money(column: str) -> Column:
 # --- scans and table operations --------------------------------------------------------------
 
 
-@query("scan", "select * from orders")
+@query("scan", "select * replace (cast(o_orderdate as date) as o_orderdate) from orders")
 def _(t: Tables) -> DataFrame:
-    return t.orders
+    return t.orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
 _MONTH_SRC = standin_sql("month_src")

@@ -41,10 +41,6 @@ def run(spark: SparkSession, folder: str) -> pj.Projection:
     return pj.Projection(inputs(spark, folder), Staging(spark))
 
 
-def _stage(pick: Callable[[pj.Projection], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: pick(run(spark, folder))
-
-
 # --- the oracle ------------------------------------------------------------------------------
 
 _STRATUM = ("PdID", "Region", "TSC", "Chain")
@@ -214,72 +210,66 @@ def _period_window(spark: SparkSession, folder: str) -> DataFrame:
     return pj.expand_periods(pj.month_index(pj.distinct_periods(i.sellin)), i.oper, i.months)
 
 
-def _projected_units(spark: SparkSession, folder: str) -> DataFrame:
-    job = run(spark, folder)
+def _projected_units(job: pj.Projection) -> DataFrame:
     return _rounded(pj.apply_factors(job.inputs.sellout, job.factors()), "ProjUnits")
 
 
-def _level_queries() -> dict[str, Query]:
-    out = {}
-    for lv in ALL_LEVELS:
-        out[f"level_means_universe_{lv.lower()}"] = Query(
-            _stage(lambda j, lv=lv: one_level(j.means(), lv, "UnvrsUnits", f"UnvrsWx{lv}Units")),
-            oracle(f"select PdID, Region, TSC, Chain, {lv}, u as UnvrsWx{lv}Units from um_{lv}"),
-        )
-        out[f"level_means_panel_{lv.lower()}"] = Query(
-            _stage(lambda j, lv=lv: one_level(_panel_groups(j), lv, "PanelUnits", f"PanelWx{lv}Units")),
-            oracle(f"select PdID, Region, TSC, Chain, {lv}, u as PanelWx{lv}Units from pm_{lv}"),
-        )
-    return out
+_ROUNDED_FACTORS = "select * replace (round(PF, 6) as PF) from "
 
+_CHECK_SQL = "select Region, {} , count(distinct ShopID) as Stores_TOT from shops group by Region".format(
+    ", ".join(f"count(distinct ShopID) filter (TSC = {c}) as Stores_TSC{c}" for c in (1, 2, 3))
+)
 
-_ROUNDED_FACTORS = "select * replace (round(PF, 6) as PF) from "
+_PROJECTED_SQL = """select Region, count(distinct ShopID) as No_of_Shops, count(distinct PackID) as No_of_Packs,
+    cast(sum(pr_unit) as bigint) as Units, round(sum(pr_unit * PF), 6) as ProjUnits
+    from sellout_tx join factors on PdID = cast(strftime(sale_date, '%Y%d') as int)
+     and lpad(ShopID::varchar, 7, '0') = lpad(shop_code, 7, '0') and lpad(PackID::varchar, 8, '0') = lpad(pfc, 8, '0')
+    group by Region"""
+
+# Stages of one run, with the SQL that ends the oracle's chain.
+STAGES: dict[str, tuple[Callable[[pj.Projection], DataFrame], str]] = {
+    "shop_region": (lambda j: j.shop_base(), "select * from base"),
+    "shop_turnover": (lambda j: pj.prior_year_turnover(j.shop_sales()), "select * from turnover"),
+    "orphan_shops": (lambda j: pj.orphan_shops(j.shop_sales()), "select * from lone_shops"),
+    "shop_universe": (lambda j: j.shop_universe(), "select * from shop_units"),
+    "group_median": (lambda j: j.median(), "select * from medians"),
+    "impute_median": (lambda j: j.imputed(), "select * from filled"),
+    "running_sum": (lambda j: j.cumulative(), "select * from cumulated"),
+    "size_class": (lambda j: j.shops(), "select * from shops"),
+    "size_class_check": (lambda j: pj.size_class_check(j.shops()), _CHECK_SQL),
+    "pack_hierarchy": (lambda j: j.packs().drop("Class"), "select * exclude (Class) from packs"),
+    "projection_class": (lambda j: j.packs().select("PackID", "Class"), "select PackID, Class from packs"),
+    "universe": (lambda j: j.universe(), "select * from unvrs"),
+    "panel": (lambda j: j.panel(), "select * from panel"),
+    "universe_base": (lambda j: j.universe_base(), "select * from unvrs_base"),
+    "level_means_universe": (lambda j: _long_means(j, "Unvrs"), _long_means_sql("um")),
+    "universe_levels": (lambda j: j.universe_levels(), "select * from unvrs_levels"),
+    "panel_base": (lambda j: j.panel_base(), "select * from panel_base"),
+    "level_means_panel": (lambda j: _long_means(j, "Panel"), _long_means_sql("pm")),
+    "panel_levels": (lambda j: j.panel_levels(), "select * from panel_levels"),
+    "potential": (lambda j: j.potential(), "select * from potential"),
+    "orphan_packs": (lambda j: j.orphans(), "select * from orphans"),
+    "orphan_levels": (lambda j: j.orphan_levels(), "select * from orphan_levels"),
+    "factor_regular": (lambda j: _rounded(j.factor_regular(), "PF"), _ROUNDED_FACTORS + "regular"),
+    "factor_orphan": (lambda j: _rounded(j.factor_orphan(), "PF"), _ROUNDED_FACTORS + "fallback"),
+    "projection_factors": (lambda j: _rounded(j.factors(), "PF"), _ROUNDED_FACTORS + "factors"),
+    "projected_units": (_projected_units, _PROJECTED_SQL),
+}
+for _lv in ALL_LEVELS:
+    STAGES[f"level_means_universe_{_lv.lower()}"] = (
+        lambda j, lv=_lv: one_level(j.means(), lv, "UnvrsUnits", f"UnvrsWx{lv}Units"),
+        f"select PdID, Region, TSC, Chain, {_lv}, u as UnvrsWx{_lv}Units from um_{_lv}",
+    )
+    STAGES[f"level_means_panel_{_lv.lower()}"] = (
+        lambda j, lv=_lv: one_level(_panel_groups(j), lv, "PanelUnits", f"PanelWx{lv}Units"),
+        f"select PdID, Region, TSC, Chain, {_lv}, u as PanelWx{_lv}Units from pm_{_lv}",
+    )
 
 QUERIES: dict[str, Query] = {
     "period_index": Query(_period_index, oracle("select * from numbered")),
     "period_window": Query(_period_window, oracle("select * from pd")),
-    "shop_region": Query(_stage(lambda j: j.shop_base()), oracle("select * from base")),
-    "shop_turnover": Query(_stage(lambda j: pj.prior_year_turnover(j.shop_sales())), oracle("select * from turnover")),
-    "orphan_shops": Query(_stage(lambda j: pj.orphan_shops(j.shop_sales())), oracle("select * from lone_shops")),
-    "shop_universe": Query(_stage(lambda j: j.shop_universe()), oracle("select * from shop_units")),
-    "group_median": Query(_stage(lambda j: j.median()), oracle("select * from medians")),
-    "impute_median": Query(_stage(lambda j: j.imputed()), oracle("select * from filled")),
-    "running_sum": Query(_stage(lambda j: j.cumulative()), oracle("select * from cumulated")),
-    "size_class": Query(_stage(lambda j: j.shops()), oracle("select * from shops")),
-    "size_class_check": Query(
-        _stage(lambda j: pj.size_class_check(j.shops())),
-        oracle(
-            "select Region, "
-            + ", ".join(f"count(distinct ShopID) filter (TSC = {c}) as Stores_TSC{c}" for c in (1, 2, 3))
-            + ", count(distinct ShopID) as Stores_TOT from shops group by Region"
-        ),
-    ),
-    "pack_hierarchy": Query(_stage(lambda j: j.packs().drop("Class")), oracle("select * exclude (Class) from packs")),
-    "projection_class": Query(_stage(lambda j: j.packs().select("PackID", "Class")), oracle("select PackID, Class from packs")),
-    "universe": Query(_stage(lambda j: j.universe()), oracle("select * from unvrs")),
-    "panel": Query(_stage(lambda j: j.panel()), oracle("select * from panel")),
-    "universe_base": Query(_stage(lambda j: j.universe_base()), oracle("select * from unvrs_base")),
-    "level_means_universe": Query(_stage(lambda j: _long_means(j, "Unvrs")), oracle(_long_means_sql("um"))),
-    "universe_levels": Query(_stage(lambda j: j.universe_levels()), oracle("select * from unvrs_levels")),
-    "panel_base": Query(_stage(lambda j: j.panel_base()), oracle("select * from panel_base")),
-    "level_means_panel": Query(_stage(lambda j: _long_means(j, "Panel")), oracle(_long_means_sql("pm"))),
-    "panel_levels": Query(_stage(lambda j: j.panel_levels()), oracle("select * from panel_levels")),
-    "potential": Query(_stage(lambda j: j.potential()), oracle("select * from potential")),
-    "orphan_packs": Query(_stage(lambda j: j.orphans()), oracle("select * from orphans")),
-    "orphan_levels": Query(_stage(lambda j: j.orphan_levels()), oracle("select * from orphan_levels")),
-    "factor_regular": Query(_stage(lambda j: _rounded(j.factor_regular(), "PF")), oracle(_ROUNDED_FACTORS + "regular")),
-    "factor_orphan": Query(_stage(lambda j: _rounded(j.factor_orphan(), "PF")), oracle(_ROUNDED_FACTORS + "fallback")),
-    "projection_factors": Query(_stage(lambda j: _rounded(j.factors(), "PF")), oracle(_ROUNDED_FACTORS + "factors")),
-    "projected_units": Query(
-        _projected_units,
-        oracle(
-            """select Region, count(distinct ShopID) as No_of_Shops, count(distinct PackID) as No_of_Packs,
-               cast(sum(pr_unit) as bigint) as Units, round(sum(pr_unit * PF), 6) as ProjUnits
-               from sellout_tx join factors on PdID = cast(strftime(sale_date, '%Y%d') as int)
-                and lpad(ShopID::varchar, 7, '0') = lpad(shop_code, 7, '0')
-                and lpad(PackID::varchar, 8, '0') = lpad(pfc, 8, '0')
-               group by Region"""
-        ),
-    ),
-    **_level_queries(),
+    **{
+        key: Query(lambda spark, folder, pick=pick: pick(run(spark, folder)), oracle(final))
+        for key, (pick, final) in STAGES.items()
+    },
 }

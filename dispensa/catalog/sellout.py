@@ -100,7 +100,9 @@ def _oracle(final: str) -> str:
     return f"with {body}\n{final}"
 
 
-_UNION_SQL = f"""select period, {', '.join(so.FACT_COLUMNS)}, 0::double as tpt_price,
+_DECIMALS = ("pr_unit", "pr_bonus", "pr_price", "ndf_price", "pub_price", "trd_price", "iskonto", "vat")
+_UNION_SQL = f"""select period, {', '.join(f'{c}::double as {c}' if c in _DECIMALS else c for c in so.FACT_COLUMNS)},
+    0::double as tpt_price,
     case when source in ('T', 'R') then 'ILAC' else 'ILAC DISI' end as market from month_src"""
 
 _RANKED = "cast(TL as bigint) as TL, cast(KUTU as bigint) as KUTU, Donem, Eczane, RowNo, URUN"

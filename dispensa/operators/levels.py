@@ -8,9 +8,8 @@ neither the eightfold level expansion nor the joins see a row per shop.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dispensa.functions.compat import int_div
@@ -39,25 +38,18 @@ def level_means(cells: DataFrame, months: DataFrame, units: Sequence[str]) -> Da
 
 def one_level(means: DataFrame, level: str, units: str, into: str) -> DataFrame:
     """The means of one level as a table of its own."""
-    return means.where(F.col("Level") == level).select(
-        *STRATUM, F.col("Value").alias(level), F.col(units).alias(into)
-    )
-
-
-def _match(left: DataFrame, right: DataFrame, level_column: str) -> Column:
-    keys = [left[k] == right[f"_{k}"] for k in STRATUM] + [left[level_column] == right["_Value"]]
-    return reduce(lambda a, b: a & b, keys)
+    return means.where(f"Level = '{level}'").selectExpr(*STRATUM, f"Value as {level}", f"{units} as {into}")
 
 
 def join_level(rows: DataFrame, means: DataFrame, level: str, level_column: str, **values: str) -> DataFrame:
     """Left join of the means of ``level``; ``values`` maps columns of the means to new names."""
-    side = means.where(F.col("Level") == level).select(
-        *[F.col(k).alias(f"_{k}") for k in STRATUM],
-        F.col("Value").alias("_Value"),
-        *[F.col(c).alias(into) for c, into in values.items()],
+    keys = (*STRATUM, "Value")
+    side = means.where(f"Level = '{level}'").selectExpr(
+        *[f"{k} as _{k}" for k in keys], *[f"{column} as {into}" for column, into in values.items()]
     )
-    joined = rows.join(side, _match(rows, side, level_column), "left")
-    return joined.drop(*[f"_{k}" for k in STRATUM], "_Value")
+    mine = (*STRATUM, level_column)
+    on = " and ".join(f"{m} = _{k}" for m, k in zip(mine, keys, strict=True))
+    return rows.join(side, F.expr(on), "left").drop(*[f"_{k}" for k in keys])
 
 
 def attach_levels(
@@ -72,24 +64,17 @@ def attach_levels(
     out = join_level(cells, means, "Class", "Class" if fix_class_key else "Brand", **own)
     for level in LEVELS:
         out = join_level(out, means, level, level, **{c: f"{p}Wx{level}Units" for p, c in units.items()})
-    chosen = {p: F.col(f"_own{p}") for p in units}
-    for level in reversed(LEVELS):
-        for p in units:
-            value = F.col(f"{p}Wx{level}Units")
-            chosen[p] = F.when(F.col("Class") == F.col(level), value).otherwise(chosen[p])
-    return out.withColumns({f"{p}WxClassUnits": chosen[p] for p in units}).drop(*own.values())
+    cases = {
+        p: " ".join(f"when Class = {level} then {p}Wx{level}Units" for level in LEVELS) for p in units
+    }
+    return out.withColumns(
+        {f"{p}WxClassUnits": F.expr(f"case {cases[p]} else _own{p} end") for p in units}
+    ).drop(*own.values())
 
 
 def distinct_values(rows: DataFrame, prefix: str) -> DataFrame:
     """Long distinct table (stratum, Level, Value, <prefix>Units) of attached level columns."""
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(level).alias("Level"),
-                F.col(level).alias("Value"),
-                F.col(f"{prefix}Wx{level}Units").alias(f"{prefix}Units"),
-            )
-            for level in ALL_LEVELS
-        ]
+    pairs = ", ".join(
+        f"struct('{level}' as Level, {level} as Value, {prefix}Wx{level}Units as {prefix}Units)" for level in ALL_LEVELS
     )
-    return rows.select(*STRATUM, F.inline(pairs)).distinct()
+    return rows.selectExpr(*STRATUM, f"inline(array({pairs}))").distinct()

@@ -34,16 +34,17 @@ def _range_offsets(placed: DataFrame, group: Sequence[str], value: Column) -> Da
     return sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
 
 
-def _with_offsets(placed: DataFrame, offsets: DataFrame, group: Sequence[str]) -> DataFrame:
+def _join_ranges(placed: DataFrame, side: DataFrame, group: Sequence[str], staging: Staging) -> DataFrame:
+    """Add the columns of ``side``, which has at most one row per (group, range).
+
+    Without a group there are no more ranges than shuffle partitions. With groups their number is
+    not known, so the side is stored, and the planner broadcasts it only where it is small.
+    """
     keys = [*group, RANGE]
-    side = offsets.select(*[F.col(k).alias(f"_o{k}") for k in keys], "_before")
-    if not group:
-        side = F.broadcast(side)  # one row per range, so never more rows than shuffle partitions
-    matches = [placed[k].eqNullSafe(side[f"_o{k}"]) for k in keys]
-    on = matches[0]
-    for m in matches[1:]:
-        on = on & m
-    return placed.join(side, on).drop(*[f"_o{k}" for k in keys])
+    renamed = side.withColumnsRenamed({k: f"_o{k}" for k in keys})
+    renamed = staging.keep(renamed, "ranges") if group else F.broadcast(renamed)
+    on = " and ".join(f"{k} <=> _o{k}" for k in keys)
+    return placed.join(renamed, F.expr(on)).drop(*[f"_o{k}" for k in keys])
 
 
 def running_sum(
@@ -56,7 +57,7 @@ def running_sum(
 ) -> DataFrame:
     """Add ``into``: the sum of ``value`` over the rows of the group up to and including this one."""
     placed = place(df, group, order, staging, f"placed_{into}")
-    rows = _with_offsets(placed, _range_offsets(placed, group, F.col(value)), group)
+    rows = _join_ranges(placed, _range_offsets(placed, group, F.col(value)).drop("_size"), group, staging)
     upto = Window.partitionBy(*group, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn(into, F.col("_before") + F.sum(value).over(upto)).drop(RANGE, "_before")
 
@@ -66,7 +67,7 @@ def row_numbers(
 ) -> DataFrame:
     """Add ``into``: the position of the row in its group, from 1."""
     placed = place(df, group, order, staging, f"placed_{into}")
-    rows = _with_offsets(placed, _range_offsets(placed, group, F.lit(1)), group)
+    rows = _join_ranges(placed, _range_offsets(placed, group, F.lit(1)).drop("_size"), group, staging)
     inside = Window.partitionBy(*group, RANGE).orderBy(*order)
     return rows.withColumn(into, F.col("_before") + F.row_number().over(inside)).drop(RANGE, "_before")
 
@@ -87,11 +88,7 @@ def integer_median(
     first = int_div(F.col("_n") + 1, F.lit(2))
     last = int_div(F.col("_n") + 2, F.lit(2))
     middle = offsets.where((F.col("_before") < last) & (F.col("_before") + F.col("_size") >= first))
-    side = middle.select(*[F.col(k).alias(f"_o{k}") for k in [*group, RANGE]], "_before", "_n")
-    on = placed[RANGE] == side[f"_o{RANGE}"]
-    for g in group:
-        on = on & placed[g].eqNullSafe(side[f"_o{g}"])
-    rows = placed.join(side, on)
+    rows = _join_ranges(placed, middle.drop("_size"), group, staging)
     inside = Window.partitionBy(*group, RANGE).orderBy(*order)
     ranked = rows.withColumn("_rn", F.col("_before") + F.row_number().over(inside))
     return (

@@ -71,8 +71,14 @@ def _candidates(oper: DataFrame, months: DataFrame) -> DataFrame:
     )
 
 
+def window_periods(existing: DataFrame, oper: DataFrame, months: DataFrame) -> DataFrame:
+    """(ProcPdID, PdID): each existing operated period with the existing periods before it."""
+    proc = existing.select(F.col("PdID").cast("int").alias("ProcPdID"))
+    return _candidates(oper, months).join(existing, "PdID").join(proc, "ProcPdID")
+
+
 def expand_periods(numbered: DataFrame, oper: DataFrame, months: DataFrame) -> DataFrame:
-    """Each operated period with the existing periods of the months before it.
+    """Each operated period with the existing periods of the months before it, all numbered.
 
     An operated period that does not exist itself is dropped.
     """
@@ -189,13 +195,14 @@ def impute_units(universe: DataFrame, median: DataFrame) -> DataFrame:
     )
 
 
-# Shops by descending units; the shop number breaks ties.
-BY_TURNOVER = (F.col("Units").desc(), F.col("ShopID").asc(), F.col("Region").asc())
+def _by_turnover() -> tuple[Column, ...]:
+    """Shops by descending units; the shop number breaks ties."""
+    return F.col("Units").desc(), F.col("ShopID").asc(), F.col("Region").asc()
 
 
 def cumulative_units(imputed: DataFrame, staging: Staging) -> DataFrame:
     """Running sum of units by descending turnover (``UnitsCUM``)."""
-    summed = running_sum(imputed, "Units", BY_TURNOVER, "UnitsCUM", staging)
+    summed = running_sum(imputed, "Units", _by_turnover(), "UnitsCUM", staging)
     return summed.groupBy("ShopID", "Region", "onPanel", "Units").agg(F.sum("UnitsCUM").alias("UnitsCUM"))
 
 
@@ -392,10 +399,6 @@ def orphan_levels(orphans: DataFrame, lookup: DataFrame) -> DataFrame:
     return out
 
 
-def _ratio(unvrs: Column, panel_units: Column) -> Column:
-    return unvrs.cast("double") / panel_units
-
-
 def factor_regular(panel_attached: DataFrame, universe_attached: DataFrame) -> DataFrame:
     """Factors of panel triples that the universe knows: universe mean over panel mean of the class.
 
@@ -404,37 +407,25 @@ def factor_regular(panel_attached: DataFrame, universe_attached: DataFrame) -> D
     """
     keys = [*STRATUM, "Class"]
     universe_means = universe_attached.select(*keys, "UnvrsWxClassUnits").distinct()
-    measured = F.col("PanelWxClassUnits") > 0
+    factor = "case when PanelWxClassUnits > 0 then cast(UnvrsWxClassUnits as double) / PanelWxClassUnits end as PF"
     return (
         panel_attached.select(*TRIPLE, "Region", "TSC", "Chain", "Class", "PanelWxClassUnits")
         .join(universe_means, keys)
-        .select(
-            *TRIPLE,
-            F.when(measured, _ratio(F.col("UnvrsWxClassUnits"), F.col("PanelWxClassUnits"))).alias("PF"),
-            "Region",
-            "TSC",
-            "Chain",
-            "Class",
-            F.lit(0).alias("Orphan"),
-        )
+        .selectExpr(*TRIPLE, factor, "Region", "TSC", "Chain", "Class", "0 as Orphan")
         .distinct()
     )
 
 
-def fallback_factor(orphans_attached: DataFrame) -> DataFrame:
-    """Add PF and the value of the first level at which the panel has a positive mean."""
-    pf, value = F.lit(None).cast("double"), F.lit(None).cast("string")
-    for level in reversed(lv.ALL_LEVELS):
-        panel_units = F.col(f"PanelWx{level}Units")
-        pf = F.when(panel_units > 0, _ratio(F.col(f"UnvrsWx{level}Units"), panel_units)).otherwise(pf)
-        value = F.when(panel_units > 0, F.col(level)).otherwise(value)
-    return orphans_attached.withColumns({"PF": pf, "_value": value}).drop("Class").withColumnRenamed("_value", "Class")
-
-
 def factor_orphan(orphans_attached: DataFrame) -> DataFrame:
-    """Factors of panel triples that the universe does not know, by level fallback."""
-    return fallback_factor(orphans_attached).select(
-        *TRIPLE, "PF", "Region", "TSC", "Chain", "Class", F.lit(1).alias("Orphan")
+    """Factors of panel triples that the universe does not know.
+
+    The first level at which the panel has a positive mean gives the factor and the class.
+    """
+    levels = [(level, f"PanelWx{level}Units", f"UnvrsWx{level}Units") for level in lv.ALL_LEVELS]
+    factor = " ".join(f"when {p} > 0 then cast({u} as double) / {p}" for _, p, u in levels)
+    value = " ".join(f"when {p} > 0 then {level}" for level, p, _ in levels)
+    return orphans_attached.selectExpr(
+        *TRIPLE, f"case {factor} end as PF", "Region", "TSC", "Chain", f"case {value} end as Class", "1 as Orphan"
     )
 
 
@@ -512,7 +503,7 @@ class Projection:
     def window(self) -> DataFrame:
         i = self.inputs
         return self._once(
-            "window", lambda: expand_periods(month_index(distinct_periods(self.monthly())), i.oper, i.months)
+            "window", lambda: window_periods(distinct_periods(self.monthly()), i.oper, i.months)
         )
 
     def shop_base(self) -> DataFrame:

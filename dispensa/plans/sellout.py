@@ -173,8 +173,9 @@ def _report_columns(rank: Column) -> list[Column]:
     ]
 
 
-# Highest value first; names break ties.
-_BY_VALUE = (F.col("TL").desc_nulls_last(), F.col("Urun").asc_nulls_first(), F.col("AccountName").asc_nulls_first())
+def _by_value() -> tuple[Column, ...]:
+    """Highest value first; names break ties."""
+    return F.col("TL").desc_nulls_last(), F.col("Urun").asc_nulls_first(), F.col("AccountName").asc_nulls_first()
 
 
 def top_products(
@@ -190,10 +191,10 @@ def top_products(
         _active(mart.where(chosen), report_periods)
         .groupBy("Urun", "DONEM", "AccountName")
         .agg(F.sum("TL").alias("TL"), F.sum("KUTU").alias("KUTU"))
-        .orderBy(*_BY_VALUE)
+        .orderBy(*_by_value())
         .limit(n)
     )
-    rank = F.row_number().over(Window.orderBy(*_BY_VALUE))  # over n rows at most
+    rank = F.row_number().over(Window.orderBy(*_by_value()))  # over n rows at most
     return best.select(*_report_columns(rank))
 
 
@@ -205,7 +206,7 @@ def top_products_all(mart: DataFrame, report_periods: DataFrame, n: int = 50) ->
         .groupBy(*keys, "Urun", "AccountName")
         .agg(F.sum("TL").alias("TL"), F.sum("KUTU").alias("KUTU"))
     )
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*_BY_VALUE))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*_by_value()))
     return (
         sums.withColumn("_rank", rank)
         .where(F.col("_rank") <= n)
