@@ -19,12 +19,13 @@ def _numbers(df: DataFrame) -> DataFrame:
 
 
 def _accounts(spark: SparkSession, folder: str) -> DataFrame:
-    return so.account_regions(*[standin(spark, folder, n) for n in ("account", "shops_raw", "brick_region", "region_name")])
+    tables = [standin(spark, folder, n) for n in ("account", "shops_raw", "brick_region", "region_name")]
+    return Staging(spark).keep(so.account_regions(*tables), "accounts")
 
 
 def _market(spark: SparkSession, folder: str, market: so.Market) -> DataFrame:
     t = {n: standin(spark, folder, n) for n in ("month_src", "price_list", "atc_names")}
-    return so.market_sellout(t["month_src"], market, t["price_list"], _accounts(spark, folder), t["atc_names"])
+    return so.market_sellout(t["month_src"], [market], t["price_list"], _accounts(spark, folder), t["atc_names"])
 
 
 def mart(spark: SparkSession, folder: str, period: str | None = None) -> DataFrame:

@@ -7,13 +7,14 @@ The jobs work on any set of periods at once; give a period to build one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dispensa.functions.compat import round_to_int, same_text
+from dispensa.sources.tables import partition_scan
 
 # Columns that the monthly tables must have, all of them filled.
 FACT_COLUMNS = (
@@ -58,14 +59,17 @@ def union_sources(facts: DataFrame, market: Market, period: str | None = None) -
     """All rows of the market's sources, with a constant report price."""
     rows = facts.where(F.col("source").isin(*market.sources))
     if period is not None:
-        rows = rows.where(F.col("period") == period)
+        rows = partition_scan(rows, period)
     return rows.select("period", *FACT_COLUMNS, F.lit(0).cast("decimal(10,2)").alias("tpt_price"))
 
 
 def account_regions(
     account: DataFrame, shops: DataFrame, brick_region: DataFrame, region_name: DataFrame
 ) -> DataFrame:
-    """Accounts with their region, joined among the small tables before any fact."""
+    """Accounts with their region, joined among the small tables before any fact.
+
+    Store the result: the planner takes a chain of joins for large and a stored table for what it is.
+    """
     return (
         account.join(shops, F.col("imscode") == F.col("universe_code"), "left")
         .join(brick_region, F.col("brick1") == F.col("brick"), "left")
@@ -74,40 +78,54 @@ def account_regions(
     )
 
 
+def _by_market(markets: Sequence[Market], value: Callable[[Market], str]) -> Column:
+    """An SQL expression per market, picked by the row's market."""
+    cases = " ".join(f"when market = '{m.label}' then {value(m)}" for m in markets)
+    return F.expr(f"case {cases} end")
+
+
 def market_sellout(
     facts: DataFrame,
-    market: Market,
+    markets: Sequence[Market],
     prices: DataFrame,
     accounts: DataFrame,
     atc_names: DataFrame,
     period: str | None = None,
 ) -> DataFrame:
-    """Boxes and value per period, shop and product of one market.
+    """Boxes and value per period, shop and product of the markets, in one pass over the facts.
 
-    Facts are summed to (period, shop, product) first; a price holds for that grain, so the value
-    is the same. The dimensions are left-joined to the sums, and the last aggregation groups by a
-    superset of those keys. The product flag of the price list is part of the grouping but not of
-    the output, so visible keys can repeat.
+    Facts are summed to (period, market, shop, product) first; a price holds for that grain, so
+    the value is the same. The dimensions are left-joined to the sums, and the last aggregation
+    groups by a superset of those keys. The product flag of the price list is part of the grouping
+    but not of the output, so visible keys can repeat. Units are whole numbers and add up as such.
     """
+    if period is not None:
+        facts = partition_scan(facts, period)
+    cases = " ".join(
+        f"when source in ({', '.join(repr(s) for s in m.sources)}) then '{m.label}'" for m in markets
+    )
     sold = (
-        union_sources(facts, market, period)
-        .groupBy("period", "whs", "pfc")
-        .agg(F.sum(F.col("pr_unit") + F.col("pr_bonus")).alias("boxes"))
+        facts.where(F.col("source").isin(*[s for m in markets for s in m.sources]))
+        .withColumn("market", F.expr(f"case {cases} end"))
+        .groupBy("period", "market", "whs", "pfc")
+        .agg(F.sum((F.col("pr_unit") + F.col("pr_bonus")).cast("bigint")).alias("boxes"))
     )
-    names = [c for c in market.categories if c]
+    price_columns = sorted({m.price for m in markets})
+    names = sorted({c for m in markets for c in m.categories if c})
     priced = prices.select(
-        F.col("period"), F.col("prd_cd").alias("pfc"), "new_name", "prod_flag", "who_atc",
-        F.col(market.price).alias("price"),
-    )
-    keys = ["period", "whs", "pfc", "account_name", "universe_code", "bolge", "new_name", "prod_flag", "who_atc", *names]
-    grouped = (
+        "period", F.col("prd_cd").alias("pfc"), "new_name", "prod_flag", "who_atc", *price_columns
+    )
+    joined = (
         sold.join(priced, ["period", "pfc"], "left")
         .join(accounts, F.col("account_code") == F.col("whs"), "left")
         .join(atc_names.select("pfc", *names), "pfc", "left")
-        .groupBy(*keys)
-        .agg(F.sum("boxes").alias("boxes"), F.sum(F.col("boxes") * F.col("price")).alias("value"))
+        .withColumns({f"k{i}": _by_market(markets, lambda m, i=i: m.categories[i] or "''") for i in range(4)})
+        .withColumn("price", _by_market(markets, lambda m: m.price))
+    )
+    keys = ["period", "market", "whs", "pfc", "account_name", "universe_code", "bolge", "new_name", "prod_flag", "who_atc"]
+    grouped = joined.groupBy(*keys, *[f"k{i}" for i in range(4)]).agg(
+        F.sum("boxes").alias("boxes"), F.sum(F.col("boxes") * F.col("price")).alias("value")
     )
-    categories = [F.col(c) if c else F.lit("") for c in market.categories]
     return grouped.select(
         F.concat(F.lit("20"), F.left(F.col("period"), F.lit(2))).alias("YIL"),
         F.col("period").alias("DONEM"),
@@ -117,8 +135,8 @@ def market_sellout(
         F.col("new_name").alias("Urun"),
         F.col("boxes").cast("int").alias("KUTU"),
         round_to_int(F.col("value")).alias("TL"),
-        F.lit(market.label).alias("PazarTipi"),
-        *[c.alias(f"Kategori{i}") for i, c in enumerate(categories, 1)],
+        F.col("market").alias("PazarTipi"),
+        *[F.col(f"k{i}").alias(f"Kategori{i + 1}") for i in range(4)],
         F.col("who_atc").alias("Kategori5"),
         F.lit(1).cast("smallint").alias("Goster"),
         F.col("bolge").alias("Bolge"),
@@ -126,17 +144,20 @@ def market_sellout(
     )
 
 
+def in_mart_columns(rows: DataFrame) -> DataFrame:
+    """``rows`` with the mart's columns in order and typed; a missing one is null."""
+    declared = [c.strip().split(" ") for c in MART_SCHEMA.split(",")]
+    return rows.select(
+        *[(F.col(name) if name in rows.columns else F.lit(None)).cast(kind).alias(name) for name, kind in declared]
+    )
+
+
 def sellout_mart(
     facts: DataFrame, prices: DataFrame, accounts: DataFrame, atc_names: DataFrame, period: str | None = None
 ) -> DataFrame:
     """Both markets in the mart's declared columns; a column that no job fills is null."""
-    empty = facts.sparkSession.createDataFrame([], MART_SCHEMA)
-    rows = empty
-    for market in (DRUG, NON_DRUG):
-        rows = rows.unionByName(
-            market_sellout(facts, market, prices, accounts, atc_names, period), allowMissingColumns=True
-        )
-    return rows
+    rows = market_sellout(facts, (DRUG, NON_DRUG), prices, accounts, atc_names, period)
+    return in_mart_columns(rows)
 
 
 def publish_mart(mart: DataFrame, path: str) -> None:
@@ -153,7 +174,7 @@ def publish_mart(mart: DataFrame, path: str) -> None:
     )
 
 
-def read_mart(spark, path: str) -> DataFrame:  # noqa: ANN001
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MART_SCHEMA).parquet(path)
 
 

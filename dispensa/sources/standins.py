@@ -83,12 +83,12 @@ STANDINS: dict[str, str] = {
                l_quantity as prj_unit, l_extendedprice as prj_value
         from {lineitem}""",
     "price_list": """
-        select distinct substring(cast(year(l_shipdate) * 100 + month(l_shipdate) as string), 3, 4) as period,
-               lpad(cast(p_partkey as string), 7, '0') as prd_cd, p_name as new_name,
-               substring(p_brand, 7, 2) as prod_flag, p_type as who_atc,
-               cast(cast(p_retailprice as decimal(10,2)) + month(l_shipdate) as decimal(10,2)) as pub_price,
+        select substring(cast(y * 100 + m as string), 3, 4) as period, lpad(cast(p_partkey as string), 7, '0') as prd_cd,
+               p_name as new_name, substring(p_brand, 7, 2) as prod_flag, p_type as who_atc,
+               cast(cast(p_retailprice as decimal(10,2)) + m as decimal(10,2)) as pub_price,
                cast(cast(p_retailprice as decimal(10,2)) - cast(150.5 as decimal(10,2)) as decimal(9,2)) as isf
-        from {lineitem} join {part} on p_partkey = l_partkey
+        from (select distinct l_partkey, year(l_shipdate) as y, month(l_shipdate) as m from {lineitem}) sold
+             join {part} on p_partkey = l_partkey
         where p_size < 50""",
     "account": """
         select lpad(cast(s_suppkey as string), 7, '0') as account_code, s_name as account_name,
