@@ -1,0 +1,183 @@
+"""The gate against a sequential reading of its rules, on random loads."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from dispensa.plans import gate as g
+
+LOG = "cycle_id int, account_id int, is_deleted int, day_no int, month_no int, year_no int, unit int, bonus int, rec_p int, rec_c int, rec_s int, note string"
+CYCLES = "cycle_id int, cycle_date date, is_deleted int"
+ACCOUNTS = "account_id int, is_deleted int"
+REQUESTS = "cycle_id int, account_id int"
+
+
+def world(seed):
+    rng = random.Random(seed)
+    first = dt.date(2024, 2, 24)
+    cycles = []
+    for i in range(1, 30):
+        cycles.append((i, first + dt.timedelta(days=i), rng.choice([None, 0, 0, 0, 1])))
+    cycles += [(40, first + dt.timedelta(days=10), 0), (41, first + dt.timedelta(days=11), 0), (12, first, 0)]
+    accounts = [(1, None), (2, 0), (3, 1), (4, 0), (4, 0)]
+    log = []
+    for cid, date, _ in cycles:
+        for aid in (1, 2, 4):
+            for _ in range(rng.choice([0, 1, 2, 3])):
+                off = rng.random()
+                log.append((
+                    cid, aid, rng.choice([None, 0, 0, 1]),
+                    None if off > 0.97 else date.day + (1 if off < 0.03 else 0),
+                    date.month + (1 if 0.03 < off < 0.05 else 0), date.year + (1 if 0.05 < off < 0.07 else 0),
+                    rng.choice([None, 0, 100, 110, 130]), rng.choice([None, 0, 8]),
+                    rng.choice([0, 50, 60, 64]), rng.choice([None, 30, 32]), rng.choice([90, 100, 150]), rng.choice([None, "old"]),
+                ))
+    requests = [(c, a) for c in [*range(0, 32), 40, 41, None] for a in (0, 1, 2, 3, 4, 5)]
+    return requests, cycles, accounts, log
+
+
+def sequential(request, cycles, accounts, log, units_range, records_range):
+    """One request, check after check: (verdict, message, note)."""
+    cid, aid = request
+    alive = lambda rows: [r for r in rows if r[-1] in (None, 0)]
+    if any(x is not None and x < 1 for x in (cid, aid, units_range, records_range)):
+        return -1, g.BAD_PARAMETERS, None
+    mine = [c for c in alive(cycles) if cid is not None and c[0] == cid]
+    if len(mine) != 1:
+        return -1, g.NOT_ONE_CYCLE, None
+    if not [a for a in alive(accounts) if a[0] == aid]:
+        return -1, g.NO_ACCOUNT, None
+
+    def logged(cycle):
+        return [r for r in log if r[0] == cycle and r[1] == aid and r[2] in (None, 0)]
+
+    if not logged(cid):
+        return -1, g.NO_LOG, None
+    date = mine[0][1]
+    prev_date = date - dt.timedelta(days=7 if date.weekday() in (5, 6, 0) else 1)
+    prev = max((c[0] for c in alive(cycles) if c[1] == prev_date), default=0)
+    if not [c for c in alive(cycles) if c[0] == prev]:
+        return -1, g.NO_PREVIOUS_CYCLE, None
+    if not logged(prev):
+        return -1, g.NO_PREVIOUS_LOG, None
+    for cycle, day, word in ((cid, date, "current"), (prev, prev_date, "previous")):
+        for column, part in ((3, "day"), (4, "month"), (5, "year")):
+            seen = min((r[column] for r in logged(cycle) if r[column] is not None), default=None)
+            if seen is not None and seen != getattr(day, part):
+                return 0, None, f"Expected comparing {seen} {part} is not matched with the {word} {cycle} cycle"
+    for columns, name, label, allowed in (
+        ((6, 7), "unit+unitbonus", "unit+unitbonus", units_range),
+        ((8,), "RecP", "product record counts", records_range),
+        ((9,), "RecC", "customer record counts", records_range),
+        ((10,), "RecS", "sales record counts", records_range),
+    ):
+        now, before = (sum((r[c] or 0) for r in logged(x) for c in columns) for x in (cid, prev))
+        if before == 0:
+            return 0, None, f"Previous cycle log has not any value on {name}"
+        percent = Decimal(100) * (Decimal(now - before) / Decimal(before))
+        if abs(percent) > allowed:
+            shown = percent.quantize(Decimal("0.001"), ROUND_HALF_UP)
+            return 0, None, f"{shown} suspected growth on {label}"
+    return 1, None, None
+
+
+@pytest.mark.parametrize(("seed", "units_range", "records_range"), [(1, 35, 35), (2, 35, 35), (3, 5, 60), (4, 200, 200), (5, 35, 0)])
+def test_verdicts(spark, seed, units_range, records_range):
+    requests, cycles, accounts, log = world(seed)
+    got = g.gate_verdict(
+        spark.createDataFrame(requests, REQUESTS), spark.createDataFrame(cycles, CYCLES),
+        spark.createDataFrame(accounts, ACCOUNTS), spark.createDataFrame(log, LOG), units_range, records_range,
+    )
+    rows = {(r["cycle_id"], r["account_id"]): (r["verdict"], r["message"], r["note"]) for r in got.collect()}
+    assert len(rows) == len(requests)
+    want = {q: sequential(q, cycles, accounts, log, units_range, records_range) for q in requests}
+    assert rows == want
+    if seed == 4:
+        assert {v[0] for v in want.values()} == {-1, 0, 1}
+
+
+def test_cycle_zero_can_be_the_previous_one(spark):
+    """Without a cycle on the date to compare with, cycle 0 is meant; it passes if it exists."""
+    cycles = spark.createDataFrame([(1, dt.date(2024, 1, 10), 0), (0, dt.date(2020, 1, 1), 0)], CYCLES)
+    got = g.comparable_cycle(cycles).where("cycle_id = 1").first()
+    assert (got["prev_date"], got["prev_cycle_id"]) == (dt.date(2024, 1, 9), 0)
+
+
+def test_two_live_cycles_at_one_date_take_the_latest(spark):
+    cycles = spark.createDataFrame(
+        [(5, dt.date(2024, 1, 9), 0), (7, dt.date(2024, 1, 9), None), (9, dt.date(2024, 1, 9), 1), (8, dt.date(2024, 1, 10), 0)],
+        CYCLES,
+    )
+    assert g.comparable_cycle(cycles).where("cycle_id = 8").first()["prev_cycle_id"] == 7
+
+
+@pytest.mark.parametrize(("day", "back"), [(6, 7), (7, 7), (8, 7), (9, 1), (10, 1), (11, 1), (12, 1)])
+def test_days_to_compare_with(spark, day, back):
+    """January 6, 2024 is a Saturday."""
+    date = dt.date(2024, 1, day)
+    got = g.comparable_cycle(spark.createDataFrame([(1, date, 0)], CYCLES)).first()
+    assert got["prev_date"] == date - dt.timedelta(days=back)
+
+
+STATUS = {"control": "C", "executed": "E"}
+
+
+@pytest.fixture(scope="module")
+def routed(spark):
+    verdicts = spark.createDataFrame(
+        [(1, 1, 1, None, None), (2, 1, 0, None, "9.000 suspected growth on x"), (3, 1, -1, "Not have previous cycle", None)],
+        "cycle_id int, account_id int, verdict int, message string, note string",
+    )
+    log = spark.createDataFrame(
+        [(2, 1, 0, None), (2, 1, 1, "deleted"), (2, 1, None, "zzz"), (3, 1, 0, "old"), (3, 1, None, "unset")],
+        "cycle_id int, account_id int, is_deleted int, note string",
+    )
+    noted = g.write_notes(log, verdicts)
+    processes = spark.createDataFrame(
+        [(11, 1, 1, 0, "e", "m", 5), (12, 2, 1, 0, "e", "m", 5), (13, 3, 1, 0, "e", None, 5), (14, 1, 1, 3, "bad", None, 5), (15, 1, 1, None, "bad", "m", 5)],
+        "process_id int, cycle_id int, account_id int, total_errors int, err_message string, message string, approve_flag int",
+    )
+    return noted, g.route(processes, verdicts, noted)
+
+
+def test_notes_reach_deleted_rows_too(routed):
+    noted, _ = routed
+    assert sorted(r["note"] for r in noted.where("cycle_id = 2").collect()) == ["9.000 suspected growth on x"] * 3
+    assert sorted(r["note"] for r in noted.where("cycle_id = 3").collect()) == ["old", "unset"]
+
+
+def test_process_updates(routed):
+    got = {r["process_id"]: tuple(r)[1:] for r in g.process_updates(routed[1], STATUS).collect()}
+    assert got == {
+        11: ("E", g.SUPPLY_PASSED + g.PRODUCTION_PASSED, 1),
+        12: ("E", g.SUPPLY_PASSED + "9.000 suspected growth on x\\n", 0),
+        13: ("E", "old\\nNot have previous cycle", 0),
+        14: ("E", "There are 3 error transaction for Supply Service....\\nbad\\n", 5),
+        15: ("E", None, 5),
+    }
+
+
+def test_operation_log(routed):
+    got = {r["process_id"]: (r["status"], r["operation_user_id"], r["operation_date"]) for r in g.operation_log(routed[1], STATUS, "2024-02-01").collect()}
+    day = dt.date(2024, 2, 1)
+    assert got == {11: ("E", 9999, day), 12: ("C", 9999, day), 13: ("C", 9999, day)}
+
+
+def test_hot_account(spark):
+    """A third of the log on one (cycle, account): sums and notes stay whole."""
+    log = spark.range(30000).selectExpr(
+        "cast(if(id % 3 = 0, 2, 1) as int) as cycle_id", "cast(if(id % 3 = 0, 1, id % 7) as int) as account_id",
+        "cast(null as int) as is_deleted", "cast(9 + if(id % 3 = 0, 1, 0) as int) as day_no", "1 as month_no", "2024 as year_no",
+        "1 as unit", "cast(null as int) as bonus", "1 as rec_p", "1 as rec_c", "1 as rec_s", "cast(null as string) as note",
+    )
+    summary = {(r["cycle_id"], r["account_id"]): int(r["units"]) for r in g.log_summary(log).collect()}
+    assert summary[(2, 1)] == 10000 and sum(summary.values()) == 30000
+    cycles = spark.createDataFrame([(1, dt.date(2024, 1, 9), 0), (2, dt.date(2024, 1, 10), 0)], CYCLES)
+    accounts = spark.createDataFrame([(1, 0)], ACCOUNTS)
+    verdicts = g.gate_verdict(log.select("cycle_id", "account_id").distinct(), cycles, accounts, log)
+    assert g.write_notes(log, verdicts).where(F.col("note").isNotNull()).count() == 10000
