@@ -18,7 +18,9 @@ from dispensa.sources.tables import control_value
 FOLDED = {"AFRICA": "AFRICA/MIDDLE EAST", "MIDDLE EAST": "AFRICA/MIDDLE EAST"}
 
 
-def inputs(spark: SparkSession, folder: str) -> pj.Inputs:
+def inputs(spark: SparkSession, folder: str, staging: Staging) -> pj.Inputs:
+    """The stand-ins; the two control tables are stored, since a real run finds them as tables."""
+
     def t(name: str) -> DataFrame:
         return standin(spark, folder, name)
 
@@ -31,14 +33,15 @@ def inputs(spark: SparkSession, folder: str) -> pj.Inputs:
         packs_raw=t("packs_raw"),
         pfg=t("pfg"),
         prod_flag=t("prod_flag"),
-        oper=t("oper"),
-        months=control_value(t("ctrl"), "MthsAvg", "int", "MthsAvg"),
+        oper=staging.keep(t("oper"), "oper"),
+        months=staging.keep(control_value(t("ctrl"), "MthsAvg", "int", "MthsAvg"), "months"),
         folded_regions=FOLDED,
     )
 
 
 def run(spark: SparkSession, folder: str) -> pj.Projection:
-    return pj.Projection(inputs(spark, folder), Staging(spark))
+    staging = Staging(spark)
+    return pj.Projection(inputs(spark, folder, staging), staging)
 
 
 # --- the oracle ------------------------------------------------------------------------------
@@ -206,7 +209,7 @@ def _period_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _period_window(spark: SparkSession, folder: str) -> DataFrame:
-    i = inputs(spark, folder)
+    i = inputs(spark, folder, Staging(spark))
     return pj.expand_periods(pj.month_index(pj.distinct_periods(i.sellin)), i.oper, i.months)
 
 
