@@ -16,6 +16,7 @@ The facts are read once and summed (sell-in) or made distinct (sell-out) before
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -285,24 +286,29 @@ def swapped_period(date: Column) -> Column:
     return F.year(date) * 100 + F.dayofmonth(date)
 
 
-def panel(
-    sellout: DataFrame,
-    window: DataFrame,
-    shops: DataFrame,
-    packs: DataFrame,
-    period: Callable[[Column], Column] = swapped_period,
+def panel_codes(
+    sellout: DataFrame, oper: DataFrame, period: Callable[[Column], Column] = swapped_period
 ) -> DataFrame:
-    """Distinct (period, shop, pack) of the panel's sales and returns, stock records left out.
+    """Distinct (period, shop code, pack code) of sales and returns in the operated periods.
 
-    The fact is made distinct on its codes first; each side then has a code once, so the joins
-    keep the rows distinct.
+    The one pass over the sell-out fact; stock records are left out.
     """
-    periods = window.select(F.col("ProcPdID").alias("PdID")).distinct()
     return (
         sellout.where(F.col("record_type") != "03")
         .select(period(F.col("sale_date")).alias("PdID"), "shop_code", "pfc")
-        .join(periods, "PdID", "left_semi")
+        .join(F.broadcast(oper.select(F.col("pd_id").alias("PdID"))), "PdID", "left_semi")  # a run's periods
         .distinct()
+    )
+
+
+def panel(codes: DataFrame, window: DataFrame, shops: DataFrame, packs: DataFrame) -> DataFrame:
+    """Distinct (period, shop, pack) of the panel, in the periods that have a window.
+
+    The codes are distinct and each side has a code once, so the joins keep the rows distinct.
+    """
+    periods = window.select(F.col("ProcPdID").alias("PdID")).distinct()
+    return (
+        codes.join(periods, "PdID", "left_semi")
         .join(_shop_keys(shops.where(F.col("onPanel") == 1)).distinct(), F.col("_shop_code") == F.col("shop_code"))
         .join(_pack_keys(packs).distinct(), F.col("_pack_code") == F.col("pfc"))
         .select(*TRIPLE)
@@ -538,11 +544,22 @@ class Projection:
     def universe(self) -> DataFrame:
         return universe(self.monthly(), self.window(), self.shops(), self.packs())
 
+    def panel_codes(self) -> DataFrame:
+        i = self.inputs
+        return self._once("panel_codes", lambda: panel_codes(i.sellout, i.oper, i.period))
+
+    def read_inputs(self) -> None:
+        """Run the stages that depend on inputs alone at the same time, as separate Spark jobs."""
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            for done in [pool.submit(stage) for stage in (self.monthly, self.panel_codes, self.packs)]:
+                done.result()
+
     def panel(self) -> DataFrame:
-        return self._once(
-            "panel",
-            lambda: panel(self.inputs.sellout, self.window(), self.shops(), self.packs(), self.inputs.period),
-        )
+        def make() -> DataFrame:
+            self.read_inputs()
+            return panel(self.panel_codes(), self.window(), self.shops(), self.packs())
+
+        return self._once("panel", make)
 
     def universe_base(self) -> DataFrame:
         return universe_base(self.universe(), self.shops(), self.packs())
@@ -551,7 +568,11 @@ class Projection:
         return on_panel(self.universe_base(), self.panel())
 
     def pairs(self) -> DataFrame:
-        return self._once("pairs", lambda: panel_and_universe(self.universe(), self.panel(), self.shops()))
+        def make() -> DataFrame:
+            reporting = self.panel()
+            return panel_and_universe(self.universe(), reporting, self.shops())
+
+        return self._once("pairs", make)
 
     def cells(self) -> DataFrame:
         return self._once("cells", lambda: level_cells(self.pairs(), self.packs()))
