@@ -293,10 +293,11 @@ def panel_codes(
 
     The one pass over the sell-out fact; stock records are left out.
     """
+    operated = F.broadcast(oper.select(F.col("pd_id").alias("PdID")).distinct())  # a row per period of the run
     return (
         sellout.where(F.col("record_type") != "03")
         .select(period(F.col("sale_date")).alias("PdID"), "shop_code", "pfc")
-        .join(F.broadcast(oper.select(F.col("pd_id").alias("PdID"))), "PdID", "left_semi")  # a run's periods
+        .join(operated, "PdID", "left_semi")
         .distinct()
     )
 

@@ -174,6 +174,18 @@ def publish_mart(mart: DataFrame, path: str) -> None:
     )
 
 
+def publish_table(mart: DataFrame, table: str) -> None:
+    """The same for a catalog table, made with the declared schema where it does not exist."""
+    spark = mart.sparkSession
+    if not spark.catalog.tableExists(table):
+        spark.sql(
+            f"create table {table} ({MART_SCHEMA}) using parquet "
+            "options (partitionOverwriteMode 'dynamic') partitioned by (DONEM)"
+        )
+    target = spark.table(table)  # its partition column comes last, and insertInto goes by position
+    mart.hint("rebalance", "DONEM").select(*target.columns).write.insertInto(table, overwrite=True)
+
+
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MART_SCHEMA).parquet(path)
 

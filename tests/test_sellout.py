@@ -93,6 +93,19 @@ def test_publish_replaces_only_its_periods(spark, dims, tmp_path):
     assert dict(got.dtypes)["DONEM"] == "string"
 
 
+def test_publish_into_a_catalog_table(spark, dims):
+    first = [("T", "2101", "s1", "p1", 1, 0), ("T", "2102", "s1", "p1", 1, 0)]
+    so.publish_table(so.sellout_mart(facts(spark, first), **dims), "mart_under_test")
+    try:
+        so.publish_table(so.sellout_mart(facts(spark, [("T", "2102", "s2", "p1", 7, 0)]), **dims), "mart_under_test")
+        got = spark.table("mart_under_test")
+        assert sorted((r["DONEM"], r["EczaneKod"], r["KUTU"]) for r in got.collect()) == [("2101", "s1", 1), ("2102", "s2", 7)]
+        assert sorted(got.columns) == sorted(c.split()[0] for c in so.MART_SCHEMA.split(", "))
+    finally:
+        spark.sql("drop table mart_under_test")
+    assert not spark.catalog.tableExists("mart_under_test")
+
+
 def test_null_in_a_required_column_fails(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
     assert so.not_null_violations(df, ["id", "name"]).first().asDict() == {"id": 0, "name": 1}
