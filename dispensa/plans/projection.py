@@ -271,9 +271,14 @@ def _pack_keys(packs: DataFrame) -> DataFrame:
 
 
 def universe(monthly: DataFrame, window: DataFrame, shops: DataFrame, packs: DataFrame) -> DataFrame:
-    """Sell-in units per operated period, shop and pack, over the months before the period."""
+    """Sell-in units per operated period, shop and pack, over the months before the period.
+
+    The window has a row per operated period and month, so it is broadcast: periods are too few
+    to shuffle by.
+    """
+    periods = F.broadcast(window.select(F.col("PdID").alias("period"), "ProcPdID"))
     return (
-        monthly.join(window.select(F.col("PdID").alias("period"), "ProcPdID"), "period")
+        monthly.join(periods, "period")
         .join(_shop_keys(shops), F.col("_shop_code") == F.col("customer_code"))
         .join(_pack_keys(packs), F.col("_pack_code") == F.col("pfc"))
         .groupBy(F.col("ProcPdID").alias("PdID"), "ShopID", "PackID")
@@ -307,7 +312,7 @@ def panel(codes: DataFrame, window: DataFrame, shops: DataFrame, packs: DataFram
 
     The codes are distinct and each side has a code once, so the joins keep the rows distinct.
     """
-    periods = window.select(F.col("ProcPdID").alias("PdID")).distinct()
+    periods = F.broadcast(window.select(F.col("ProcPdID").alias("PdID")).distinct())
     return (
         codes.join(periods, "PdID", "left_semi")
         .join(_shop_keys(shops.where(F.col("onPanel") == 1)).distinct(), F.col("_shop_code") == F.col("shop_code"))

@@ -8,6 +8,8 @@ import pytest
 
 from dispensa.catalog import all_queries, projection
 from dispensa.operators import ordered
+from dispensa.plans import projection as pj
+from dispensa.sources.tables import partition_scan
 
 # Windows without a partition that see a proven small number of rows: ranges, or the best n.
 SMALL_WINDOWS = {"top_products": "TakeOrderedAndProject", "join_theta_self": ordered.RANGE, "win_global_rank": ordered.RANGE}
@@ -75,3 +77,24 @@ def test_sellin_is_read_once(job, spark):
     """After the first stage, the projection reads stored tables instead of the fact."""
     plan = text_of(job.factors())
     assert "lineitem" not in plan
+
+
+def test_needed_periods_prune_a_partitioned_fact(spark, tmp_path):
+    path = str(tmp_path / "sellin")
+    rows = [(f"{y}{m:02d}", "0000001", "0000001", 1) for y in (2015, 2016, 2017) for m in range(1, 13)]
+    fact = spark.createDataFrame(rows, "period string, customer_code string, pfc string, total_unit int")
+    fact.write.partitionBy("period").parquet(path)
+    stored = spark.read.schema(fact.schema).parquet(path)
+    oper = spark.createDataFrame([(201702,)], "pd_id int")
+    months = spark.createDataFrame([(9,)], "MthsAvg int")
+    monthly = pj.monthly_sellin(stored, pj.needed_periods(oper, months))
+    assert "dynamicpruning" in text_of(monthly)
+    found = sorted(r["period"] for r in monthly.select("period").distinct().collect())
+    assert found == [f"2016{m:02d}" for m in range(1, 13)] + ["201701", "201702"]
+
+
+def test_one_period_of_a_family_is_a_partition_filter(spark, tmp_path):
+    path = str(tmp_path / "family")
+    spark.createDataFrame([("2101", 1), ("2102", 2)], "period string, n int").write.partitionBy("period").parquet(path)
+    one = partition_scan(spark.read.schema("n int, period string").parquet(path), "2102")
+    assert "PartitionFilters: [isnotnull(period" in text_of(one) and [r["n"] for r in one.collect()] == [2]
