@@ -7,8 +7,6 @@ from running sums with a constant number of array operations.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -114,15 +112,3 @@ def buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, dtype=np.uint8), np.zeros(len(texts) + 1, dtype=np.int64)
     data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
     return data, offsets - offsets[0]
-
-
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about ``limit`` bytes of text; a longer text is a piece by itself."""
-    if not batch.num_rows:
-        return
-    _, offsets = buffers(batch.column(column))
-    cut = 0
-    while cut < batch.num_rows:
-        stop = max(cut + 1, int(np.searchsorted(offsets, offsets[cut] + limit, "right")) - 1)
-        yield batch.slice(cut, stop - cut)
-        cut = stop
