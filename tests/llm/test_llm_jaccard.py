@@ -1,0 +1,108 @@
+"""The Jaccard join against all pairs."""
+
+from __future__ import annotations
+
+import random
+from fractions import Fraction
+from itertools import combinations
+
+import pytest
+
+from dispensa.llm import jaccard
+
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
+
+def sets_of(texts, n=5):
+    out = {}
+    for i, t in texts:
+        w = (t or "").encode().translate(LOWER).split()
+        whole = frozenset([tuple(w)]) if w else frozenset()
+        out[i] = frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) or whole
+    return out
+
+
+def brute(texts, n=5, p=75, q=100):
+    sets = sets_of(texts, n)
+    up = {i: i for i in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in combinations(sets, 2):
+        if sets[a] and q * len(sets[a] & sets[b]) >= p * len(sets[a] | sets[b]):
+            x, y = find(a), find(b)
+            up[max(x, y)] = min(x, y)
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def made_texts(seed, families=12):
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(families):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.randint(1, 80))]
+        for _ in range(rng.randint(1, 7)):
+            w = list(base)
+            for _ in range(rng.randint(0, 3)):
+                w[rng.randrange(len(w))] = f"n{rng.randrange(9999)}"
+            texts.append(rng.choice([" ", "\n"]).join(w).replace("w1", "W1"))
+    rng.shuffle(texts)
+    return list(enumerate(texts + ["", " \t", None, "a b", "A b", "a b c"]))
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("rounds", [0, 4])
+def test_against_all_pairs(spark, staging, monkeypatch, seed, rounds):
+    """Without star rounds everything comes from the enumeration of what is left; both are exact."""
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", rounds)
+    texts = made_texts(seed)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    out = jaccard.similarity_components(docs, staging)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()}
+    assert out.count() == len(texts) and got == brute(texts)
+
+
+def test_other_sizes_and_thresholds(spark, staging):
+    texts = made_texts(7)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    out = jaccard.similarity_components(docs, staging, n=2, threshold=Fraction(1, 2))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()} == brute(texts, 2, 50, 100)
+
+
+def test_exactly_at_the_threshold(spark, staging):
+    words = [f"w{i}" for i in range(20)]
+    a, b = " ".join(words[:13]), " ".join(words[:10])  # 9 and 6 shingles, 6 common: 6 / 9
+    c = " ".join(words[:12])  # 8 shingles: 6 / 8 = 0.75 with b, 8 / 9 with a
+    docs = spark.createDataFrame([(1, b), (2, c), (3, a)], "doc_id long, text string")
+    only = docs.where("doc_id <> 2")
+    assert {r["component_id"] for r in jaccard.similarity_components(docs, staging).collect()} == {1}
+    assert {r["component_id"] for r in jaccard.similarity_components(only, staging).collect()} == {1, 3}
+
+
+def test_a_hot_group_and_common_shingles(spark, staging):
+    """A third of all rows are near copies of one text; another third share a passage without being near."""
+    rng = random.Random(2)
+    base = [f"b{i}" for i in range(90)]
+    passage = [f"p{i}" for i in range(12)]
+    texts = []
+    for i in range(300):
+        if i % 3 == 0:
+            w = list(base)
+            w[rng.randrange(90)] = f"x{i}"
+        else:
+            w = [f"r{rng.randrange(10**6)}" for _ in range(60)] + (passage if i % 3 == 1 else [])
+        texts.append((i, " ".join(w)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similarity_components(docs, staging).collect()}
+    assert got == brute(texts)
+
+
+def test_nulls_repeats_clashing_columns_and_nothing(spark, staging):
+    text = " ".join(f"w{i}" for i in range(9))
+    rows = [(5, text, 1), (5, text, 1), (3, text, 2), (None, text, 3), (7, None, 4), (8, "", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
+    got = sorted(tuple(-1 if v is None else v for v in r) for r in jaccard.similarity_components(docs, staging).collect())
+    assert got == [(-1, 5, -1), (3, 5, 3), (5, 5, 3), (5, 5, 3), (7, 0, 7), (8, 0, 8)]
+    assert jaccard.similarity_components(docs.limit(0), staging).collect() == []
