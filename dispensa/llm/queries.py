@@ -2,28 +2,124 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispensa.catalog import Query
-from dispensa.llm import jaccard, substrings
+from dispensa.llm import decontaminate, embeddings, jaccard, language_model, licences, pages, quality, substrings, urls
+from dispensa.llm.bpe import Codec
 from dispensa.sources.staging import Staging
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = licences.scan(docs, licences.fit(docs, Staging(spark)))
+    confirmed = F.filter("notices", lambda n: n["confirmed"])
+    names = lambda notices: F.array_join(F.array_sort(F.array_distinct(F.transform(notices, lambda n: n["family"]))), ",")
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("notices").alias("n_notices"), F.size(confirmed).alias("n_confirmed"),
+        names(confirmed).alias("families"), "licence", "probability", "confirmed",
+    )
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    out = substrings.remove_repeats(_table(spark, folder, "documents"))
+    out = substrings.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    out = pages.main_texts(_table(spark, folder, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    codec = Codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    out = codec.decode(codec.encode(_table(spark, folder, "documents").select("doc_id", "text")))
+    return out.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similarity_components(_table(spark, folder, "documents"), Staging(spark))
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    out = quality.score(docs, quality.fit(docs, _table(spark, folder, "labels")))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(urls.RULES, urls.RULE_SCHEMA)
+    out = urls.judged(_table(spark, folder, "pages"), rules, Staging(spark))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"), Staging(spark))
+
+
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    out = decontaminate.mark(docs, _table(spark, folder, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op10_class_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score(_table(spark, folder, "documents"), Staging(spark))
+
+
+def _url_rules_sql() -> str:
+    """The rules one by one, and aliases by a recursive walk over the links."""
+    host = "translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    path = "regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+    rule = " ".join(
+        f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{h}{p}'"
+        for h, p, _ in sorted(urls.RULES, key=lambda r: -len(r[0] + r[1]))
+    )
+    verdict = " ".join(f"when '{h}{p}' then '{v}'" for h, p, v in urls.RULES)
+    node = f"""case when {host} <> '' then {host} ||
+        case when starts_with(regexp_extract({{0}}, '(?s)://[^/?#]*([^#]*)', 1), '/') then '' else '/' end ||
+        regexp_extract({{0}}, '(?s)://[^/?#]*([^#]*)', 1) end"""
+    judged = f"select *, case {rule} end as rule from {{0}}"
+    link = r"""regexp_extract(html, '(?is)<link\s[^>]*rel="?canonical\b[^>]*href="?([^"\s>]+)', 1)"""
+    refresh = r"""regexp_extract(html, '(?is)<meta\s[^>]*http-equiv="?refresh\b[^>]*url=([^"''>\s]+)', 1)"""
+    return f"""with recursive
+        linked as (select url, case when {refresh} <> '' then {refresh} else {link} end as target from pages
+                   where contains(lower(html), 'canonical') or contains(lower(html), 'refresh')),
+        pair as (select {node.format('url')} as a, {node.format('target')} as b from linked),
+        edge as (select a, b from pair where a <> b union select b, a from pair where a <> b),
+        reach as (select a as x, a as y from edge union select x, b from reach join edge on a = y),
+        spot as (select x, y, {host.format("('x://' || y)")} as host, {path.format("('x://' || y)")} as path from reach),
+        marked as (select x, case rule {verdict} end as verdict from ({judged.format('spot')})),
+        spread as (select x, case when bool_or(verdict = 'allow') then 'allow' when bool_or(verdict = 'block') then 'block' end
+                   as verdict from marked group by x),
+        row as (select page_id, {node.format('url')} as node, coalesce({host.format('url')}, '') as host,
+                coalesce({path.format('url')}, '') as path from pages)
+        select page_id, host, path, rule, coalesce(case rule {verdict} end, s.verdict, 'allow') as verdict
+        from ({judged.format('row')}) left join spread s on x = node"""
+
+
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": Query(op1_license_scan),
     "op2_substring_dedup": Query(op2_substring_dedup),
+    "op3_html_extraction": Query(op3_html_extraction),
+    "op4_byte_bpe": Query(op4_byte_bpe),
     "op5_ngram_jaccard_join": Query(op5_ngram_jaccard_join),
+    "op6_quality_classifier": Query(op6_quality_classifier),
+    "op7_url_filter": Query(op7_url_filter, _url_rules_sql()),
+    "op8_embedding_near_dedup": Query(op8_embedding_near_dedup),
+    "op9_decontamination": Query(op9_decontamination),
+    "op10_class_language_model": Query(op10_class_language_model),
 }

@@ -1,0 +1,113 @@
+"""The pipeline: each stage against a plain reading of its own input."""
+
+from __future__ import annotations
+
+import base64
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+import corpus_pipeline
+from dispensa.llm import quality
+from tests.llm.test_llm_decontaminate import brute as windows_hit
+from tests.llm.test_llm_decontaminate import split
+from tests.llm.test_llm_jaccard import sets_of
+from tests.llm.test_llm_substrings import brute as without_repeats
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def steps(spark, folder):
+    """The rows that each stage got, and what came out at the end."""
+    from dispensa.sources.staging import Staging
+
+    staging, docs = Staging(spark), spark.read.parquet(f"{folder}/documents.parquet")
+    seen = []
+    for name, stage in corpus_pipeline.STAGES:
+        seen.append(docs)
+        docs = staging.keep(stage(spark, docs, folder), name.replace(" ", "_"))
+    return [*seen, docs]
+
+
+def rows(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def test_names_and_columns(steps):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "n-gram Jaccard join", "substring dedup", "benchmark decontamination",
+        "byte-level BPE encoding and decoding",
+    ]
+    assert all(df.columns == COLUMNS for df in steps[:5])
+    assert all(df.count() > 100 for df in steps)
+
+
+def test_quality(spark, folder, steps):
+    machine = quality.fit(steps[0], spark.read.parquet(f"{folder}/labels.parquet"))
+    want = quality.score(steps[0], machine).where("score >= 0.3").select("doc_id").collect()
+    assert set(rows(steps[1])) == {r["doc_id"] for r in want}
+
+
+def test_one_of_each_group(steps):
+    before, after = rows(steps[1]), rows(steps[2])
+    sets = sets_of([(i, r["text"]) for i, r in before.items()])
+    linked = {}
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                linked[a] = min(linked.get(a, a), linked.get(b, b))
+    assert set(after) == {i for i in ids if linked.get(i, i) == i}
+    assert all(after[i] == before[i] for i in after)
+
+
+def test_repeats_are_gone(steps):
+    before, after = rows(steps[2]), rows(steps[3])
+    ids = sorted(before)
+    for i, (_, gone, text) in zip(ids, without_repeats([before[i]["text"] for i in ids], 35)):
+        assert after[i]["text"] == (text if gone else " ".join(before[i]["text"].split()) if before[i]["text"] else before[i]["text"])
+        assert after[i]["n_chars"] == (len(text) if gone else before[i]["n_chars"])
+
+
+def test_benchmark_is_gone(spark, folder, steps):
+    items = [(str(r["item_id"]), r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    before, after = rows(steps[3]), rows(steps[4])
+    want = windows_hit([(i, r["text"]) for i, r in before.items()], items)
+    left = windows_hit([(i, r["text"]) for i, r in after.items()], items)
+    assert set(before) == set(after) and sum(w[1] > 0 for w in want.values()) > 0
+    for i, (n, hit, _) in want.items():
+        if hit:
+            assert len(split(after[i]["text"])) == (0 if hit > 0.5 * n else n - hit)
+        else:
+            assert after[i] == before[i]
+        assert left[i][1] == 0
+
+
+def test_tokens(steps):
+    with open(public_tokenizers.path(corpus_pipeline.VOCABULARY), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts, out = rows(steps[4]), rows(steps[5])
+    assert set(texts) == set(out)
+    for i, r in out.items():
+        assert np.frombuffer(r["ids"], "<u4").tolist() == library.encode_ordinary(texts[i]["text"] or "")
+        assert r["round_trip"] and r["n_tokens"] == len(r["ids"]) // 4
+
+
+def test_run(spark, folder, steps):
+    out = corpus_pipeline.run(spark, folder)
+    assert sorted(map(tuple, out.select("doc_id", "n_tokens").collect())) == sorted(map(tuple, steps[5].select("doc_id", "n_tokens").collect()))
+
+
+def test_stages_take_empty_and_odd_tables(spark, tmp_path, steps):
+    folder = str(tmp_path)
+    for t, schema in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], schema).write.parquet(f"{folder}/{t}.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", None, 0), (1, "", "en", None, 0)], steps[0].schema)
+    for docs in (steps[0].limit(0), odd):
+        for _, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, folder)
+            assert out.count() == docs.count()
