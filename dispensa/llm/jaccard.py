@@ -6,9 +6,10 @@
 2. Documents with equal sets become one class; one of them stands for it.
 3. Prefix shingles are joined. Length, positional and suffix filters (the last from counts of each set in
    fixed parts of the hash range) leave candidate pairs, each verified once by intersecting the whole sets.
-4. A shingle with m documents is not turned into m * m pairs: rounds pair its documents with one of them,
-   and the components found make most pairs needless. What then still joins two components is enumerated
-   in full, so the components are exact.
+4. A shingle with m documents is not turned into m * m pairs: while there would be more than ``LINEAR`` pairs
+   for each document and shingle, a round pairs the documents with one of them, and the components found
+   make most pairs needless. What still joins two components in the end is enumerated in full, so the
+   components are exact.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased; a set has the distinct n-grams, or the
 whole sequence if there are fewer words. Defined results: a null, empty or blank text has an empty set
@@ -33,6 +34,7 @@ from dispensa.llm.words import Words, mix
 from dispensa.sources.staging import Staging
 
 STAR_ROUNDS = 4
+LINEAR = 3  # pairs for each post that are enumerated at once
 SKETCH = 32
 _COUNTED = np.uint64(0xFFFFFFFFFF000000)  # 40 bits name a shingle while counting; they only order it
 _SETS = (
@@ -169,15 +171,14 @@ def similarity_components(
 
     links, groups, turn = None, None, 0
     while not posts.isEmpty():
-        pairs = _stars(posts, turn, threshold) if turn < STAR_ROUNDS else _across(posts, threshold)
+        last = turn == STAR_ROUNDS or _is_linear(posts)
+        pairs = _across(posts, threshold) if last else _stars(posts, turn, threshold)
         found = staging.keep(_verified(pairs.distinct(), sets, threshold), "links")
-        if turn == STAR_ROUNDS or not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            groups = connected(links, staging)
-        if turn == STAR_ROUNDS:
+        links = found if links is None else links.unionByName(found)
+        groups = staging.keep(connected(links, staging), "groups")
+        if last:
             break
-        # Rounds go on while they find links; then all that is left between two components is compared.
-        turn = turn + 1 if not found.isEmpty() else STAR_ROUNDS
+        turn += 1
         posts = _open(posts, groups, staging)
     merged = sets.select("rep").limit(0).selectExpr("rep as node", "rep as component") if groups is None else groups
     named = classes.join(merged, classes["rep"] == merged["node"], "left").select(
@@ -189,13 +190,19 @@ def similarity_components(
     )
 
 
-def _open(posts: DataFrame, groups: DataFrame | None, staging: Staging) -> DataFrame:
+def _is_linear(posts: DataFrame) -> bool:
+    """Whether the pairs of documents of a shingle that lie in two components are few beside the posts."""
+    parts = posts.groupBy("shingle", "part").agg(F.count("*").cast("double").alias("m"))
+    pairs = parts.groupBy("shingle").agg(((F.sum("m") ** 2 - F.sum(F.col("m") ** 2)) / 2).alias("pairs"), F.sum("m").alias("m"))
+    total, rows = pairs.agg(F.sum("pairs"), F.sum("m")).first()
+    return total <= LINEAR * rows
+
+
+def _open(posts: DataFrame, groups: DataFrame, staging: Staging) -> DataFrame:
     """The posts of shingles that still hold more than one component, with the component."""
-    if groups is not None:
-        posts = posts.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "shingle", "rep", "n", "at", F.coalesce("component", "rep").alias("part")
-        )
-    marked = posts
+    marked = posts.drop("part").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "shingle", "rep", "n", "at", F.coalesce("component", "rep").alias("part")
+    )
     marked = staging.keep(marked, "marked")
     mixed = marked.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
     return staging.keep(marked.join(mixed.select("shingle"), "shingle"), "open")
