@@ -1,10 +1,11 @@
 """Byte-level BPE by replaying merges over all distinct pieces of a stretch of the corpus at once.
 
 Texts are cut into pieces by the vocabulary's pattern. The distinct pieces of a batch that the worker has not
-seen lately are laid out as one row of tokens, with an inverted index from the rank of a token pair to the
-positions where it stands. Ranks are taken in rising order; each merge visits only its own positions, from
-left to right, and looks up anew only the two pairs it touches. Merges never cross pieces, so the result is
-that of encoding each piece alone, and no data has to be shuffled.
+seen lately are laid out as one row of tokens. An inverted index leads from the ranks of token pairs, in bands
+of ``BAND`` ranks, to the positions where they stand. Bands are taken in rising order, and in a band each piece's
+least rank, for all pieces at once (of overlapping pairs the left one), so every piece sees its merges in the
+order of their ranks. Only the two pairs beside a merge are looked up anew and entered in the index. Merges
+never cross pieces, so the result is that of encoding each piece alone, and no data has to be shuffled.
 
 A vocabulary file has about a megabyte whatever the corpus, and travels in a broadcast. A worker keeps the
 encodings of ``REMEMBERED`` pieces at most, and starts over when they are reached.
@@ -17,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import heapq
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from dispensa.llm.batches import mapped
 
 REMEMBERED = 150_000
+BAND = 1024
+_NONE = 1 << 30  # the rank of a pair that makes no token
+_GAP, _GONE = 1 << 20, (1 << 20) + 1  # between pieces; taken into a token to the left
 
 
 class Vocabulary:
@@ -38,57 +41,92 @@ class Vocabulary:
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines()) if a}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pieces = regex.compile(pattern).findall
-        self.first = [self.ranks[bytes([b])] for b in range(256)]
-        self.joined: dict[tuple[int, int], int] = {}
+        self.first = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        joined: dict[int, int] = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
-                    self.joined[a, b] = rank
+                    joined[a << 32 | b] = rank
+        self.pairs = np.array(sorted(joined), dtype=np.int64)
+        self.pair_ranks = np.array([joined[p] for p in self.pairs.tolist()], dtype=np.int32)
         self.known: dict[str, bytes] = {}
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of pairs of tokens."""
+        pair = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.pair_ranks[at], _NONE)
+
     def learn(self, pieces: list[str]) -> None:
         """Encode distinct pieces together by replaying the merges in the order of their ranks."""
         if len(self.known) + len(pieces) > REMEMBERED:
             self.known.clear()
-        joined = self.joined
-        row = [-1]  # between pieces stands a token that joins with nothing
-        begins = []
-        for piece in pieces:
-            begins.append(len(row))
-            row += map(self.first.__getitem__, piece.encode())
-            row.append(-1)
-        after, before = list(range(1, len(row) + 1)), list(range(-1, len(row) - 1))
-        index: dict[int, list[int]] = {}
-        for at, rank in enumerate(map(joined.get, zip(row, row[1:]))):
-            if rank is not None:
-                index.setdefault(rank, []).append(at)
-        waiting = list(index)
-        heapq.heapify(waiting)
-        while waiting:
-            rank = heapq.heappop(waiting)
-            for at in sorted(index.pop(rank)):
-                right = after[at]
-                if row[at] < 0 or joined.get((row[at], row[right])) != rank:
-                    continue  # an earlier merge took one of the two
-                left, beyond = before[at], after[right]
-                row[at], row[right] = rank, -2
-                after[at], before[beyond] = beyond, at
-                for place, pair in ((left, (row[left], rank)), (at, (rank, row[beyond]))):
-                    more = joined.get(pair)
-                    if more is None:
-                        continue
-                    if more in index:
-                        index[more].append(place)
-                    else:
-                        index[more] = [place]
-                        heapq.heappush(waiting, more)
-        ids = np.array(row, dtype=np.int64)
-        left_over = ids >= 0
-        cuts = np.concatenate([[0], np.cumsum(left_over)])
-        raw, stops = ids[left_over].astype("<u4").tobytes(), 4 * cuts
-        for piece, a, b in zip(pieces, begins, [*begins[1:], len(row)]):
-            self.known[piece] = raw[stops[a] : stops[b]]
+        if not pieces:
+            return
+        raw = [p.encode() for p in pieces]
+        sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        row = np.full(int(sizes.sum()) + len(raw) + 1, _GAP, dtype=np.int32)
+        begins = 1 + np.cumsum(sizes + 1) - (sizes + 1)
+        row[np.arange(sizes.sum()) + np.repeat(np.arange(1, len(raw) + 1), sizes)] = self.first[
+            np.frombuffer(b"".join(raw), dtype=np.uint8)
+        ]
+        owner = np.repeat(np.arange(len(raw) + 1, dtype=np.int32), np.append(sizes + 1, 1))  # of the gap before a piece too
+        after, before = np.arange(1, len(row) + 1), np.arange(-1, len(row) - 1)
+        chosen = np.zeros(len(row), dtype=bool)
+        rank = np.append(self._rank(row[:-1], row[1:]), np.int32(_NONE))
+        index: list[list[np.ndarray]] = [[] for _ in range(int(self.pair_ranks.max()) // BAND + 1)]
+
+        def enter(places: np.ndarray) -> None:
+            bands = rank[places] // BAND
+            order = np.argsort(bands, kind="stable")
+            cuts = np.flatnonzero(np.diff(bands[order])) + 1
+            for part in np.split(places[order], cuts):
+                index[rank[part[0]] // BAND].append(part)
+
+        at = np.flatnonzero(rank < _NONE)
+        if len(at):
+            enter(at)
+        for band, places in enumerate(index):
+            while places:
+                # A place may have been entered twice, or have got another pair since.
+                at = np.unique(np.concatenate(places))
+                places.clear()
+                at = at[rank[at] < (band + 1) * BAND]
+                if not len(at):
+                    continue
+                # Places of a piece lie side by side; its least rank is next. Of a run of equal pairs that overlap
+                # the first goes now, the third in the next turn.
+                heads = np.flatnonzero(np.diff(owner[at], prepend=-1))
+                widths = np.diff(np.append(heads, len(at)))
+                least = rank[at] == np.repeat(np.minimum.reduceat(rank[at], heads), widths)
+                chosen[at[least]] = True
+                least &= ~chosen[before[at]]
+                chosen[at] = False
+                now = at[least]
+                if len(now) < len(at):
+                    places.append(at[~least])
+                right = after[now]
+                beyond = after[right]
+                row[now], row[right] = rank[now], _GONE
+                after[now], before[beyond] = beyond, now
+                rank[right] = _NONE
+                rank[now] = self._rank(row[now], row[beyond])
+                left = before[now]
+                rank[left] = self._rank(row[left], row[now])
+                touched = np.concatenate([now, left])
+                touched = touched[rank[touched] < _NONE]
+                early = rank[touched] < (band + 1) * BAND
+                if early.any():
+                    places.append(touched[early])
+                if not early.all():
+                    enter(touched[~early])
+        kept = row < _GAP
+        ids = row[kept].astype("<u4").tobytes()
+        stops = 4 * np.concatenate([[0], np.cumsum(kept)])
+        starts, ends = stops[begins].tolist(), stops[begins + sizes].tolist()
+        for piece, a, b in zip(pieces, starts, ends):
+            self.known[piece] = ids[a:b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -126,7 +164,7 @@ class Codec:
             ids = _vocabulary(shared.value, pattern).encode(texts)
             return {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
 
-        return mapped(docs, text, work, "n_tokens bigint, ids binary", 2 << 20)
+        return mapped(docs, text, work, "n_tokens bigint, ids binary")
 
     def decode(self, encoded: DataFrame, ids: str = "ids") -> DataFrame:
         """The table with decoded, the bytes that the ids stand for."""
