@@ -32,8 +32,8 @@ from dispensa.sources.staging import Staging
 BUCKETS = 4096
 BACKGROUND, BACKGROUND_DOCS = 1500, 500
 VARIANTS = 6
-STEPS = 40
-RATE, PENALTY = 0.6, 2e-4
+STEPS = 50
+RATE, PENALTY = 0.8, 5e-5
 CONFIRM = 0.6
 UNKNOWN = "unknown"
 
@@ -96,6 +96,8 @@ TEMPLATES: dict[str, list[str]] = {
     "proprietary": [
         "All rights reserved.",
         "Copyright by the author. All rights reserved.",
+        "Copyright 2020 the authors. All rights reserved.",
+        "No part of this work may be reproduced without the written permission of the copyright holder.",
         "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
     ],
 }
@@ -187,9 +189,13 @@ def _examples(docs: DataFrame, text: str) -> DataFrame:
     known = [(t, f) for f, ts in TEMPLATES.items() for t in ts] + [(t, UNKNOWN) for t in NEAR_MISSES]
     known = spark.createDataFrame(known, "text string, family string")
     known = known.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
-    # The first variant is the template itself, the others drop about a tenth of the words.
-    keep = lambda w, i: (F.col("variant") == 0) | (F.pmod(F.xxhash64(w, i, "variant", "text"), F.lit(10)) > 0)
-    known = known.withColumn("text", F.array_join(F.filter(F.split("text", " "), keep), " ")).select("text", "family")
+    # The first variant is the template itself. Others have words before or after it; long ones lack a tenth of theirs.
+    long = F.size(F.split("text", " ")) > 14
+    keep = lambda w, i: ~long | (F.col("variant") == 0) | (F.pmod(F.xxhash64(w, i, "variant", "text"), F.lit(10)) > 0)
+    said = F.array_join(F.filter(F.split("text", " "), keep), " ")
+    around = F.lit([["", ""], ["Note:", ""], ["", "See the file for details."], ["The text is", ""], ["", "Thank you"], ["This file:", "and so on"]])
+    add = F.get(around, F.col("variant"))
+    known = known.select(F.trim(F.concat_ws(" ", F.get(add, F.lit(0)), said, F.get(add, F.lit(1)))).alias("text"), "family")
     few = docs.select(F.col(text).alias("text")).where("text is not null").orderBy(F.xxhash64("text"), "text").limit(BACKGROUND_DOCS)
     lines = few.select(F.explode(F.split("text", "\n")).alias("text")).where(~F.rlike("text", F.lit(_HINTS)) & (F.trim("text") != ""))
     lines = lines.orderBy(F.xxhash64("text"), "text").limit(BACKGROUND)
@@ -260,7 +266,7 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents' columns with n_paragraphs, the notices (paragraph from 0, family, probability, confirmed),
     and the family, probability and confirmation of the best one: confirmed before likelier before earlier."""
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in RESULTS and c != text]
-    lines = F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda p: F.trim(p) != "")
+    lines = F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda p: F.rlike(p, F.lit(r"\S")))
     rows = docs.select(F.struct(*kept).alias("doc"), F.coalesce(lines, F.array().cast("array<string>")).alias("lines"))
     rows = rows.crossJoin(F.broadcast(model.table(docs)))  # one row of bounded size
 
