@@ -11,7 +11,14 @@ _FIELDS = ", ".join(
     for source, column, t in feed.VISIT_FIELDS
 )
 
+_STRIPPED = r"""regexp_replace(regexp_replace(body, '^(\s*<[^>]*>)+\s*', ''), '(</[^>]*>\s*)+$', '')"""
+
 QUERIES: dict[str, Query] = {
+    "json_rejects": Query(
+        lambda s, d: feed.json_rejects(standin(s, d, "payloads_raw")),
+        f"""with payloads as ({standin_sql('payloads_raw')})
+            select payload_id, body from payloads where not json_valid({_STRIPPED})""",
+    ),
     "json_shred": Query(
         lambda s, d: feed.shred_json(standin(s, d, "payloads")),
         f"""with payloads as ({standin_sql('payloads')}),

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dispensa.functions.compat import raise_unless
+
 # Name in the feed, column of the fact table, type; in the table's order.
 VISIT_FIELDS = (
     ("EventKod", "EventKod", "string"),
@@ -37,18 +39,39 @@ def strip_envelope(body: Column) -> Column:
     return F.regexp_replace(opened, r"(?:</[^>]*+>\s*+)+$", "")
 
 
-def shred_json(payloads: DataFrame, body: str = "body", strict: bool = False) -> DataFrame:
+def _parsed(body: str, strict: bool = False) -> tuple[Column, Column]:
+    """The elements of a payload, and whether its text is not one well-formed value.
+
+    The parser stops after a value; between brackets, whatever follows it counts too.
+    """
+    text = strip_envelope(F.col(body))
+    elements = F.from_json(text, ELEMENT, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    whole = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.StringType()))
+    return elements, (F.trim(text) != "") & (F.coalesce(F.size(whole), F.lit(-1)) != 1)
+
+
+def shred_json(payloads: DataFrame, body: str = "body", strict: bool = False, skip_rejects: bool = False) -> DataFrame:
     """One row per array element, with the 17 declared columns.
 
     A missing field is null. A value that is not of its declared type is null too, or fails the
-    job when ``strict``.
+    job when ``strict``. A text that is not well-formed fails the job; with ``skip_rejects`` it is
+    left out here and ``json_rejects`` returns it.
     """
-    options = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
-    elements = F.from_json(strip_envelope(F.col(body)), ELEMENT, options)
+    elements, bad = _parsed(body, strict)
+    good = ~F.coalesce(bad, F.lit(False))
+    if skip_rejects:
+        elements = F.when(good, elements)
+    else:
+        elements = raise_unless(good, elements, "payload is not well-formed JSON")
     rows = payloads.select(F.inline(elements))
     return rows.select(*[F.col(source).alias(column) for source, column, _ in VISIT_FIELDS])
 
 
+def json_rejects(payloads: DataFrame, body: str = "body") -> DataFrame:
+    """The payloads whose text is not well-formed, with all their columns."""
+    return payloads.where(_parsed(body)[1])
+
+
 def append_by_position(target: DataFrame, rows: DataFrame) -> DataFrame:
     """``target`` and ``rows`` together; columns are matched by position and cast to the target's."""
     if len(target.columns) != len(rows.columns):

@@ -49,3 +49,20 @@ def test_append_by_position(spark):
     assert got.dtypes == target.dtypes and sorted(map(tuple, got.collect())) == [(1, "a"), (2, "3")]
     with pytest.raises(ValueError, match="1 columns given, 2 expected"):
         feed.append_by_position(target, rows.select("x"))
+
+
+BROKEN = ['[{"Line":"a"},{"Line":"b', '[{"Line":"a"}] stray', "<a>[</a>", "{"]
+
+
+@pytest.mark.parametrize("body", BROKEN)
+def test_a_payload_that_is_not_well_formed_fails(spark, body):
+    df = payloads(spark, '[{"Line":"good"}]', body)
+    with pytest.raises(Exception, match="not well-formed"):
+        feed.shred_json(df).collect()
+
+
+def test_rejects_are_returned_and_nothing_else(spark):
+    good = ['[{"Line":"a"},{"Line":"b"}]', "[]", "", "  ", "<a></a>", None]
+    df = payloads(spark, *good, *BROKEN)
+    assert sorted(r["body"] for r in feed.json_rejects(df).collect()) == sorted(BROKEN)
+    assert sorted(r["Line"] for r in feed.shred_json(df, skip_rejects=True).collect()) == ["a", "b"]
