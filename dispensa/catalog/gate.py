@@ -18,12 +18,15 @@ _REQUESTS = "select distinct cycle_id, account_id from {log} union all select di
 _PROCESSES = """select cycle_id * 10 + account_id as process_id, cycle_id, account_id,
     case when account_id = 2 then cast(sum(rec_s) as int) when account_id <> 3 then 0 end as total_errors,
     'rows rejected' as err_message, case when cycle_id > 9 then 'started' end as message, cast(7 as int) as approve_flag
-    from {log} group by cycle_id, account_id"""
+    from {log} group by cycle_id, account_id
+    union all select distinct cycle_id * 10 + 8, cycle_id, 8, 0, 'rows rejected', cast(null as string), cast(7 as int)
+    from {log}"""
 
 
-def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _tables(spark: SparkSession, folder: str) -> dict:
     log = standin(spark, folder, "log_pp")
     return {
+        "staging": Staging(spark),
         "requests": spark.sql(_REQUESTS, log=log),
         "cycles": standin(spark, folder, "log_cycle"),
         "accounts": standin(spark, folder, "gate_account"),
@@ -116,7 +119,9 @@ def _oracle(final: str, units_range: int = 35, records_range: int = 35) -> str:
     ctes["noted"] = """select l.* exclude (note), coalesce(v.note, l.note) as note from log_pp l
         left join verdicts v on v.cycle_id = l.cycle_id and v.account_id = l.account_id"""
     ctes["processes"] = _PROCESSES.format(log="log_pp")
-    ctes["routed"] = """select p.*, v.verdict, v.message as gate_message,
+    # The accounts 8 have no verdict, which counts as a failed check.
+    ctes["routed"] = """select p.*, coalesce(v.verdict, -1) as verdict,
+        case when v.verdict is null then 'Production Control gave no verdict' else v.message end as gate_message,
         (select max(note) from noted n where n.cycle_id = p.cycle_id and n.account_id = p.account_id and is_deleted = 0)
             as log_note
         from processes p left join verdicts v on v.cycle_id = p.cycle_id and v.account_id = p.account_id"""

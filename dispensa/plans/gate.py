@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dispensa.functions.compat import live
+from dispensa.sources.staging import Staging
 
 KEYS = ("cycle_id", "account_id")
 
@@ -39,6 +40,7 @@ METRICS = (
 # Messages of the routing; the line break is written as two characters.
 SUPPLY_PASSED = "Pharmacy File is passed from Supply Service Control successfully.........\\n"
 PRODUCTION_PASSED = "Pharmacy File is passed from Production Control successfully.........\\n"
+NO_VERDICT = "Production Control gave no verdict"
 OPERATOR = 9999
 
 
@@ -79,9 +81,17 @@ def log_summary(log: DataFrame) -> DataFrame:
     )
 
 
-def facts_of_requests(requests: DataFrame, cycles: DataFrame, accounts: DataFrame, log: DataFrame) -> DataFrame:
-    """One row per request with all that the checks look at; ``p_`` marks the previous cycle."""
+def facts_of_requests(
+    requests: DataFrame, cycles: DataFrame, accounts: DataFrame, log: DataFrame, staging: Staging | None = None
+) -> DataFrame:
+    """One row per request with all that the checks look at; ``p_`` marks the previous cycle.
+
+    The log's summary and the cycles are each needed twice; with ``staging`` they are stored, so that
+    the log is summed once.
+    """
     summary = log_summary(log)
+    if staging is not None:
+        summary, cycles = staging.keep(summary, "log_summary"), staging.keep(cycles, "cycles")
     previous = summary.select(
         F.col("cycle_id").alias("prev_cycle_id"),
         "account_id",
@@ -162,9 +172,10 @@ def gate_verdict(
     log: DataFrame,
     units_range: int | None = 35,
     records_range: int | None = 35,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Per request: verdict -1 with a message, 0 with a note, or 1."""
-    facts = facts_of_requests(requests, cycles, accounts, log)
+    facts = facts_of_requests(requests, cycles, accounts, log, staging)
     checked = facts.select(
         *KEYS,
         "prev_cycle_id",
@@ -186,13 +197,16 @@ def route(processes: DataFrame, verdicts: DataFrame, noted_log: DataFrame) -> Da
     """Each process with the outcome that decides its branch.
 
     Only an error count of exactly 0 reaches the gate. The note comes from log rows whose deletion
-    flag is 0; a missing flag does not count here.
+    flag is 0; a missing flag does not count here. A process whose (cycle, account) has no verdict
+    counts as one of -1: message, flag and status all follow from the verdict made here.
     """
     notes = noted_log.where(F.col("is_deleted") == 0).groupBy(*KEYS).agg(F.max("note").alias("log_note"))
     gate = verdicts.select(*KEYS, "verdict", F.col("message").alias("gate_message"))
     return (
         processes.join(gate, list(KEYS), "left")
         .join(notes, list(KEYS), "left")
+        .withColumn("gate_message", F.when(F.col("verdict").isNull(), NO_VERDICT).otherwise(F.col("gate_message")))
+        .withColumn("verdict", F.coalesce("verdict", F.lit(-1)))
         .withColumn("passed_supply", F.coalesce(F.col("total_errors") == 0, F.lit(False)))
     )
 

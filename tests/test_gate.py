@@ -139,7 +139,7 @@ def routed(spark):
     )
     noted = g.write_notes(log, verdicts)
     processes = spark.createDataFrame(
-        [(11, 1, 1, 0, "e", "m", 5), (12, 2, 1, 0, "e", "m", 5), (13, 3, 1, 0, "e", None, 5), (14, 1, 1, 3, "bad", None, 5), (15, 1, 1, None, "bad", "m", 5)],
+        [(11, 1, 1, 0, "e", "m", 5), (12, 2, 1, 0, "e", "m", 5), (13, 3, 1, 0, "e", None, 5), (14, 1, 1, 3, "bad", None, 5), (15, 1, 1, None, "bad", "m", 5), (16, 4, 4, 0, "e", "m", 5)],
         "process_id int, cycle_id int, account_id int, total_errors int, err_message string, message string, approve_flag int",
     )
     return noted, g.route(processes, verdicts, noted)
@@ -159,13 +159,14 @@ def test_process_updates(routed):
         13: ("E", "old\\nNot have previous cycle", 0),
         14: ("E", "There are 3 error transaction for Supply Service....\\nbad\\n", 5),
         15: ("E", None, 5),
+        16: ("E", "\\n" + g.NO_VERDICT, 0),
     }
 
 
 def test_operation_log(routed):
     got = {r["process_id"]: (r["status"], r["operation_user_id"], r["operation_date"]) for r in g.operation_log(routed[1], STATUS, "2024-02-01").collect()}
     day = dt.date(2024, 2, 1)
-    assert got == {11: ("E", 9999, day), 12: ("C", 9999, day), 13: ("C", 9999, day)}
+    assert got == {11: ("E", 9999, day), 12: ("C", 9999, day), 13: ("C", 9999, day), 16: ("C", 9999, day)}
 
 
 def test_hot_account(spark):
