@@ -104,7 +104,7 @@ def _fallback_sql() -> str:
 
 def _ctes() -> dict[str, str]:
     prior = "(select max(pd_id) // 100 - 1 from oper)"
-    known = "pfc in (select substring(bridge_code, 2, 7) from packs_raw) and customer_code in (select imscode from base)"
+    known = "pfc in (select substring(bridge_code, 2, 7) from packs_raw) and customer_code in (select imscode from base where onUnvrs = 1)"
     out = {name: standin_sql(name) for name in _INPUTS}
     out |= {
         "months": "select cast(val as int) as m from ctrl where param = 'MthsAvg'",
@@ -116,7 +116,7 @@ def _ctes() -> dict[str, str]:
                   and strptime(o.pd_id::varchar || '01', '%Y%m%d') - to_months(1)
               and b.PdID = o.pd_id::varchar""",
         "base": """select imscode, case when bolge in ('AFRICA', 'MIDDLE EAST') then 'AFRICA/MIDDLE EAST' else bolge end
-            as Region, 1 as onUnvrs, 1 as onPanel
+            as Region, on_universe as onUnvrs, on_panel as onPanel
             from shops_raw left join brick_region on brick1 = brick left join region_name on brickcode = tcode""",
         "turnover": f"""select customer_code, cast(sum(total_unit) as bigint) as Units from sellin
             where cast(period as int) between {prior} * 100 + 1 and {prior} * 100 + 12 and {known}
@@ -214,7 +214,7 @@ def _period_window(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _projected_units(job: pj.Projection) -> DataFrame:
-    return _rounded(pj.apply_factors(job.inputs.sellout, job.factors()), "ProjUnits")
+    return _rounded(pj.apply_factors(job.inputs.sellout, job.factors(), job.inputs.oper), "ProjUnits")
 
 
 _ROUNDED_FACTORS = "select * replace (round(PF, 6) as PF) from "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,11 @@ def same_text(a: Column, b: Column) -> Column:
     return F.rtrim(a) == F.rtrim(b)
 
 
+def trimmed(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` without the trailing blanks of blank-padded key columns, so that they meet in joins and groups."""
+    return df.withColumns({c: F.rtrim(c) for c in columns if c in df.columns})
+
+
 def text_concat(*parts: Column) -> Column:
     """Concatenation that takes null for the empty text."""
     return F.concat_ws("", *[p.cast("string") for p in parts])

@@ -274,13 +274,13 @@ def universe(monthly: DataFrame, window: DataFrame, shops: DataFrame, packs: Dat
     """Sell-in units per operated period, shop and pack, over the months before the period.
 
     The window has a row per operated period and month, so it is broadcast: periods are too few
-    to shuffle by.
+    to shuffle by. It comes last, as each row then stands once for every period it counts in.
     """
     periods = F.broadcast(window.select(F.col("PdID").alias("period"), "ProcPdID"))
     return (
-        monthly.join(periods, "period")
-        .join(_shop_keys(shops), F.col("_shop_code") == F.col("customer_code"))
+        monthly.join(_shop_keys(shops), F.col("_shop_code") == F.col("customer_code"))
         .join(_pack_keys(packs), F.col("_pack_code") == F.col("pfc"))
+        .join(periods, "period")
         .groupBy(F.col("ProcPdID").alias("PdID"), "ShopID", "PackID")
         .agg(F.sum("total_unit").alias("Units"))
     )
@@ -291,20 +291,35 @@ def swapped_period(date: Column) -> Column:
     return F.year(date) * 100 + F.dayofmonth(date)
 
 
+def swapped_dates(oper: DataFrame) -> DataFrame:
+    """(sale_date, PdID): the stored dates of the operated periods; day and month are exchanged in them.
+
+    A period has its month as the day of twelve dates.
+    """
+    periods = oper.where("pd_id % 100 between 1 and 12").select(F.col("pd_id").alias("PdID")).distinct()
+    year, day = int_div(F.col("PdID"), F.lit(100)).cast("int"), (F.col("PdID") % 100).cast("int")
+    dates = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda month: F.make_date(year, month, day))
+    return periods.select("PdID", F.explode(dates).alias("sale_date"))
+
+
+def _of_periods(sellout: DataFrame, oper: DataFrame, dates: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Sell-out of the operated periods, with the period.
+
+    The list of dates has a few rows per period, so it is broadcast; joined on the stored date itself it
+    prunes the partitions of a fact partitioned by date, and other periods never reach a shuffle.
+    """
+    return sellout.join(F.broadcast(dates(oper)), "sale_date")
+
+
 def panel_codes(
-    sellout: DataFrame, oper: DataFrame, period: Callable[[Column], Column] = swapped_period
+    sellout: DataFrame, oper: DataFrame, dates: Callable[[DataFrame], DataFrame] = swapped_dates
 ) -> DataFrame:
     """Distinct (period, shop code, pack code) of sales and returns in the operated periods.
 
-    The one pass over the sell-out fact; stock records are left out.
+    Stock records are left out.
     """
-    operated = F.broadcast(oper.select(F.col("pd_id").alias("PdID")).distinct())  # a row per period of the run
-    return (
-        sellout.where(F.col("record_type") != "03")
-        .select(period(F.col("sale_date")).alias("PdID"), "shop_code", "pfc")
-        .join(operated, "PdID", "left_semi")
-        .distinct()
-    )
+    rows = _of_periods(sellout.where(F.col("record_type") != "03"), oper, dates)
+    return rows.select("PdID", "shop_code", "pfc").distinct()
 
 
 def panel(codes: DataFrame, window: DataFrame, shops: DataFrame, packs: DataFrame) -> DataFrame:
@@ -442,15 +457,16 @@ def factor_orphan(orphans_attached: DataFrame) -> DataFrame:
 
 
 def apply_factors(
-    sellout: DataFrame, factors: DataFrame, period: Callable[[Column], Column] = swapped_period
+    sellout: DataFrame, factors: DataFrame, oper: DataFrame, dates: Callable[[DataFrame], DataFrame] = swapped_dates
 ) -> DataFrame:
     """Per region: shops, packs, units and projected units of the panel's sell-out.
 
     Both facts are summed per (region, shop, pack) before the distinct counts.
     """
     sold = (
-        sellout.select(
-            period(F.col("sale_date")).alias("PdID"),
+        _of_periods(sellout, oper, dates)
+        .select(
+            "PdID",
             zero_pad(F.col("shop_code"), 7).alias("_shop_code"),
             zero_pad(F.col("pfc"), 8).alias("_pack_code"),
             "pr_unit",
@@ -491,7 +507,7 @@ class Inputs:
     oper: DataFrame
     months: DataFrame
     folded_regions: dict[str, str] | None = None
-    period: Callable[[Column], Column] = swapped_period
+    dates: Callable[[DataFrame], DataFrame] = swapped_dates
     fix_class_key: bool = False
 
 
@@ -552,7 +568,7 @@ class Projection:
 
     def panel_codes(self) -> DataFrame:
         i = self.inputs
-        return self._once("panel_codes", lambda: panel_codes(i.sellout, i.oper, i.period))
+        return self._once("panel_codes", lambda: panel_codes(i.sellout, i.oper, i.dates))
 
     def read_inputs(self) -> None:
         """Run the stages that depend on inputs alone at the same time, as separate Spark jobs."""

@@ -5,8 +5,9 @@ text over its own tables. All of them read whole tables; where a branch of a job
 to be missing, an attribute decides (a balance, a brand, a type), never an id.
 
 Shops are suppliers; a pack is a (brand, type) pair, so that shop x pack is dense enough for
-the panel to meet the universe. A shop with a negative balance opened in 2001, so it has no
-turnover in the year before. Shops with a balance from 5000 on report sell-out (the panel).
+the panel to meet the universe. A shop with a negative balance had another code before 2001, so it
+has no turnover in the year before. Shops with a balance from 5000 on are on the panel; some others
+are not in the universe. Accounts belong to one of three chains, whose code is their universe code.
 """
 
 from __future__ import annotations
@@ -26,24 +27,25 @@ _PACK = (
 STANDINS: dict[str, str] = {
     "sellin": f"""
         select cast(year(o_orderdate) * 100 + month(o_orderdate) as string) as period,
-               lpad(cast(l_suppkey as string), 7, '0') as customer_code,
+               case when s_acctbal < 0 and year(o_orderdate) < 2001 then '9' || lpad(cast(l_suppkey as string), 6, '0')
+                    else lpad(cast(l_suppkey as string), 7, '0') end as customer_code,
                lpad(cast({_PACK} as string), 7, '0') as pfc,
                cast(l_quantity as int) as total_unit
         from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
              join {{part}} on p_partkey = l_partkey
-             join {{supplier}} on s_suppkey = l_suppkey
-        where s_acctbal >= 0 or year(o_orderdate) >= 2001""",
+             join {{supplier}} on s_suppkey = l_suppkey""",
     "sellout_tx": f"""
         select make_date(year(l_shipdate), cast((day(l_shipdate) - 1) % 12 + 1 as int), month(l_shipdate)) as sale_date,
                lpad(cast(l_suppkey as string), 7, '0') as shop_code,
                lpad(cast({_PACK} as string), 7, '0') as pfc,
                case when l_returnflag = 'R' then '03' else '01' end as record_type,
                cast(l_quantity as int) as pr_unit
-        from {{lineitem}} join {{part}} on p_partkey = l_partkey
-             join {{supplier}} on s_suppkey = l_suppkey
-        where s_acctbal >= 5000""",
+        from {{lineitem}} join {{part}} on p_partkey = l_partkey""",
     "shops_raw": """
-        select lpad(cast(s_suppkey as string), 7, '0') as imscode, s_nationkey as brick from {supplier}""",
+        select lpad(cast(s_suppkey as string), 7, '0') as imscode, s_nationkey as brick,
+               case when s_acctbal between 1000 and 1500 then 0 else 1 end as on_universe,
+               case when s_acctbal >= 5000 then 1 else 0 end as on_panel
+        from {supplier}""",
     "brick_region": """
         select n_nationkey as brick1, n_regionkey as tcode from {nation} where n_name <> 'NATION_7'""",
     "region_name": """
@@ -72,7 +74,8 @@ STANDINS: dict[str, str] = {
                     when 'NF' then 'RP' when 'RO' then 'T' else 'P' end as source,
                substring(cast(year(l_shipdate) * 100 + month(l_shipdate) as string), 3, 4) as period,
                'TR01' as production, cast(l_shipdate as date) as sale_date,
-               lpad(cast(l_suppkey as string), 7, '0') as whs, lpad(cast(l_partkey as string), 7, '0') as pfc,
+               rpad(lpad(cast(l_suppkey as string), 7, '0'), 10, ' ') as whs,
+               rpad(lpad(cast(l_partkey as string), 7, '0'), 9, ' ') as pfc,
                lpad(cast(l_orderkey as string), 7, '0') as u_code,
                cast(l_quantity as decimal(10,0)) as pr_unit, cast(l_linenumber % 3 as decimal(10,0)) as pr_bonus,
                cast(l_extendedprice as decimal(10,2)) as pr_price, cast(l_extendedprice as decimal(10,2)) as ndf_price,
@@ -82,6 +85,14 @@ STANDINS: dict[str, str] = {
                cast(l_tax as decimal(7,2)) as vat, cast(1 as int) as is_prescription,
                l_quantity as prj_unit, l_extendedprice as prj_value
         from {lineitem}""",
+    # As delivered, before anything is checked: a bonus or discount of nothing, and some flags, are missing.
+    "month_raw": """
+        select cast(l_shipdate as date) as sale_date, lpad(cast(l_suppkey as string), 7, '0') as whs,
+               cast(l_quantity as decimal(10,0)) as pr_unit, cast(nullif(l_linenumber % 3, 0) as decimal(10,0)) as pr_bonus,
+               cast(nullif(l_discount, 0) as decimal(7,2)) as iskonto, cast(nullif(l_tax, 0) as decimal(7,2)) as vat,
+               case when l_returnflag <> 'R' then l_linenumber end as setflag,
+               case when l_linestatus = 'O' then cast(l_orderkey as string) end as invoice_number
+        from {lineitem}""",
     "price_list": """
         select substring(cast(y * 100 + m as string), 3, 4) as period, lpad(cast(p_partkey as string), 7, '0') as prd_cd,
                p_name as new_name, substring(p_brand, 7, 2) as prod_flag, p_type as who_atc,
@@ -92,7 +103,7 @@ STANDINS: dict[str, str] = {
         where p_size < 50""",
     "account": """
         select lpad(cast(s_suppkey as string), 7, '0') as account_code, s_name as account_name,
-               lpad(cast(s_suppkey as string), 7, '0') as universe_code
+               lpad(cast(s_nationkey % 3 as string), 7, '0') as universe_code
         from {supplier} where s_acctbal > -500""",
     "atc_names": """
         select lpad(cast(p_partkey as string), 7, '0') as pfc, substring(p_type, 1, 1) as atc1,
@@ -132,6 +143,14 @@ STANDINS: dict[str, str] = {
                '}},{{"EventKod":"x' || cast(event_id as string) || '","Iht":"' || event_type ||
                '","Ikili":"E","Extra":1}}]</Result></Body></Envelope>' as body
         from {events}""",
+    # The same, but error events arrive cut off after the first visit, and sign-ups with a stray word.
+    "payloads_raw": """
+        select event_id as payload_id,
+               '<Envelope><Body><Result>[{{"EventKod":"' || cast(event_id as string) || '","P_Z":"' || event_type ||
+               '","DrSabit":' || cast(user_id as string) || '}},{{"EventKod":"x' || cast(event_id as string) ||
+               case event_type when 'error' then '' when 'signup' then '"}}] stray' else '"}}]' end ||
+               '</Result></Body></Envelope>' as body
+        from {events}""",
 }
 
 
