@@ -43,28 +43,40 @@ def _union(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _published(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored mart, as reports read it."""
     path = Staging(spark).root + "/mart"
     so.publish_mart(mart(spark, folder), path)
     return so.read_mart(spark, path)
 
 
+_MART_NULLABLE = ("AccountName", "Urun", "TL", "Kategori1", "Bolge", "OldCode")
+
+
 def _violations(spark: SparkSession, folder: str) -> DataFrame:
-    return so.not_null_violations(mart(spark, folder), ["AccountName", "Urun", "TL", "Kategori1", "Bolge", "OldCode"])
+    """Nulls in the 19 columns that must be filled, and in those of a delivery that lacks some values."""
+    raw = standin(spark, folder, "month_raw")
+    whole = so.not_null_violations(standin(spark, folder, "month_src"), so.FACT_COLUMNS)
+    delivered = so.not_null_violations(raw, raw.columns).select(*[F.col(c).alias(f"raw_{c}") for c in raw.columns])
+    return whole.crossJoin(F.broadcast(delivered))  # one row each
+
+
+def _mart_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    return so.not_null_violations(mart(spark, folder), _MART_NULLABLE)
 
 
 def _top(spark: SparkSession, folder: str) -> DataFrame:
     periods = standin(spark, folder, "report_period")
-    return so.top_products(mart(spark, folder, PERIOD), periods, PHARMACY, PERIOD, MARKET)
+    return so.top_products(_published(spark, folder), periods, PHARMACY, PERIOD, MARKET)
 
 
 def _top_all(spark: SparkSession, folder: str) -> DataFrame:
-    return so.top_products_all(mart(spark, folder), standin(spark, folder, "report_period"))
+    return so.top_products_all(_published(spark, folder), standin(spark, folder, "report_period"))
 
 
 # --- the oracle ------------------------------------------------------------------------------
 
 _INPUTS = (
-    "month_src", "price_list", "account", "atc_names", "shops_raw", "brick_region", "region_name", "report_period",
+    "month_src", "month_raw", "price_list", "account", "atc_names", "shops_raw", "brick_region", "region_name", "report_period",
 )
 
 
@@ -72,13 +84,14 @@ def _market_sql(sources: str, label: str, price: str, names: str) -> str:
     cats = names.split()
     shown = ", ".join(f"{c} as Kategori{i}" for i, c in enumerate(cats, 1))
     keys = ", ".join(c for c in cats if c != "''")
-    return f"""select '20' || s.period[1:2] as YIL, s.period as DONEM, s.whs as EczaneKod, account_name as AccountName,
-        s.pfc as UrunKod, new_name as Urun, cast(sum(pr_unit + pr_bonus) as int) as KUTU,
+    return f"""select '20' || s.period[1:2] as YIL, s.period as DONEM, rtrim(s.whs) as EczaneKod, account_name as AccountName,
+        rtrim(s.pfc) as UrunKod, new_name as Urun, cast(sum(pr_unit + pr_bonus) as int) as KUTU,
         cast(round(sum((pr_unit + pr_bonus) * {price}), 0) as int) as TL, '{label}' as PazarTipi, {shown},
         who_atc as Kategori5, cast(1 as smallint) as Goster, bolge as Bolge, universe_code as UniverseCode
         from month_src s left join (select period, prd_cd, new_name, prod_flag, who_atc, pub_price as list_price, isf
-                                    from price_list) l on l.prd_cd = s.pfc and l.period = s.period
-        left join account on account_code = s.whs left join atc_names n on n.pfc = s.pfc
+                                    from price_list) l on l.prd_cd = rtrim(s.pfc) and l.period = s.period
+        left join account on account_code = rtrim(s.whs)
+        left join atc_names n on n.pfc = rtrim(s.pfc)
         left join shops_raw on imscode = universe_code left join brick_region on brick1 = brick
         left join region_name on brickcode = tcode
         where source in ({sources})
@@ -106,6 +119,13 @@ _UNION_SQL = f"""select period, {', '.join(f'{c}::double as {c}' if c in _DECIMA
     0::double as tpt_price,
     case when source in ('T', 'R') then 'ILAC' else 'ILAC DISI' end as market from month_src"""
 
+_RAW = ("sale_date", "whs", "pr_unit", "pr_bonus", "iskonto", "vat", "setflag", "invoice_number")
+
+
+def _null_counts(columns: tuple[str, ...], prefix: str = "") -> str:
+    return ", ".join(f"count(*) - count({c}) as {prefix}{c}" for c in columns)
+
+
 _RANKED = "cast(TL as bigint) as TL, cast(KUTU as bigint) as KUTU, Donem, Eczane, RowNo, URUN"
 
 QUERIES: dict[str, Query] = {
@@ -116,11 +136,11 @@ QUERIES: dict[str, Query] = {
     "not_null_violations": Query(
         _violations,
         _oracle(
-            "select "
-            + ", ".join(f"count(*) - count({c}) as {c}" for c in ("AccountName", "Urun", "TL", "Kategori1", "Bolge", "OldCode"))
-            + " from mart"
+            f"select * from (select {_null_counts(so.FACT_COLUMNS)} from month_src), "
+            f"(select {_null_counts(_RAW, 'raw_')} from month_raw)"
         ),
     ),
+    "mart_nulls": Query(_mart_nulls, _oracle(f"select {_null_counts(_MART_NULLABLE)} from mart")),
     "top_products": Query(
         _top,
         _oracle(

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dispensa.functions.compat import round_to_int, same_text
+from dispensa.functions.compat import round_to_int, same_text, trimmed
 from dispensa.sources.tables import partition_scan
 
 # Columns that the monthly tables must have, all of them filled.
@@ -70,6 +70,7 @@ def account_regions(
 
     Store the result: the planner takes a chain of joins for large and a stored table for what it is.
     """
+    account, shops = trimmed(account, "account_code", "universe_code"), trimmed(shops, "imscode")
     return (
         account.join(shops, F.col("imscode") == F.col("universe_code"), "left")
         .join(brick_region, F.col("brick1") == F.col("brick"), "left")
@@ -98,15 +99,19 @@ def market_sellout(
     the value is the same. The dimensions are left-joined to the sums, and the last aggregation
     groups by a superset of those keys. The product flag of the price list is part of the grouping
     but not of the output, so visible keys can repeat. Units are whole numbers and add up as such.
+    Keys may be blank-padded on either side. A null in a fact column that is read here fails the job,
+    as every column of the monthly tables must be filled.
     """
     if period is not None:
         facts = partition_scan(facts, period)
     cases = " ".join(
         f"when source in ({', '.join(repr(s) for s in m.sources)}) then '{m.label}'" for m in markets
     )
+    facts = facts.where(F.col("source").isin(*[s for m in markets for s in m.sources]))
+    facts = trimmed(require_not_null(facts, ["whs", "pfc", "pr_unit", "pr_bonus"]), "whs", "pfc")
+    prices, atc_names = trimmed(prices, "prd_cd"), trimmed(atc_names, "pfc")
     sold = (
-        facts.where(F.col("source").isin(*[s for m in markets for s in m.sources]))
-        .withColumn("market", F.expr(f"case {cases} end"))
+        facts.withColumn("market", F.expr(f"case {cases} end"))
         .groupBy("period", "market", "whs", "pfc")
         .agg(F.sum((F.col("pr_unit") + F.col("pr_bonus")).cast("bigint")).alias("boxes"))
     )

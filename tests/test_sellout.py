@@ -164,3 +164,33 @@ def test_dates_are_not_used(spark):
     got = so.union_sources(spark.createDataFrame([row], schema), so.DRUG).first()
     assert len(got) == 21 and got["tpt_price"] == D("0.00")
     assert so.union_sources(spark.createDataFrame([row], schema), so.NON_DRUG).count() == 0
+
+
+def test_a_null_unit_or_bonus_fails_the_mart(spark, dims):
+    for broken in ((None, D(0)), (D(5), None)):
+        rows = spark.createDataFrame([("T", "2101", "s1", "p1", D(3), D(0)), ("T", "2101", "s1", "p1", *broken)], FACTS)
+        with pytest.raises(Exception, match="null in pr_"):
+            so.sellout_mart(rows, **dims).collect()
+    other = spark.createDataFrame([("X", "2101", "s1", "p1", None, None), ("T", "2101", "s1", "p1", D(3), D(0))], FACTS)
+    assert [r["KUTU"] for r in so.sellout_mart(other, **dims).collect()] == [3]  # not one of the markets' sources
+
+
+def test_blank_padded_keys_meet(spark, dims):
+    rows = [("T", "2101", "s1   ", "p1 ", 1, 1), ("T", "2101", "s1", "p1", 1, 0)]
+    padded = dims | {
+        "prices": dims["prices"].withColumn("prd_cd", F.rpad("prd_cd", 8, " ")),
+        "accounts": dims["accounts"],
+        "atc_names": dims["atc_names"].withColumn("pfc", F.rpad("pfc", 5, " ")),
+    }
+    got = so.sellout_mart(facts(spark, rows), **padded).collect()
+    assert [(r["EczaneKod"], r["UrunKod"], r["AccountName"], r["Urun"], r["KUTU"], r["Kategori1"], r["Bolge"]) for r in got] == [
+        ("s1", "p1", "Shop 1", "Product 1", 3, "A", "EGE")
+    ]
+
+
+def test_regions_of_padded_accounts(spark):
+    accounts = spark.createDataFrame([("s1 ", "Shop", "u1  ")], "account_code string, account_name string, universe_code string")
+    shops = spark.createDataFrame([("u1", 10)], "imscode string, brick int")
+    bricks = spark.createDataFrame([(10, 1)], "brick1 int, tcode int")
+    names = spark.createDataFrame([(1, "EGE")], "brickcode int, bolge string")
+    assert tuple(so.account_regions(accounts, shops, bricks, names).first()) == ("s1", "Shop", "u1", "EGE")
