@@ -7,12 +7,14 @@ the other, where the Spark jobs use closed forms.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispensa.catalog import Query
 from dispensa.plans import calendar as cal
+from dispensa.sources.staging import Staging
 from dispensa.sources.tables import parquet_table
 
 START, FIRST_YEAR, FIRST_LEAP, EVERY = datetime.date(1994, 12, 26), 1995, 1996, 3
@@ -20,117 +22,110 @@ RULE_445 = cal.rule_445(START, FIRST_YEAR, FIRST_LEAP, EVERY)
 RULE_454 = cal.rule_454(START, FIRST_YEAR, FIRST_LEAP, EVERY)
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return parquet_table(spark, folder, "lineitem")
+def _sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and units per ship date: the one pass over the fact, stored, since spans and sales both come from it."""
+    lines = parquet_table(spark, folder, "lineitem")
+    sums = lines.groupBy(F.col("l_shipdate").cast("date").alias("Date")).agg(
+        F.count("*").alias("lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("units")
+    )
+    return Staging(spark).keep(sums, "sales")
 
 
-def _span(spark: SparkSession, folder: str) -> DataFrame:
-    return cal.bounds(_lines(spark, folder), "l_shipdate")
+def _span(sales: DataFrame) -> DataFrame:
+    return cal.bounds(sales, "Date")
 
 
-def _last_year(spark: SparkSession, folder: str) -> DataFrame:
-    return _lines(spark, folder).agg(F.max(F.year("l_shipdate")).alias("last_year"))
+def _last_year(sales: DataFrame) -> DataFrame:
+    return sales.agg(F.max(F.year("Date")).alias("last_year"))
 
 
-def _sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines and units per ship date."""
-    return (
-        _lines(spark, folder)
-        .groupBy(F.col("l_shipdate").cast("date").alias("Date"))
-        .agg(F.count("*").alias("lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("units"))
-    )
+def _with_sales(days: DataFrame, sales: DataFrame) -> DataFrame:
+    out = days.join(sales, "Date", "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("lines", "units")})
 
 
-def _with_sales(spark: SparkSession, folder: str, days: DataFrame) -> DataFrame:
-    out = days.join(_sales(spark, folder), "Date", "left")
-    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("lines", "units")})
+def _query(days: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query of days that come from the sales' dates, with the sales of each."""
 
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        sales = _sales(spark, folder)
+        return _with_sales(days(sales), sales)
 
-def _dimension(spark: SparkSession, folder: str) -> DataFrame:
-    return cal.date_dimension(_span(spark, folder))
+    return run
 
 
-def _holidays(*names: str):  # noqa: ANN202
-    chosen = tuple(h for h in cal.HOLIDAYS if h.name in names)
+def _dimension(sales: DataFrame) -> DataFrame:
+    return cal.date_dimension(_span(sales))
 
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        days = cal.date_dimension(_span(spark, folder), chosen).where(F.col("IsHoliday") == 1)
-        return _with_sales(spark, folder, days.select("Date", "HolidayName"))
 
-    return run
+def _holidays(*names: str) -> Callable[[SparkSession, str], DataFrame]:
+    chosen = tuple(h for h in cal.HOLIDAYS if h.name in names)
+    return _query(
+        lambda sales: cal.date_dimension(_span(sales), chosen).where(F.col("IsHoliday") == 1).select("Date", "HolidayName")
+    )
 
 
 def _flag(spark: SparkSession, folder: str) -> DataFrame:
-    days = _with_sales(spark, folder, _dimension(spark, folder))
+    days = _query(_dimension)(spark, folder)
     return days.groupBy("Year", "IsHoliday", "IsWeekday").agg(
         F.count("*").alias("days"), F.sum("lines").alias("lines"), F.sum("units").alias("units")
     )
 
 
-def _flag_as_written(spark: SparkSession, folder: str) -> DataFrame:
-    days = cal.date_dimension(_span(spark, folder), cal.holidays_as_written())
-    return _with_sales(spark, folder, days.select("Date", "IsHoliday", "HolidayName"))
+def _flag_as_written(sales: DataFrame) -> DataFrame:
+    return cal.date_dimension(_span(sales), cal.holidays_as_written()).select("Date", "IsHoliday", "HolidayName")
 
 
-def _columns(*names: str):  # noqa: ANN202
-    return lambda s, f: _with_sales(s, f, _dimension(s, f).select("Date", *names))
+def _columns(*names: str) -> Callable[[SparkSession, str], DataFrame]:
+    return _query(lambda sales: _dimension(sales).select("Date", *names))
 
 
-def _fiscal(rule: cal.FiscalRule):  # noqa: ANN202
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        days = cal.fiscal_calendar(_last_year(spark, folder), rule)
-        columns = ("Date", "FiscalDayOfYear", "FiscalWeekOfYear", "FiscalMonth", "FiscalQuarter", "FiscalYear")
-        return _with_sales(spark, folder, days.select(*columns))
-
-    return run
+def _fiscal(rule: cal.FiscalRule) -> Callable[[SparkSession, str], DataFrame]:
+    columns = ("Date", "FiscalDayOfYear", "FiscalWeekOfYear", "FiscalMonth", "FiscalQuarter", "FiscalYear")
+    return _query(lambda sales: cal.fiscal_calendar(_last_year(sales), rule).select(*columns))
 
 
 def _fiscal_bounds(spark: SparkSession, folder: str) -> DataFrame:
     """Sales per fiscal month, with the bounds of month, quarter and year."""
-    days = _with_sales(spark, folder, cal.fiscal_bounds(cal.fiscal_days(_last_year(spark, folder), RULE_445)))
+    days = _query(lambda sales: cal.fiscal_bounds(cal.fiscal_days(_last_year(sales), RULE_445)))(spark, folder)
     keys = [c for c in days.columns if c not in ("Date", "FiscalDayOfYear", "FiscalWeekOfYear", "lines", "units")]
     return days.groupBy(*keys).agg(F.sum("lines").alias("lines"), F.sum("units").alias("units"))
 
 
-def _fiscal_labels(spark: SparkSession, folder: str) -> DataFrame:
-    days = cal.fiscal_labels(cal.fiscal_days(_last_year(spark, folder), RULE_445))
-    names = ("FiscalQuarterName", "FiscalYearName", "FiscalMonthYear", "FiscalMMYYYY")
-    return _with_sales(spark, folder, days.select("Date", *names))
+def _fiscal_labels(sales: DataFrame) -> DataFrame:
+    days = cal.fiscal_labels(cal.fiscal_days(_last_year(sales), RULE_445))
+    return days.select("Date", "FiscalQuarterName", "FiscalYearName", "FiscalMonthYear", "FiscalMMYYYY")
 
 
-def _full(spark: SparkSession, folder: str) -> DataFrame:
-    return _with_sales(
-        spark, folder, cal.date_dimension_full(_span(spark, folder), _last_year(spark, folder), RULE_445)
-    )
+def _full(sales: DataFrame) -> DataFrame:
+    return cal.date_dimension_full(_span(sales), _last_year(sales), RULE_445)
 
 
 def _monthly(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _lines(spark, folder)
-    sold = (
-        lines.groupBy(F.concat(F.lit("M"), F.date_format("l_shipdate", "yyyyMM")).alias("PeriodDatakey"))
-        .agg(F.count("*").alias("lines"))
-    )
-    span = lines.agg(F.min("l_shipdate").cast("date").alias("start"), F.max("l_shipdate").cast("date").alias("end"))
+    sales = _sales(spark, folder)
+    sold = sales.groupBy(F.concat(F.lit("M"), F.date_format("Date", "yyyyMM")).alias("PeriodDatakey")).agg(
+        F.sum("lines").alias("lines")
+    )
+    span = sales.agg(F.min("Date").alias("start"), F.max("Date").alias("end"))
     return cal.month_periods(span).join(sold, "PeriodDatakey", "left")
 
 
-def _spine_days(spark: SparkSession, folder: str) -> DataFrame:
-    return _with_sales(spark, folder, cal.day_spine(_span(spark, folder)).select("Date"))
-
-
 def _spine_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders per month, from the month of the first order to that of the last."""
     orders = parquet_table(spark, folder, "orders")
-    date = F.col("o_orderdate").cast("date")
-    late = orders.agg(F.add_months(F.date_add(F.min(date), 30), 0).alias("start"), F.max(date).alias("end"))
-    sold = orders.groupBy(F.trunc("o_orderdate", "month").alias("month")).agg(F.count("*").alias("orders"))
-    months = cal.month_spine(late).select("Date", F.trunc("Date", "month").alias("month"))
+    sold = orders.groupBy(F.trunc("o_orderdate", "month").alias("month")).agg(
+        F.count("*").alias("orders"), F.min(F.col("o_orderdate").cast("date")).alias("first")
+    )
+    sold = Staging(spark).keep(sold, "orders")
+    span = sold.agg(F.min("first").alias("start"), F.last_day(F.max("month")).alias("end"))
+    months = cal.month_spine(span).select("Date", F.trunc("Date", "month").alias("month"))
     return months.join(sold, "month", "left").select("Date", "orders")
 
 
 def _spine_leap_years(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _lines(spark, folder)
-    sold = lines.groupBy(F.year("l_shipdate").alias("leapyear")).agg(F.count("*").alias("lines"))
-    return cal.leap_years(_last_year(spark, folder), FIRST_LEAP, EVERY).join(sold, "leapyear", "left")
+    sales = _sales(spark, folder)
+    sold = sales.groupBy(F.year("Date").alias("leapyear")).agg(F.sum("lines").alias("lines"))
+    return cal.leap_years(_last_year(sales), FIRST_LEAP, EVERY).join(sold, "leapyear", "left")
 
 
 # --- the oracle ------------------------------------------------------------------------------
@@ -261,7 +256,7 @@ _PERIODS_SQL = """select 'M' || strftime(d, '%Y%m') as PeriodDatakey, 1.0::doubl
 
 QUERIES: dict[str, Query] = {
     "date_dimension": Query(
-        lambda s, f: _with_sales(s, f, _dimension(s, f)),
+        _query(_dimension),
         _oracle("select t.*, coalesce(lines, 0) as lines, coalesce(units, 0) as units from dim t left join sales using (Date)"),
     ),
     "nth_weekday": Query(
@@ -282,7 +277,7 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "holiday_flag_as_written": Query(
-        _flag_as_written,
+        _query(_flag_as_written),
         _oracle(
             "select Date, case when h is null then 0 else 1 end as IsHoliday, h as HolidayName, coalesce(lines, 0) as lines, "
             "coalesce(units, 0) as units from (select Date, case "
@@ -304,11 +299,11 @@ QUERIES: dict[str, Query] = {
         ),
     ),
     "fiscal_labels": Query(
-        _fiscal_labels,
+        _query(_fiscal_labels),
         _oracle(_sold("FiscalQuarterName, FiscalYearName, FiscalMonthYear, FiscalMMYYYY", "ftext")),
     ),
     "date_dimension_full": Query(
-        _full,
+        _query(_full),
         _oracle(
             """select dim.*, ftext.* exclude (Date), fb.* exclude (Date), coalesce(lines, 0) as lines,
                coalesce(units, 0) as units from dim left join ftext using (Date) left join fb using (Date)
@@ -317,12 +312,12 @@ QUERIES: dict[str, Query] = {
     ),
     "month_periods": Query(_monthly, _oracle(_PERIODS_SQL)),
     "spine_days": Query(
-        _spine_days,
+        _query(lambda sales: cal.day_spine(_span(sales)).select("Date")),
         _oracle("select Date, coalesce(lines, 0) as lines, coalesce(units, 0) as units from days left join sales using (Date)"),
     ),
     "spine_months": Query(
         _spine_months,
-        """with recursive b as (select cast(min(o_orderdate) as date) + 30 as s, cast(max(o_orderdate) as date) as e from orders),
+        """with recursive b as (select cast(min(o_orderdate) as date) as s, last_day(cast(max(o_orderdate) as date)) as e from orders),
            walk as (select s as Date, e from b union all
                     select cast(Date + interval 1 month as date), e from walk where cast(Date + interval 1 month as date) <= e)
            select Date, n as orders from walk left join
