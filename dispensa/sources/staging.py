@@ -36,7 +36,10 @@ def _local_folder() -> str:
 
 
 class Staging:
-    """Writes named stages of one run below ``<shared folder>/<run id>/``."""
+    """Writes named stages of one run below ``<shared folder>/<run id>/``.
+
+    As a context manager it deletes them at the end of the block; write the result inside of it.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -48,6 +51,12 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.drop()
+
     def drop(self) -> None:
         """Delete the stages of this run, once its results are written elsewhere."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)

@@ -98,3 +98,81 @@ def test_one_period_of_a_family_is_a_partition_filter(spark, tmp_path):
     spark.createDataFrame([("2101", 1), ("2102", 2)], "period string, n int").write.partitionBy("period").parquet(path)
     one = partition_scan(spark.read.schema("n int, period string").parquet(path), "2102")
     assert "PartitionFilters: [isnotnull(period" in text_of(one) and [r["n"] for r in one.collect()] == [2]
+
+
+def by_date(spark, tmp_path):
+    """A sell-out fact partitioned by its stored date, over three years."""
+    path = str(tmp_path / "sellout")
+    rows = spark.sql(
+        """select sale_date, '0000001' as shop_code, '0000001' as pfc, '01' as record_type, 1 as pr_unit
+           from (select explode(sequence(date '2015-01-01', date '2017-12-31', interval 1 day)) as sale_date)
+           where day(sale_date) <= 12 and month(sale_date) <= 3"""
+    )
+    rows.write.partitionBy("sale_date").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def test_operated_periods_prune_the_sellout(spark, tmp_path):
+    stored = by_date(spark, tmp_path)
+    oper = spark.createDataFrame([(201702,), (201705,)], "pd_id int")
+    codes = pj.panel_codes(stored, oper)
+    assert "dynamicpruning" in text_of(codes)
+    assert sorted(r["PdID"] for r in codes.collect()) == [201702, 201705]
+    factors = spark.createDataFrame(
+        [(201702, 1, 1, 2.0, "R")], "PdID int, ShopID int, PackID int, PF double, Region string"
+    )
+    units = pj.apply_factors(stored, factors, oper)
+    assert "dynamicpruning" in text_of(units)
+    # The second days of three stored months belong to the period.
+    assert [(r["Units"], r["ProjUnits"]) for r in units.collect()] == [(3, 6.0)]
+
+
+def test_windows_fan_out_after_the_other_joins(spark):
+    monthly = spark.createDataFrame([("201701", "0000001", "0000002", 5)], "period string, customer_code string, pfc string, total_unit int")
+    window = spark.createDataFrame([("201701", 201702), ("201701", 201703)], "PdID string, ProcPdID int")
+    shops, packs = spark.createDataFrame([(1,)], "ShopID int"), spark.createDataFrame([(2,)], "PackID int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            got = pj.universe(monthly, window, shops, packs)
+            assert sorted(map(tuple, got.collect())) == [(201702, 1, 2, 5), (201703, 1, 2, 5)]
+            final = text_of(got).split("Initial Plan")[0]
+            joins = [line for line in final.splitlines() if "Join [" in line]
+            # The plan is printed from the end: the first join is the last to run.
+            assert "period" in joins[0] and not any("period" in line for line in joins[1:])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_calendar_queries_scan_the_fact_once(spark, folder):
+    """The sums per day are stored; the calendar's plan reads only them."""
+    plan = text_of(all_queries()["date_dimension_full"].run(spark, folder))
+    assert "lineitem" not in plan and "l_shipdate" not in plan
+
+
+def test_the_log_is_summed_once(spark, folder):
+    plan = text_of(all_queries()["gate_verdict"].run(spark, folder))
+    # What is left of the events are the requests and accounts; the sums of the log are a stored table.
+    assert "sum(" not in plan
+
+
+def test_reports_read_the_stored_mart(spark, folder):
+    plan = text_of(all_queries()["top_products"].run(spark, folder))
+    assert re.search(r"PartitionFilters: \[[^\]]*DONEM", plan)
+    for key in ("top_products", "top_products_all"):  # of the fact only the report periods' dates are left
+        assert "l_quantity" not in text_of(all_queries()[key].run(spark, folder))
+
+
+def test_a_run_leaves_nothing_behind(spark, folder):
+    from pathlib import Path
+
+    from dispensa.catalog.projection import inputs
+    from dispensa.sources.staging import Staging
+
+    with Staging(spark) as staging:
+        job = pj.Projection(inputs(spark, folder, staging), staging)
+        assert job.factors().count() > 0
+        root = Path(staging.root.removeprefix("file:"))
+        assert any(root.iterdir())
+    assert not root.exists()
