@@ -29,7 +29,7 @@ from dispensa.llm.components import connected
 from dispensa.llm.ship import shipped
 from dispensa.sources.staging import Staging
 
-PASSES = 24
+PASSES = 16
 BITS = 62
 WINDOW = 48
 THRESHOLD = 0.9
