@@ -42,21 +42,24 @@ class Vocabulary:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.first = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        joined: dict[int, int] = {}
-        for token, rank in self.ranks.items():
-            for cut in range(1, len(token)):
-                a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
-                if a is not None and b is not None:
-                    joined[a << 32 | b] = rank
-        self.pairs = np.array(sorted(joined), dtype=np.int64)
-        self.pair_ranks = np.array([joined[p] for p in self.pairs.tolist()], dtype=np.int32)
         self.known: dict[str, bytes] = {}
 
+    @functools.cached_property
+    def pairs(self) -> np.ndarray:
+        """All pairs of tokens that make a token, as left << 32 | right, in rising order, above their ranks."""
+        found = [
+            (a << 32 | b, rank)
+            for token, rank in self.ranks.items()
+            for cut in range(1, len(token))
+            if (a := self.ranks.get(token[:cut])) is not None and (b := self.ranks.get(token[cut:])) is not None
+        ]
+        return np.array(sorted(found), dtype=np.int64).T.copy()
+
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The ranks of pairs of tokens."""
-        pair = left.astype(np.int64) << 32 | right
-        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == pair, self.pair_ranks[at], _NONE)
+        pair, (keys, ranks) = left.astype(np.int64) << 32 | right, self.pairs
+        at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        return np.where(keys[at] == pair, ranks[at], _NONE).astype(np.int32)
 
     def learn(self, pieces: list[str]) -> None:
         """Encode distinct pieces together by replaying the merges in the order of their ranks."""
@@ -72,10 +75,10 @@ class Vocabulary:
             np.frombuffer(b"".join(raw), dtype=np.uint8)
         ]
         owner = np.repeat(np.arange(len(raw) + 1, dtype=np.int32), np.append(sizes + 1, 1))  # of the gap before a piece too
-        after, before = np.arange(1, len(row) + 1), np.arange(-1, len(row) - 1)
+        after, before = np.arange(1, len(row) + 1, dtype=np.int32), np.arange(-1, len(row) - 1, dtype=np.int32)
         chosen = np.zeros(len(row), dtype=bool)
         rank = np.append(self._rank(row[:-1], row[1:]), np.int32(_NONE))
-        index: list[list[np.ndarray]] = [[] for _ in range(int(self.pair_ranks.max()) // BAND + 1)]
+        index: list[list[np.ndarray]] = [[] for _ in range(int(self.pairs[1].max()) // BAND + 1)]
 
         def enter(places: np.ndarray) -> None:
             bands = rank[places] // BAND
@@ -164,7 +167,7 @@ class Codec:
             ids = _vocabulary(shared.value, pattern).encode(texts)
             return {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
 
-        return mapped(docs, text, work, "n_tokens bigint, ids binary")
+        return mapped(docs, text, work, "n_tokens bigint, ids binary", 2 << 20)
 
     def decode(self, encoded: DataFrame, ids: str = "ids") -> DataFrame:
         """The table with decoded, the bytes that the ids stand for."""
