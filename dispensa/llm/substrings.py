@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from dispensa.llm import packed
-from dispensa.llm.words import NOT_SPACE, U, Words, buffers, mix
+from dispensa.llm.words import U, Words, buffers, mix
 
 ROUNDS = 3
 WINDOW = 35
@@ -50,6 +50,8 @@ class _Level:
         return before, after
 
     def runs(self, first: np.ndarray) -> _Level:
+        if not len(self.names):
+            return self
         before, after = self._neighbours(first)
         starts = np.ones(len(self.names), dtype=bool)
         starts[1:] = (self.names[1:] != self.names[:-1]) | (self.owner[1:] != self.owner[:-1])
@@ -196,5 +198,3 @@ def _kept(texts: pa.ChunkedArray, words: Words, covered: np.ndarray) -> tuple[pa
         kept.append(None if null[t] else b" ".join(parts).decode())
     return pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.list_(pa.int64())))
 
-
-assert not NOT_SPACE[[0x20, 9, 10, 11, 12, 13]].any()

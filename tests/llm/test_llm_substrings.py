@@ -76,3 +76,7 @@ def test_other_columns_repeated_rows_and_an_empty_table(spark):
     got = sorted((r["doc_id"] or 0, r["text"], r["n_words"], r["n_removed"], r["odd name"]) for r in out.collect())
     assert got == [(0, "short text", 2, 0, None), (1, "", 40, 40, 1), (1, "", 40, 40, 1)]
     assert substrings.remove_repeats(docs.limit(0)).collect() == []
+    blank = spark.createDataFrame([(1, ""), (2, None), (3, " ")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"], r["n_words"]) for r in substrings.remove_repeats(blank).collect()) == [
+        (1, "", 0), (2, None, 0), (3, "", 0),
+    ]
