@@ -32,8 +32,8 @@ from dispensa.sources.staging import Staging
 BUCKETS = 4096
 BACKGROUND, BACKGROUND_DOCS = 1500, 500
 VARIANTS = 6
-STEPS = 50
-RATE, PENALTY = 0.8, 5e-5
+STEPS = 30
+RATE, PENALTY = 1.0, 5e-5
 CONFIRM = 0.6
 UNKNOWN = "unknown"
 
@@ -151,9 +151,12 @@ def _logits(places: Column, weights: Column, bias: Column) -> Column:
 
 
 def _softmax(logits: Column, temperature: Column | float) -> Column:
-    top = F.array_max(logits)
-    powers = F.transform(logits, lambda z: F.exp((z - top) / temperature))
-    return _let(powers, lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda s, y: s + y)))
+    powers = _let(logits, lambda zs: F.transform(zs, lambda z: F.exp((z - F.array_max(zs)) / temperature)))
+    return _let(powers, lambda e: _let(_total(e), lambda sum_: F.transform(e, lambda x: x / sum_)))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, y: s + y)
 
 
 @dataclass
@@ -178,8 +181,11 @@ class Model:
             [(self.families, self.weights, self.bias, best, gate, self.temperature, self.threshold, templates)],
             "families array<string>, weights array<array<double>>, bias array<double>, best array<double>, gate double, "
             "temperature double, threshold double, templates array<struct<family:string,text:string>>",
+            verifySchema=False,
+        )
+        pairs = F.transform(
+            "templates", lambda t: F.struct(t["family"].alias("family"), _let(_words(t["text"]), _pairs).alias("pairs"))
         )
-        pairs = F.transform("templates", lambda t: F.struct(t["family"].alias("family"), _let(_words(t["text"]), _pairs).alias("pairs")))
         return row.withColumn("templates", pairs)
 
 
@@ -224,9 +230,12 @@ def fit(docs: DataFrame, staging: Staging, text: str = "text") -> Model:
     square, square_b = [[1e-8] * BUCKETS for _ in families], [1e-8] * k
     for _ in range(STEPS):
         now = spark.createDataFrame(
-            [(weights, bias, [w / max(1, total) for w in weight])], "weights array<array<double>>, bias array<double>, cost array<double>"
+            [(weights, bias, [w / max(1, total) for w in weight])],
+            "weights array<array<double>>, bias array<double>, cost array<double>",
+            verifySchema=False,
         )
-        scored = train.crossJoin(F.broadcast(now)).withColumn("p", _softmax(_logits(F.col("places"), F.col("weights"), F.col("bias")), 1.0))
+        logits = _logits(F.col("places"), F.col("weights"), F.col("bias"))
+        scored = train.crossJoin(F.broadcast(now)).withColumn("p", _softmax(logits, 1.0))
         error = F.transform("p", lambda p, c: (p - (c == F.col("y")).cast("double")) * F.get("cost", F.col("y")))
         scored = scored.select("places", error.alias("error")).withColumn("x", 1 / F.sqrt(F.size("places").cast("double")))
         each = scored.select(F.explode(F.concat("places", F.array(F.lit(-1)))).alias("place"), "error", "x")
