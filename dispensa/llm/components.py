@@ -34,8 +34,8 @@ def connected(links: DataFrame, staging: Staging) -> DataFrame:
     while not _done(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Used twice below; its shuffles are the same and run once.
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staging.keep(large.distinct(), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staging.keep(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small")

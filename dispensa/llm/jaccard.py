@@ -7,7 +7,7 @@
 3. Prefix shingles are joined. Length, positional and suffix filters (the last from counts of each set in
    fixed parts of the hash range) leave candidate pairs, each verified once by intersecting the whole sets.
 4. A shingle with m documents is not turned into m * m pairs: while there would be more than ``LINEAR`` pairs
-   for each document and shingle, a round pairs the documents with one of them, and the components found
+   for each document and shingle, a round pairs the documents with ``LEADS`` of them, and the components found
    make most pairs needless. What still joins two components in the end is enumerated in full, so the
    components are exact.
 
@@ -33,8 +33,9 @@ from dispensa.llm.components import connected
 from dispensa.llm.words import Words, mix
 from dispensa.sources.staging import Staging
 
-STAR_ROUNDS = 4
-LINEAR = 3  # pairs for each post that are enumerated at once
+STAR_ROUNDS = 2
+LEADS = 12
+LINEAR = 48  # pairs for each post that are enumerated at once
 SKETCH = 32
 _COUNTED = np.uint64(0xFFFFFFFFFF000000)  # 40 bits name a shingle while counting; they only order it
 _SETS = (
@@ -161,7 +162,6 @@ def similarity_components(
     table = staging.keep(packed.with_answers(blocks, replies, _sets(n, threshold, parts), _SETS), "sets")
 
     classes = table.where("n_shingles > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"))
-    classes = staging.keep(classes, "classes")
     # The least identifier of a class is also the first in its block, so it is among those that send.
     sets = table.where("size(members) > 0").join(classes, ["c1", "c2"]).where("doc_id = rep")
     sets = staging.keep(sets.select("rep", F.col("n_shingles").alias("n"), "prefix", "sketch", "members"), "senders")
@@ -169,17 +169,18 @@ def similarity_components(
     shared = posts.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1").select("shingle")
     posts = staging.keep(posts.join(shared, "shingle"), "posts")
 
+    posts = staging.keep(_with_partners(posts, threshold), "reaching")
     links, groups, turn = None, None, 0
     while not posts.isEmpty():
         last = turn == STAR_ROUNDS or _is_linear(posts)
         pairs = _across(posts, threshold) if last else _stars(posts, turn, threshold)
         found = staging.keep(_verified(pairs.distinct(), sets, threshold), "links")
         links = found if links is None else links.unionByName(found)
-        groups = staging.keep(connected(links, staging), "groups")
+        groups = connected(links, staging)
         if last:
             break
         turn += 1
-        posts = _open(posts, groups, staging)
+        posts = staging.keep(_with_partners(_open(posts, groups), threshold), "open")
     merged = sets.select("rep").limit(0).selectExpr("rep as node", "rep as component") if groups is None else groups
     named = classes.join(merged, classes["rep"] == merged["node"], "left").select(
         "c1", "c2", F.coalesce("component", "rep").alias("found")
@@ -198,20 +199,36 @@ def _is_linear(posts: DataFrame) -> bool:
     return total <= LINEAR * rows
 
 
-def _open(posts: DataFrame, groups: DataFrame, staging: Staging) -> DataFrame:
-    """The posts of shingles that still hold more than one component, with the component."""
-    marked = posts.drop("part").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "shingle", "rep", "n", "at", F.coalesce("component", "rep").alias("part")
+def _open(posts: DataFrame, groups: DataFrame) -> DataFrame:
+    """The posts with the component of their document."""
+    marked = posts.drop("part").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    return marked.select("shingle", "rep", "n", "at", F.coalesce("component", "rep").alias("part"))
+
+
+def _with_partners(posts: DataFrame, t: Fraction) -> DataFrame:
+    """The posts that may link with another component's at their shingle.
+
+    The shingle must hold two components, and the sizes and places must allow the similarity with the most
+    that any other document there can offer: the smallest set, and the most shingles from this one on.
+    """
+    p, q = t.numerator, t.denominator
+    best = posts.groupBy("shingle").agg(
+        F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("n").alias("least"), F.max(F.expr("n - at")).alias("rest")
     )
-    marked = staging.keep(marked, "marked")
-    mixed = marked.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    return staging.keep(marked.join(mixed.select("shingle"), "shingle"), "open")
+    reach = posts.join(best.where("lo < hi").select("shingle", "least", "rest"), "shingle")
+    return reach.where(f"{p} * (n + least) <= {p + q} * least(n - at, rest)").select(*posts.columns)
 
 
 def _stars(posts: DataFrame, turn: int, t: Fraction) -> DataFrame:
-    """Pairs of each document of a shingle with one of them, another one in each turn."""
-    lead = F.min_by(F.struct("rep", "n", "at", "part"), F.xxhash64("rep", F.lit(turn)))
-    leads = posts.groupBy("shingle").agg(lead.alias("lead")).select("shingle", "lead.*")
+    """Pairs of each document of a shingle with ``LEADS`` of them, others in each turn.
+
+    The first is the smallest one, which is likeliest to link with documents that share nothing else there.
+    """
+    one = F.struct("rep", "n", "at", "part")
+    orders = [F.struct(F.xxhash64("rep", F.lit(turn * LEADS + k)), F.col("rep")) for k in range(1, LEADS)]
+    orders.append(F.struct("n", "rep") if turn == 0 else F.struct(F.xxhash64("rep", F.lit(turn * LEADS)), F.col("rep")))
+    leads = posts.groupBy("shingle").agg(F.array(*[F.min_by(one, order) for order in orders]).alias("leads"))
+    leads = leads.select("shingle", F.inline(F.array_distinct("leads")))
     pairs = posts.alias("x").join(leads.alias("y"), "shingle").where("x.part <> y.part")
     return _ends(pairs.where(_possible(t, "x", "y")).where(_possible(t, "x", "y", at=True)))
 
