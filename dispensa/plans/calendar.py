@@ -292,11 +292,27 @@ def fiscal_calendar(last_year: DataFrame, rule: FiscalRule) -> DataFrame:
     return fiscal_labels(fiscal_bounds(fiscal_days(last_year, rule)))
 
 
+# The columns of the date dimension, in order, with their types; numbers are text.
+DIMENSION_SCHEMA = (
+    "DateKey int, Date date, FullDate string, DayOfMonth string, DaySuffix string, DayName string, DayOfWeek string, "
+    "DayOfWeekInMonth string, DayOfWeekInYear string, DayOfQuarter string, DayOfYear string, WeekOfMonth string, "
+    "WeekOfQuarter string, WeekOfYear string, Month string, MonthName string, MonthOfQuarter string, Quarter string, "
+    "QuarterName string, Year string, YearName string, MonthYear string, MMYYYY string, FirstDayOfMonth date, "
+    "LastDayOfMonth date, FirstDayOfQuarter date, LastDayOfQuarter date, FirstDayOfYear date, LastDayOfYear date, "
+    "IsHoliday int, IsWeekday int, HolidayName string, FiscalDayOfYear string, FiscalWeekOfYear string, "
+    "FiscalMonth string, FiscalQuarter string, FiscalQuarterName string, FiscalYear string, FiscalYearName string, "
+    "FiscalMonthYear string, FiscalMMYYYY string, FiscalFirstDayOfMonth date, FiscalLastDayOfMonth date, "
+    "FiscalFirstDayOfQuarter date, FiscalLastDayOfQuarter date, FiscalFirstDayOfYear date, FiscalLastDayOfYear date"
+)
+
+
 def date_dimension_full(
     span: DataFrame, last_year: DataFrame, rule: FiscalRule, holidays: tuple[Holiday, ...] = HOLIDAYS
 ) -> DataFrame:
-    """The date dimension with its fiscal columns; days without a fiscal year keep nulls."""
-    return date_dimension(span, holidays).join(fiscal_calendar(last_year, rule), "Date", "left")
+    """The date dimension with its fiscal columns, as declared; days without a fiscal year keep nulls."""
+    days = date_dimension(span, holidays).join(fiscal_calendar(last_year, rule), "Date", "left")
+    declared = [c.split(" ") for c in DIMENSION_SCHEMA.split(", ")]
+    return days.select(*[F.col(name).cast(kind).alias(name) for name, kind in declared])
 
 
 # --- month periods ---------------------------------------------------------------------------

@@ -193,3 +193,18 @@ def test_empty_spans(spark):
     empty = span(spark, dt.date(2021, 2, 1), dt.date(2021, 2, 1))
     assert cal.day_spine(empty).count() == 0
     assert cal.month_spine(empty).count() == 1
+
+
+def test_the_dimension_is_as_declared(spark):
+    span = spark.sql("select date '1999-12-20' as start, date '2000-01-10' as end")
+    rule = cal.rule_445(dt.date(1994, 12, 26), 1995, 1996, 3)
+    full = cal.date_dimension_full(span, spark.sql("select 2000 as last_year"), rule)
+    assert ", ".join(f"{c} {t}" for c, t in full.dtypes) == cal.DIMENSION_SCHEMA
+    assert len(full.columns) == 47 and full.count() == 21
+    assert full.columns[:3] == ["DateKey", "Date", "FullDate"] and full.columns[32:34] == ["FiscalDayOfYear", "FiscalWeekOfYear"]
+
+
+def test_a_holiday_that_began_in_1983(spark):
+    span = spark.sql("select date '1981-01-01' as start, date '1985-12-31' as end")
+    days = cal.date_dimension(span).where("HolidayName like 'Martin%'").select("Date").collect()
+    assert sorted(r["Date"] for r in days) == [dt.date(1983, 1, 17), dt.date(1984, 1, 16), dt.date(1985, 1, 21)]
