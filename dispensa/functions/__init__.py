@@ -1,10 +0,0 @@
-from dispensa.functions.compat import (  # noqa: F401
-    int_div,
-    isnull,
-    live,
-    raise_unless,
-    round_to_int,
-    same_text,
-    text_concat,
-    zero_pad,
-)
