@@ -6,9 +6,16 @@ from dispensa.catalog import Query
 from dispensa.plans import feed
 from dispensa.sources.standins import standin, standin_sql
 
+# Name in the feed and column of the fact table, written out here, so that the job's own are held against them.
+_TEXTS = (
+    "EventKod EventKod, P_Z PlanliZiyaret, Line Line, Bolge Bolge, SNo SNo, UyeAd UyeAd, UniteAd UniteAd, Semt Semt, "
+    "Brick Brick, Iht iht, Unvan Unvan, DrAdSoyad DrAdSoyad, Tarih Tarih, Ilac Ilac, Ikili ikiliZiyaret"
+)
+_NUMBERS = "DrSabit DrSabit, IlacCalismaSirasi Sira"
 _FIELDS = ", ".join(
-    f"try_cast(json_extract_string(e, '$.{source}') as {'int' if t == 'int' else 'varchar'}) as {column}"
-    for source, column, t in feed.VISIT_FIELDS
+    f"try_cast(json_extract_string(e, '$.{pair.split()[0]}') as {kind}) as {pair.split()[1]}"
+    for kind, pairs in (("varchar", _TEXTS), ("int", _NUMBERS))
+    for pair in pairs.split(", ")
 )
 
 _STRIPPED = r"""regexp_replace(regexp_replace(body, '^(\s*<[^>]*>)+\s*', ''), '(</[^>]*>\s*)+$', '')"""

@@ -66,6 +66,16 @@ def _routed(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- the oracle ------------------------------------------------------------------------------
 
+# Measures and texts are written out here, so that the job's own are held against them.
+_METRICS = (
+    ("units", "unit+unitbonus", "unit+unitbonus"),
+    ("rec_p", "RecP", "product record counts"),
+    ("rec_c", "RecC", "customer record counts"),
+    ("rec_s", "RecS", "sales record counts"),
+)
+_SUPPLY = "Pharmacy File is passed from Supply Service Control successfully.........\\n"
+_PRODUCTION = "Pharmacy File is passed from Production Control successfully.........\\n"
+
 
 def _oracle(final: str, units_range: int = 35, records_range: int = 35) -> str:
     def logged(expr: str, cycle: str) -> str:
@@ -92,7 +102,7 @@ def _oracle(final: str, units_range: int = 35, records_range: int = 35) -> str:
         f"""when p_{m} = 0 then 'Previous cycle log has not any value on {name}'
             when abs(100.0 * (c_{m} - p_{m}) / p_{m}) > {units_range if m == 'units' else records_range}
             then printf('%.3f', round(100.0 * (c_{m} - p_{m}) / p_{m}, 3)) || ' suspected growth on {label}'"""
-        for m, name, label in g.METRICS
+        for m, name, label in _METRICS
     )
     ctes = {n: standin_sql(n) for n in ("log_pp", "log_cycle", "gate_account")}
     ctes["live_cycle"] = "select * from log_cycle where is_deleted = 0 or is_deleted is null"
@@ -104,13 +114,13 @@ def _oracle(final: str, units_range: int = 35, records_range: int = 35) -> str:
     ctes["r"] = """select c.*, coalesce((select max(l.cycle_id) from live_cycle l where l.cycle_date = c.prev_date), 0)
         as prev_id from compared c"""
     ctes["looked_up"] = f"select r.*, {', '.join(columns)} from r"
-    ctes["judged"] = f"""select *, case when cycle_id < 1 or account_id < 1 then '{g.BAD_PARAMETERS}'
-            when n_cycles <> 1 then '{g.NOT_ONE_CYCLE}'
+    ctes["judged"] = f"""select *, case when cycle_id < 1 or account_id < 1 then 'Have missing or wrong parameters value'
+            when n_cycles <> 1 then 'Not have one cycle record'
             when account_id not in (select account_id from gate_account where coalesce(is_deleted, 0) = 0)
-                then '{g.NO_ACCOUNT}'
-            when c_n = 0 then '{g.NO_LOG}'
-            when prev_id not in (select cycle_id from live_cycle) then '{g.NO_PREVIOUS_CYCLE}'
-            when p_n = 0 then '{g.NO_PREVIOUS_LOG}' end as message,
+                then 'Not have account record'
+            when c_n = 0 then 'Not have LogPP record with current CycleId and AccountId'
+            when prev_id not in (select cycle_id from live_cycle) then 'Not have previous cycle'
+            when p_n = 0 then 'Not have LogPP previous record with previous CycleId and AccountId' end as message,
         case {dates} end as date_note, case {growth} end as growth_note from looked_up"""
     ctes["verdicts"] = """select cycle_id, account_id, message,
         case when message is null then coalesce(date_note, growth_note) end as note,
@@ -135,8 +145,8 @@ _UPDATES_SQL = f"""select process_id, 'E' as status,
     case when total_errors is null then null
          when total_errors <> 0 then 'There are ' || total_errors || ' error transaction for Supply Service....\\n'
               || err_message || '\\n' || coalesce(message, '')
-         when verdict = 0 then '{g.SUPPLY_PASSED}' || {_FOUND}
-         when verdict = -1 then {_FOUND} else '{g.SUPPLY_PASSED}{g.PRODUCTION_PASSED}' end as message,
+         when verdict = 0 then '{_SUPPLY}' || {_FOUND}
+         when verdict = -1 then {_FOUND} else '{_SUPPLY}{_PRODUCTION}' end as message,
     case when total_errors is null or total_errors <> 0 then approve_flag when verdict = 1 then 1 else 0 end as approve_flag
     from routed"""
 

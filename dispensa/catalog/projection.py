@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispensa.catalog import Query
-from dispensa.operators.levels import ALL_LEVELS, LEVELS, one_level
+from dispensa.operators.levels import one_level
 from dispensa.plans import projection as pj
 from dispensa.sources.standins import standin, standin_sql
 from dispensa.sources.staging import Staging
@@ -46,6 +46,9 @@ def run(spark: SparkSession, folder: str) -> pj.Projection:
 
 # --- the oracle ------------------------------------------------------------------------------
 
+# The levels from the finest to the coarsest, written out here, so that the jobs' own order is held against it.
+LEVELS = ("Brand", "ATC4", "ATC3", "ATC2", "ATC1", "Basket", "Rx")
+ALL_LEVELS = ("Class", "Brand", "ATC4", "ATC3", "ATC2", "ATC1", "Basket", "Rx")
 _STRATUM = ("PdID", "Region", "TSC", "Chain")
 _ATTRS = "Brand, ATC1, ATC2, ATC3, ATC4, Basket, Rx, Class"
 _INPUTS = (
