@@ -35,7 +35,7 @@ from dispensa.sources.staging import Staging
 
 STAR_ROUNDS = 2
 LEADS = 12
-LINEAR = 48  # pairs for each post that are enumerated at once
+LINEAR = 2  # pairs for each post that are enumerated at once
 SKETCH = 32
 _COUNTED = np.uint64(0xFFFFFFFFFF000000)  # 40 bits name a shingle while counting; they only order it
 _SETS = (
@@ -235,10 +235,14 @@ def _stars(posts: DataFrame, turn: int, t: Fraction) -> DataFrame:
 
 def _across(posts: DataFrame, t: Fraction) -> DataFrame:
     """All pairs of documents of a shingle that lie in two components."""
-    parts = posts.groupBy("shingle", "part").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    parts = posts.groupBy("shingle", "part").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.expr("n - at")).alias("rest")
+    )
     p, q = t.numerator, t.denominator
     two = parts.alias("v").join(parts.alias("w"), "shingle").where("v.part < w.part")
+    # The filters of single documents, for the best that any two of the components can offer.
     two = two.where(f"{p} * w.lo <= {q} * v.hi and {p} * v.lo <= {q} * w.hi")
+    two = two.where(f"{p} * (v.lo + w.lo) <= {p + q} * least(v.rest, w.rest)")
     two = two.select("shingle", F.col("v.part").alias("part"), F.col("w.part").alias("other"))
     left = two.join(posts, ["shingle", "part"]).select("shingle", "other", "rep", "n", "at")
     right = posts.withColumnRenamed("part", "other")
