@@ -123,3 +123,9 @@ def test_sql_twin_on_aliases(spark, rules, staging):
 def test_no_python_in_the_plan(spark, rules, staging):
     plan = urls.judged(spark.createDataFrame(ALIASES, SCHEMA), rules, staging)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_query_against_its_sql(spark, folder):
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{folder}/pages.parquet'")
+    assert compare(QUERIES["op7_url_filter"].run(spark, folder), con, QUERIES["op7_url_filter"].sql)
