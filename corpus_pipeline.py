@@ -53,7 +53,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token ids, and whether they decode to the text."""
     codec = Codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    out = codec.decode(codec.encode(docs))
+    out = codec.encode(docs, decoded=True)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return out.select("doc_id", "lang", "source", "n_tokens", "ids", same.alias("round_trip"))
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from dispensa.llm.ship import shipped
 
-LIMIT = 4 << 20
+LIMIT = 2 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
@@ -33,8 +33,12 @@ def mapped(
     results: str,
     limit: int = LIMIT,
     only: bool = False,
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """The table with the columns that ``work`` makes, which replace columns of their names; ``only``: just those."""
+    """The table with the columns that ``work`` makes, which replace columns of their names; ``only``: just those.
+
+    ``done`` runs at the end of each partition. Workers live on for other stages, so memory is given back then.
+    """
     shipped(table.sparkSession)
     made = StructType.fromDDL(results)
     kept = [] if only else [f for f in table.schema.fields if f.name not in made.names]
@@ -45,5 +49,9 @@ def mapped(
             for batch in slices(whole, column, limit):
                 columns = {name: batch.column(name) for name in names} | work(batch)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                del batch, columns
+        if done:
+            done()
+        pa.default_memory_pool().release_unused()
 
     return table.select(*[F.col(f"`{c}`") for c in table.columns]).mapInArrow(run, StructType([*kept, *made.fields]))

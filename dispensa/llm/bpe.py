@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dispensa.llm.batches import mapped
 
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 BAND = 1024
 _NONE = 1 << 30  # the rank of a pair that makes no token
 _GAP, _GONE = 1 << 20, (1 << 20) + 1  # between pieces; taken into a token to the left
@@ -158,16 +158,24 @@ class Codec:
             self._raw = spark.sparkContext.broadcast(f.read())
         self._pattern = pattern
 
-    def encode(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """The documents with n_tokens and ids, the ids as little-endian unsigned 32-bit integers."""
+    def encode(self, docs: DataFrame, text: str = "text", decoded: bool = False) -> DataFrame:
+        """The documents with n_tokens and ids, the ids as little-endian unsigned 32-bit integers.
+
+        With ``decoded`` also the bytes that the ids decode to, in the same pass.
+        """
         shared, pattern = self._raw, self._pattern
 
         def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-            texts = pc.fill_null(batch.column(text), "").to_pylist()
-            ids = _vocabulary(shared.value, pattern).encode(texts)
-            return {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+            vocabulary = _vocabulary(shared.value, pattern)
+            ids = vocabulary.encode(pc.fill_null(batch.column(text), "").to_pylist())
+            out = {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+            return out | ({"decoded": pa.array(map(vocabulary.decode, ids), pa.binary())} if decoded else {})
+
+        def done() -> None:
+            _vocabulary(shared.value, pattern).known.clear()
 
-        return mapped(docs, text, work, "n_tokens bigint, ids binary", 2 << 20)
+        made = "n_tokens bigint, ids binary" + ", decoded binary" * decoded
+        return mapped(docs, text, work, made, done=done)
 
     def decode(self, encoded: DataFrame, ids: str = "ids") -> DataFrame:
         """The table with decoded, the bytes that the ids stand for."""

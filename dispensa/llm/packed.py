@@ -129,6 +129,7 @@ def with_answers(
     """Each block beside the answers it got. The blocks' shuffle is the one of the question, used again."""
 
     def run(key: tuple, rows: pa.Table, told: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what the block before took
         return work(key[0].as_py(), rows, told)
 
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
@@ -136,6 +137,7 @@ def with_answers(
 
 def each_block(blocks: DataFrame, work: Callable[[int, pa.Table], pa.Table], schema: str) -> DataFrame:
     def run(key: tuple, rows: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what the block before took
         return work(key[0].as_py(), rows)
 
     return blocks.groupBy("block").applyInArrow(run, schema)

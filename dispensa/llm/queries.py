@@ -41,8 +41,7 @@ def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     codec = Codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    # Decoding sees the ids alone.
-    out = codec.decode(codec.encode(_table(spark, folder, "documents").select("doc_id", "text")).drop("text"))
+    out = codec.encode(_table(spark, folder, "documents").select("doc_id", "text"), decoded=True)
     return out.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

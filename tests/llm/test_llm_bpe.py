@@ -73,3 +73,5 @@ def test_tables(spark):
     got = sorted((r["doc_id"] or 0, r["n_tokens"], bytes(r["decoded"])) for r in out.collect())
     assert got == [(0, 0, b""), (1, 2, b"Hello world"), (1, 2, b"Hello world"), (2, 0, b"")]
     assert codec.encode(docs.limit(0)).collect() == []
+    both = codec.encode(docs, decoded=True)
+    assert both.columns == out.columns and sorted(map(str, both.collect())) == sorted(map(str, out.collect()))
