@@ -2,8 +2,13 @@
 
 Each pass orders all vectors by the bits of random projections, the first bit first, so that similar vectors
 tend to lie side by side; each vector is compared with the next ``WINDOW`` ones. The passes are one shuffle
-ranged by (pass, bits), and a task passes on what joins its vectors (a forest, not all pairs). The union over
-passes gives components.
+ranged by (pass, bits), and a task passes on what joins its vectors (a forest, not all pairs). The ends of the
+ranges meet afterwards, so windows reach over range borders. The union over passes gives components.
+
+Two vectors at the threshold agree on a bit with p = 1 - arccos(threshold) / pi and lie in one window if they
+share about log2(N / window) leading bits. The number of passes follows from the number N of distinct vectors,
+so that a pair at the threshold with no other links is found with a chance of ``RECALL`` among vectors that are
+spread out, at any size of the table. A dense region of vectors that do not link needs more passes than that.
 
 Equal vectors are taken together before, so no order can be filled by copies of one vector. Links are counted
 inside components afterwards: their members are compared in tiles of bounded size, in which the counts are
@@ -17,25 +22,36 @@ apart. Other columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from dispensa.llm.components import connected
 from dispensa.llm.ship import shipped
 from dispensa.sources.staging import Staging
 
-PASSES = 16
+RECALL = 0.99
+PASSES = 16  # at least
 BITS = 62
 WINDOW = 48
 THRESHOLD = 0.9
 TILE = 1024
 
 
+def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
+    """How many passes find a pair at the threshold among n spread-out vectors with a chance of ``recall``."""
+    agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    once = agree ** math.log2(max(1.0, n / window))
+    return PASSES if once >= 1 else max(PASSES, math.ceil(math.log(1 - recall) / math.log1p(-once)))
+
+
 def _rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Vectors of one length as rows, scaled to length 1 in double precision."""
     if isinstance(column, pa.ChunkedArray):
@@ -86,32 +102,78 @@ class _Forest:
         return a != b
 
 
+def _links(rows: pa.Table, window: int, threshold: float) -> dict[str, pa.Array]:
+    """Links between sorted vectors at most ``window`` apart in a pass; a link that closes a circle is left out."""
+    a, b = [], []
+    for table in _by_length(rows):
+        x, turn = _rows(table["v"]), table["turn"].to_numpy()
+        ids, forest = table["vec_id"].to_numpy(), _Forest(len(x))
+        for step in range(1, min(window, len(x) - 1) + 1):
+            near = np.einsum("ij,ij->i", x[:-step], x[step:]) >= threshold
+            for i in np.flatnonzero(near & (turn[:-step] == turn[step:])).tolist():
+                if forest.join(i, i + step):
+                    a.append(ids[i])
+                    b.append(ids[i + step])
+    return {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+
+
 def _neighbours(window: int, threshold: float):
-    """Links between vectors at most ``window`` apart in each pass; a link that closes a circle is left out."""
+    """The links inside a range, and the rows at its ends (range, place) for what crosses its borders."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head: pa.Table | None = None
         tail: pa.Table | None = None
+        n = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             fresh = pa.Table.from_batches([batch])
             both = fresh if tail is None else pa.concat_tables([tail, fresh])
-            a, b = [], []
-            for table in _by_length(both):
-                x, turn = _rows(table["v"]), table["turn"].to_numpy()
-                ids, forest = table["vec_id"].to_numpy(), _Forest(len(x))
-                for step in range(1, min(window, len(x) - 1) + 1):
-                    near = np.einsum("ij,ij->i", x[:-step], x[step:]) >= threshold
-                    for i in np.flatnonzero(near & (turn[:-step] == turn[step:])).tolist():
-                        if forest.join(i, i + step):
-                            a.append(ids[i])
-                            b.append(ids[i + step])
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            found = _links(both, window, threshold)
+            none = {c: pa.nulls(len(found["a"]), t) for c, t in (("range", pa.int32()), ("place", pa.int64()))}
+            none |= {c: pa.nulls(len(found["a"]), fresh.schema.field(c).type) for c in ("vec_id", "v", "turn")}
+            yield pa.RecordBatch.from_pydict(found | none)
+            n += batch.num_rows
             tail = both.slice(max(0, both.num_rows - window))
+            if head is None or head.num_rows < window:
+                head = (fresh if head is None else pa.concat_tables([head, fresh])).slice(0, window)
+        if head is not None:
+            last = tail.slice(max(0, head.num_rows + tail.num_rows - n))  # what is not in the head
+            ends = pa.concat_tables([head, last]).select(["vec_id", "v", "turn"])
+            place = np.append(np.arange(head.num_rows), np.arange(n - last.num_rows, n))
+            where = {"range": pa.array(np.full(len(place), TaskContext.get().partitionId(), np.int32)), "place": pa.array(place)}
+            none = {c: pa.nulls(len(place), pa.int64()) for c in ("a", "b")}
+            table = pa.table(none | where | {c: ends[c] for c in ends.schema.names})
+            yield from table.combine_chunks().to_batches()
 
     return run
 
 
+def _over_borders(found: DataFrame, window: int, threshold: float) -> DataFrame:
+    """The links between vectors at most ``window`` apart that lie in different ranges.
+
+    The driver learns the size of each range. A border's group has the ``window`` rows on each side of it,
+    whichever ranges they come from.
+    """
+    ends = found.where("range is not null")
+    sizes = sorted(map(tuple, ends.groupBy("range").agg(F.max("place") + 1).collect()))
+    stops = np.cumsum([n for _, n in sizes], dtype=np.int64)
+    spans = []
+    for (at, n), stop in zip(sizes, stops):
+        lo, hi = np.searchsorted(stops, [stop - n - window, stop + window], side="left")
+        borders = stops[lo : hi + 1]
+        spans.append((at, int(stop - n), [int(e) for e in borders if e < stops[-1]]))
+    spans = F.broadcast(found.sparkSession.createDataFrame(spans, "range int, begin long, borders array<long>"))
+    placed = ends.join(spans, "range").withColumn("pos", F.col("begin") + F.col("place"))
+    near = F.filter("borders", lambda e: (F.col("pos") >= e - window) & (F.col("pos") < e + window))
+    placed = placed.select(F.explode(near).alias("border"), "pos", "vec_id", "v", "turn")
+
+    def work(table: pa.Table) -> pa.Table:
+        return pa.table(_links(table.sort_by("pos").combine_chunks(), window, threshold))
+
+    return placed.groupBy("border").applyInArrow(work, "a long, b long")
+
+
 def _count(threshold: float):
     """Adds up, for the vectors of one or two tiles, how many others each is linked to."""
 
@@ -149,15 +211,22 @@ def near_duplicates(
     vector: str = "embedding",
     key: str = "vec_id",
     threshold: float = THRESHOLD,
-    passes: int = PASSES,
+    passes: int | None = None,
     bits: int = BITS,
     window: int = WINDOW,
     seed: int = 11,
 ) -> DataFrame:
-    """Rows (vec_id, n_links, component_id, kept): one for each row of the table that has an identifier."""
+    """Rows (vec_id, n_links, component_id, kept): one for each row of the table that has an identifier.
+
+    Without ``passes`` there are as many as ``passes_for`` the distinct vectors.
+    """
     spark = vectors.sparkSession
     shipped(spark)
-    rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    # Single precision travels as such; cosines are in double precision in either case.
+    given = vectors.select(vector).schema[0].dataType
+    single = isinstance(given, ArrayType) and isinstance(given.elementType, FloatType)
+    kind = "array<float>" if single else "array<double>"
+    rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast(kind).alias("v"))
     rows = rows.where("vec_id is not null")
     finite = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))  # NaN is the largest value
     usable = F.coalesce(finite & F.exists("v", lambda x: x != 0), F.lit(False))
@@ -168,9 +237,15 @@ def near_duplicates(
         F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("v").alias("v")
     )
     kinds = staging.keep(kinds, "vectors")
-    keyed = kinds.select("vec_id", "v").mapInArrow(_keys(passes, bits, seed), "vec_id long, v array<double>, turn int, key long")
+    if passes is None:
+        passes = passes_for(kinds.count(), threshold, window)
+    keyed = kinds.select("vec_id", "v").mapInArrow(_keys(passes, bits, seed), f"vec_id long, v {kind}, turn int, key long")
     keyed = keyed.repartitionByRange("turn", "key").sortWithinPartitions("turn", "key", "vec_id")
-    links = staging.keep(keyed.mapInArrow(_neighbours(window, threshold), "a long, b long"), "links")
+    found = keyed.mapInArrow(
+        _neighbours(window, threshold), f"a long, b long, range int, place long, vec_id long, v {kind}, turn int"
+    )
+    found = staging.keep(found, "links")
+    links = found.where("a is not null").select("a", "b").unionByName(_over_borders(found, window, threshold))
     groups = staging.keep(connected(links, staging), "groups")
 
     # Members are dealt into tiles; every two tiles of a component meet in one group, small components share one.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from dispensa.llm.embeddings import near_duplicates
+from dispensa.llm.embeddings import near_duplicates, passes_for
 from tests.llm.brute import components
 
 
@@ -77,3 +77,32 @@ def test_copies_bad_vectors_and_nothing(spark, staging):
     want += [(i, 0, i, True) for i in (20, 21, 22, 23, 24, 25, 26)]
     assert got == sorted(want)
     assert near_duplicates(table.limit(0), staging).collect() == []
+
+
+def test_passes_follow_the_number_of_vectors():
+    """By the chance to share the bits that lead into one window, 1 - (1 - p ** log2(N / 48)) ** passes."""
+    p = 1 - np.arccos(0.9) / np.pi
+    for n in (10, 20_000, 50_000, 1_000_000, 10_000_000):
+        chance = p ** max(0, np.log2(n / 48))
+        assert 1 - (1 - chance) ** passes_for(n) >= 0.99
+    assert passes_for(10) == passes_for(20_000) == 16 and passes_for(1_000_000) == 41
+    assert passes_for(1_000_000, threshold=0.8) > 41 > passes_for(1_000_000, window=480)
+
+
+@pytest.mark.parametrize("partitions", (4, 37))
+def test_windows_reach_over_range_borders(spark, staging, partitions):
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=32)
+    rows = [(k, (centre + rng.normal(scale=0.1, size=32)).astype(np.float32).tolist()) for k in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for name, value in zip(names, (str(partitions), "false")):
+            spark.conf.set(name, value)
+        # Each vector links with the next one, so one pass with the least window finds all.
+        got = near_duplicates(table, staging, passes=1, window=1).collect()
+        assert {(r["n_links"], r["component_id"]) for r in got} == {(59, 0)}
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
