@@ -29,14 +29,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest identifier; repeated rows of it too are one.
+    """One row of each group of near copies: of the smallest identifier, a row without one only if all are.
 
-    Documents without identifier have no group and stay.
+    Rows are compared each by its own text, so repeated rows of a document are near copies too, and another
+    text of the same identifier stays. Rows without words have no group and stay.
     """
-    groups = jaccard.similarity_components(docs, Staging(spark))
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.select(*docs.columns)
+    staging = Staging(spark)
+    rows = staging.keep(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard.similarity_components(rows, staging, key="row").selectExpr("doc_id as row", "component_id as component")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "row")
+    members = rows.select("row", order.alias("order")).join(groups, "row")
+    members = staging.keep(members, "members")
+    first = members.groupBy("component").agg(F.min("order").alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = members.join(first, "component").where("order <> first").select("row")
+    return rows.join(gone, "row", "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -111,3 +111,15 @@ def test_stages_take_empty_and_odd_tables(spark, tmp_path, steps):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, folder)
             assert out.count() == docs.count()
+
+
+def test_repeated_rows_and_identifiers(spark, steps, folder):
+    """Of repeated rows one stays, whole; another text of an identifier stays when a near copy of it goes."""
+    text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcd"}
+    near = text["d"].rsplit(" ", 1)[0] + " other"
+    given = [(1, text["a"])] * 3 + [(None, text["b"])] * 2 + [(5, text["c"]), (5, near), (2, text["d"]), (7, text["d"]), (None, near)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in given], steps[0].schema).repartition(3)
+    want = sorted([("1", text["a"]), ("None", text["b"]), ("5", text["c"]), ("2", text["d"])])
+    for stage in (corpus_pipeline.ngram_jaccard_join, corpus_pipeline.substring_dedup):
+        docs = stage(spark, docs, folder)
+        assert sorted((str(r["doc_id"]), r["text"]) for r in docs.collect()) == want
