@@ -4,13 +4,14 @@ A rule (host, path, verdict) fits its host and all subdomains where the url's pa
 longest rule wins, of equally long ones an allowing one. Rules meet the distinct hosts, each cut into its
 suffixes, in an equi-join, so a list of millions of rules works too.
 
-A page's canonical link and its redirect are edges between urls (without scheme and fragment). In a connected
+A page's canonical links and its redirects are edges between urls (without scheme and fragment), all of them, and
+relative ones are resolved against the page's url. In a connected
 component a page without a rule of its own is blocked if any url there is blocked by a rule and none is
 allowed by one; a page with a rule keeps its verdict. Everything else is allowed.
 
 Only DataFrame functions are used. Defined results: a null url or one without ``://`` has empty host and path
-and no rule, and is allowed; a null page has no links; repeated rows and urls are judged alike; relative
-targets other than ``//host/...`` and ``/path`` are no edges; without rules all is allowed.
+and no rule, and is allowed; a null page has no links; repeated rows and urls are judged alike; targets
+of other schemes without ``//`` are no edges, and a ``base`` element is not read; without rules all is allowed.
 """
 
 from __future__ import annotations
@@ -49,29 +50,55 @@ def _node(url: Column) -> Column:
     return F.when(host(url) != "", F.concat(host(url), rest))
 
 
-def _target(html: Column) -> Column:
-    """Where the page redirects, or else its canonical link; null if it has neither."""
-    refresh = F.regexp_extract(html, r"""(?is)<meta\s[^>]*http-equiv\s*=\s*["']?refresh\b[^>]*>""", 0)
-    to = F.regexp_extract(refresh, r"""(?is)\burl\s*=\s*['"]?([^'">\s]+)""", 1)
-    link = F.regexp_extract(html, r"""(?is)<link\s[^>]*rel\s*=\s*["']?canonical\b[^>]*>""", 0)
-    href = F.regexp_extract(link, r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", 0)
-    href = F.regexp_replace(F.regexp_replace(href, r"(?is)^href\s*=\s*", ""), """^["']|["']$""", "")
-    found = F.trim(F.when(to != "", to).otherwise(href))
-    return F.when(F.length(found) > 0, F.replace(found, F.lit("&amp;"), F.lit("&")))
+def _targets(html: Column) -> Column:
+    """Where the page redirects and its canonical links, as an array."""
+    refresh = F.regexp_extract_all(html, F.lit(r"""(?is)<meta\s[^>]*http-equiv\s*=\s*["']?refresh\b[^>]*>"""), F.lit(0))
+    to = F.transform(refresh, lambda m: F.regexp_extract(m, r"""(?is)\burl\s*=\s*['"]?([^'">\s]+)""", 1))
+
+    def href(link: Column) -> Column:
+        found = F.regexp_extract(link, r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", 0)
+        return F.regexp_replace(F.regexp_replace(found, r"(?is)^href\s*=\s*", ""), """^["']|["']$""", "")
+
+    links = F.regexp_extract_all(html, F.lit(r"""(?is)<link\s[^>]*rel\s*=\s*["']?canonical\b[^>]*>"""), F.lit(0))
+    found = F.transform(F.concat(to, F.transform(links, href)), lambda t: F.replace(F.trim(t), F.lit("&amp;"), F.lit("&")))
+    return F.array_distinct(F.filter(found, lambda t: F.length(t) > 0))
+
+
+def _without_dots(place: Column) -> Column:
+    """A path from ``/`` on, without the segments ``.`` and ``..``."""
+    parts = F.split(place, "/")
+    above = lambda done: F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+    kept = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"),
+        lambda done, part: F.when(part == "..", above(done)).when(part == ".", done).otherwise(F.concat(done, F.array(part))),
+    )
+    folder = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.lit("/"), F.array_join(F.concat(kept, folder), "/"))
+
+
+def _resolved(to: Column, url: Column) -> Column:
+    """The target as a whole url, seen from the page's; null if it is none."""
+    site = F.concat(F.regexp_extract(url, r"(?s)^(.*?)://", 1), F.lit("://"), host(url))
+    place, rest = F.regexp_extract(to, r"(?s)^([^?#]*)(.*)$", 1), F.regexp_extract(to, r"(?s)^([^?#]*)(.*)$", 2)
+    folder = F.regexp_replace(path(url), r"[^/]*$", "")
+    folder = F.when(folder == "", "/").otherwise(folder)
+    return (
+        F.when(F.rlike(to, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*://")), to)
+        .when(F.startswith(to, F.lit("//")), F.concat(F.regexp_extract(url, r"(?s)^(.*?)://", 1), F.lit(":"), to))
+        .when(F.rlike(to, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(None).cast("string"))
+        .when(F.startswith(to, F.lit("/")), F.concat(site, _without_dots(place), rest))
+        .when(F.startswith(to, F.lit("?")), F.concat(site, path(url), to))
+        .when(~F.startswith(to, F.lit("#")), F.concat(site, _without_dots(F.concat(folder, place)), rest))
+    )
 
 
 def edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): a page's url and the one it redirects to or names as canonical."""
+    """(a, b): a page's url and one that it redirects to or names as canonical."""
     # Most pages have neither; the words are looked for before any pattern runs.
     text = F.col(html)
     marked = pages.where(F.contains(F.lower(text), F.lit("canonical")) | F.contains(F.lower(text), F.lit("refresh")))
-    found = marked.select(F.col(url).alias("url"), _target(text).alias("to"))
-    scheme = F.regexp_extract("url", r"(?s)^(.*?)://", 1)
-    whole = (
-        F.when(F.contains("to", F.lit("://")), F.col("to"))
-        .when(F.startswith("to", F.lit("//")), F.concat(scheme, F.lit(":"), F.col("to")))
-        .when(F.startswith("to", F.lit("/")), F.concat(scheme, F.lit("://"), host(F.col("url")), F.col("to")))
-    )
+    found = marked.select(F.col(url).alias("url"), F.explode(_targets(text)).alias("to"))
+    whole = _resolved(F.col("to"), F.col("url"))
     return found.select(_node(F.col("url")).alias("a"), _node(whole).alias("b")).where("a <> b").distinct()
 
 

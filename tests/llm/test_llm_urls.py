@@ -129,3 +129,28 @@ def test_query_against_its_sql(spark, folder):
     con = duckdb.connect()
     con.execute(f"create view pages as select * from '{folder}/pages.parquet'")
     assert compare(QUERIES["op7_url_filter"].run(spark, folder), con, QUERIES["op7_url_filter"].sql)
+
+
+def test_all_targets_of_a_page_are_edges(spark, rules, staging):
+    """Redirects beside canonical links, a page that reloads itself, several tags, and relative targets."""
+    both = page(to="http://n.net/1", link="http://x.com/de/1")
+    rows = [
+        (1, "http://n.net/1", both), (2, "http://two.net/", page(to="http://calm.net/", link="http://x.com/de/2")), (3, "http://calm.net/", None),
+        (4, "http://t.net/", page(link="http://t.net/") + page(link="http://x.com/de/3")), (5, "http://r.net/a/b?q", page(to="page2")),
+        (6, "http://r.net/a/page2", page(link="http://x.com/de/4")), (7, "http://q.net/s", page(to="?p=1")), (8, "http://q.net/s?p=1", page(link="http://x.com/de/")),
+        (9, "http://mail.net/", page(link="mailto:x@x.com")),
+    ]
+    got = {k: v[3] for k, v in judged(spark, rules, staging, rows).items()}
+    assert got == {k: "allow" if k == 9 else "block" for k in range(1, 10)}
+
+
+def test_relative_targets(spark):
+    cases = {
+        "page2": "h.net/a/b/page2", "./x": "h.net/a/b/x", "../x?y=1#z": "h.net/a/x?y=1", "../../../x": "h.net/x", "..": "h.net/a/",
+        "?p=1": "h.net/a/b/c?p=1", "/r/../s/.": "h.net/s/", "//o.net/k": "o.net/k", "k?u=http://x.com/": "h.net/a/b/k?u=http://x.com/",
+        "#top": None, "javascript:go()": None, "HTTPS://O.net/K": "o.net/K",
+    }
+    rows = [(k, f"http://h.net/a/b/c?q={k}", page(link=to)) for k, to in enumerate(cases)] + [(99, "http://bare.net", page(link="up"))]
+    got = {r["a"]: r["b"] for r in urls.edges(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = {f"h.net/a/b/c?q={k}": b for k, b in enumerate(cases.values()) if b} | {"bare.net/": "bare.net/up"}
+    assert got == want
