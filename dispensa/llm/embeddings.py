@@ -6,7 +6,7 @@ ranged by (pass, bits), and a task passes on what joins its vectors (a forest, n
 ranges meet afterwards, so windows reach over range borders. The union over passes gives components.
 
 Two vectors at the threshold agree on a bit with p = 1 - arccos(threshold) / pi and lie in one window if they
-share about log2(N / window) leading bits. The number of passes follows from the number N of distinct vectors,
+share about log2(2 N / window) leading bits. The number of passes follows from the number N of distinct vectors,
 so that a pair at the threshold with no other links is found with a chance of ``RECALL`` among vectors that are
 spread out, at any size of the table. A dense region of vectors that do not link needs more passes than that.
 
@@ -48,7 +48,7 @@ TILE = 1024
 def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
     """How many passes find a pair at the threshold among n spread-out vectors with a chance of ``recall``."""
     agree = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
-    once = agree ** math.log2(max(1.0, n / window))
+    once = agree ** math.log2(max(1.0, 2 * n / window))
     return PASSES if once >= 1 else max(PASSES, math.ceil(math.log(1 - recall) / math.log1p(-once)))
 
 

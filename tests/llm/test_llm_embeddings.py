@@ -80,13 +80,13 @@ def test_copies_bad_vectors_and_nothing(spark, staging):
 
 
 def test_passes_follow_the_number_of_vectors():
-    """By the chance to share the bits that lead into one window, 1 - (1 - p ** log2(N / 48)) ** passes."""
+    """By the chance to share the bits that lead into one window, 1 - (1 - p ** log2(N / 24)) ** passes."""
     p = 1 - np.arccos(0.9) / np.pi
     for n in (10, 20_000, 50_000, 1_000_000, 10_000_000):
-        chance = p ** max(0, np.log2(n / 48))
+        chance = p ** max(0, np.log2(n / 24))
         assert 1 - (1 - chance) ** passes_for(n) >= 0.99
-    assert passes_for(10) == passes_for(20_000) == 16 and passes_for(1_000_000) == 41
-    assert passes_for(1_000_000, threshold=0.8) > 41 > passes_for(1_000_000, window=480)
+    assert passes_for(10) == 16 < passes_for(20_000) < passes_for(1_000_000) == 48
+    assert passes_for(1_000_000, threshold=0.8) > 48 > passes_for(1_000_000, window=480)
 
 
 @pytest.mark.parametrize("partitions", (4, 37))
