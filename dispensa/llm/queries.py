@@ -7,11 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispensa.catalog import Query
-from dispensa.llm import decontaminate, embeddings, jaccard, language_model, licences, pages, quality, substrings, urls
+from dispensa.llm import (
+    conversations,
+    decontaminate,
+    embeddings,
+    jaccard,
+    language_model,
+    licences,
+    manifest,
+    pages,
+    quality,
+    substrings,
+    token_counts,
+    twins,
+    urls,
+)
 from dispensa.llm.bpe import Codec
 from dispensa.sources.staging import Staging
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +95,39 @@ def op10_class_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(_table(spark, folder, "documents"), Staging(spark))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    proven = token_counts.prove(token_counts.read_pieces(public_tokenizers.path(PIECES)))
+    return token_counts.count_tokens(_table(spark, folder, "documents").select("doc_id", "text"), proven).drop("text")
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    # What a copy of the table holds in which some lengths were changed.
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    fields = [F.col("n_chars") + 1 if c == "n_chars" else c for c in manifest.FIELDS]
+    docs = docs.withColumn("seen", F.when(changed, manifest.leaf_digest(fields)))
+    out = manifest.manifest(docs, Staging(spark), kept=["doc_id", "seen"])
+    out = out.withColumn("folded_root", manifest.folded(F.coalesce("seen", "leaf"), F.col("proof")))
+    return out.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations")
+    repair = conversations.Repair(conversations.damaged(turns), Staging(spark))
+    report = repair.report().withColumnRenamed("conv_id", "_r")
+    digests = conversations.line_digests(repair.rows()).withColumnRenamed("conv_id", "_d")
+    found = turns.select("conv_id").distinct().join(report, F.expr("conv_id <=> _r"), "left")
+    found = found.join(digests, F.expr("conv_id <=> _d"), "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def _url_rules_sql() -> str:
     """The rules one by one, and aliases by a recursive walk over the links."""
     host = "translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -122,4 +170,7 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": Query(op8_embedding_near_dedup),
     "op9_decontamination": Query(op9_decontamination),
     "op10_class_language_model": Query(op10_class_language_model),
+    "op11_token_counts": Query(op11_token_counts),
+    "op12_merkle_manifest": Query(op12_merkle_manifest, twins.MANIFEST),
+    "op13_conversation_repair": Query(op13_conversation_repair, twins.CONVERSATIONS),
 }
