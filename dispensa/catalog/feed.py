@@ -20,17 +20,35 @@ _FIELDS = ", ".join(
 
 _STRIPPED = r"""regexp_replace(regexp_replace(body, '^(\s*<[^>]*>)+\s*', ''), '(</[^>]*>\s*)+$', '')"""
 
+# The kinds of a JSON value.
+_KIND = """case json_type(v) when 'NULL' then 0 when 'VARCHAR' then 1 when 'BOOLEAN' then 3 when 'ARRAY' then 4
+    when 'OBJECT' then 5 else 2 end"""
+
 QUERIES: dict[str, Query] = {
     "json_rejects": Query(
         lambda s, d: feed.json_rejects(standin(s, d, "payloads_raw")),
-        f"""with payloads as ({standin_sql('payloads_raw')})
-            select payload_id, body from payloads where not json_valid({_STRIPPED})""",
+        f"""with payloads as ({standin_sql('payloads_raw')}), cut as (select *, {_STRIPPED} as j from payloads),
+            told as (select payload_id, body, case when body is null then 'missing' when trim(j) = '' then 'empty'
+                when not json_valid(j) then 'malformed' when json_type(j) not in ('ARRAY', 'OBJECT') then 'scalar' end as reason
+                from cut)
+            select * from told where reason is not null""",
     ),
     "json_shred": Query(
-        lambda s, d: feed.shred_json(standin(s, d, "payloads")),
+        lambda s, d: feed.shred_json(standin(s, d, "payloads"), skip_rejects=True),
         f"""with payloads as ({standin_sql('payloads')}),
             cut as (select substr(body, strpos(body, '['), length(body) - strpos(reverse(body), ']') - strpos(body, '[') + 2)
-                    as j from payloads)
+                    as j from payloads where strpos(body, '[') > 0)
             select {_FIELDS} from (select unnest(cast(cast(j as json) as json[])) as e from cut)""",
     ),
+    "json_typed": Query(
+        lambda s, d: feed.json_typed(standin(s, d, "payloads_typed")),
+        f"""with payloads as ({standin_sql('payloads_typed')}),
+            whole as (select payload_id, case when json_type(body) = 'OBJECT' then '[' || body || ']' else body end as j
+                      from payloads where body is not null),
+            part as (select payload_id, unnest(cast(cast(j as json) as json[])) as e,
+                            generate_subscripts(cast(cast(j as json) as json[]), 1) - 1 as element from whole),
+            field as (select payload_id, element, e, unnest(json_keys(e)) as key from part where json_type(e) = 'OBJECT'),
+            found as (select *, json_extract(e, '$."' || key || '"') as v from field)
+            select payload_id, element::int as element, key, json_extract_string(v, '$') as value, {_KIND} as kind from found""",
+    ),
 }

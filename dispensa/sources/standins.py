@@ -134,22 +134,35 @@ STANDINS: dict[str, str] = {
                cast(count(distinct props) as int) as rec_p, cast(count(distinct user_id) as int) as rec_c,
                cast(count(*) as int) as rec_s, cast('loaded' as string) as note
         from {events} group by day(ts), month(ts), year(ts), hour(ts), event_type""",
+    # Some payloads hold nothing inside the envelope, some never came.
     "payloads": """
-        select event_id as payload_id,
+        select event_id as payload_id, case when event_type = 'view' and minute(ts) = 7 then cast(null as string)
+               when event_type = 'purchase' and minute(ts) = 11 then '<Envelope><Body><Result> </Result></Body></Envelope>' else
                '<?xml version="1.0"?><Envelope><Body><Result>[{{"EventKod":"' || cast(event_id as string) ||
                '","P_Z":"' || event_type || '","Line":"L' || cast(day(ts) as string) || '","Bolge":"B' ||
                cast(hour(ts) as string) || '","DrSabit":' || cast(user_id as string) || ',"Tarih":"' ||
                cast(cast(ts as date) as string) || '","IlacCalismaSirasi":' || cast(minute(ts) as string) ||
                '}},{{"EventKod":"x' || cast(event_id as string) || '","Iht":"' || event_type ||
-               '","Ikili":"E","Extra":1}}]</Result></Body></Envelope>' as body
+               '","Ikili":"E","Extra":1}}]</Result></Body></Envelope>' end as body
         from {events}""",
-    # The same, but error events arrive cut off after the first visit, and sign-ups with a stray word.
+    # The same, but error events arrive cut off after the first visit, and sign-ups with a stray word or a bare number.
     "payloads_raw": """
-        select event_id as payload_id,
+        select event_id as payload_id, case when event_type = 'view' and minute(ts) = 7 then cast(null as string)
+               when event_type = 'purchase' and minute(ts) = 11 then '<Envelope><Body><Result> </Result></Body></Envelope>'
+               when event_type = 'signup' and minute(ts) = 13 then '<Envelope>' || cast(user_id as string) || '</Envelope>' else
                '<Envelope><Body><Result>[{{"EventKod":"' || cast(event_id as string) || '","P_Z":"' || event_type ||
                '","DrSabit":' || cast(user_id as string) || '}},{{"EventKod":"x' || cast(event_id as string) ||
                case event_type when 'error' then '' when 'signup' then '"}}] stray' else '"}}]' end ||
-               '</Result></Body></Envelope>' as body
+               '</Result></Body></Envelope>' end as body
+        from {events}""",
+    # Undeclared fields of all kinds; an error has one element that is no object, a sign-up is an object by itself.
+    "payloads_typed": """
+        select event_id as payload_id, case when event_type = 'view' and minute(ts) = 7 then cast(null as string) else
+               case when event_type = 'signup' then '' when event_type = 'error' then '[17,' else '[' end ||
+               '{{"EventKod":"' || cast(event_id as string) || '","DrSabit":' || cast(user_id as string) || ',"Onay":' ||
+               case when event_type = 'view' then 'true' else 'null' end || ',"Tarih x":"' || cast(cast(ts as date) as string) ||
+               '","Ilac":["' || event_type || '",' || cast(hour(ts) as string) || '],"Yer":' || props || '}}' ||
+               case when event_type = 'signup' then '' else ']' end end as body
         from {events}""",
 }
 
