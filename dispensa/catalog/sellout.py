@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispensa.catalog import Query
 from dispensa.plans import sellout as so
+from dispensa.sources.snapshots import Snapshots
 from dispensa.sources.standins import standin, standin_sql
 from dispensa.sources.staging import Staging
 
@@ -42,11 +45,47 @@ def _union(spark: SparkSession, folder: str) -> DataFrame:
     return _numbers(drug.unionByName(other))
 
 
+def _store(spark: SparkSession) -> Snapshots:
+    return so.mart_store(spark, Staging(spark).root + "/mart")
+
+
+def _load(store: Snapshots, folder: str, facts: DataFrame, accounts: DataFrame) -> so.LoadReport:
+    dims = [standin(store.spark, folder, n) for n in ("price_list", "atc_names")]
+    return so.load_mart(store, facts, dims[0], accounts, dims[1])
+
+
 def _published(spark: SparkSession, folder: str) -> DataFrame:
     """The stored mart, as reports read it."""
-    path = Staging(spark).root + "/mart"
-    so.publish_mart(mart(spark, folder), path)
-    return so.read_mart(spark, path)
+    store = _store(spark)
+    _load(store, folder, standin(spark, folder, "month_src"), _accounts(spark, folder))
+    return store.read()
+
+
+def _versions(spark: SparkSession, folder: str) -> DataFrame:
+    """What the versions of a mart hold: a whole load, the returns of some months alone, and the first one again."""
+    store, accounts = _store(spark), _accounts(spark, folder)
+    facts = standin(spark, folder, "month_src")
+    first = _load(store, folder, facts, accounts).version
+    _load(store, folder, facts.where("source in ('R', 'RP') and period like '%6'"), accounts)
+    store.restore(first)
+    found = [
+        store.read(v).groupBy("DONEM", "PazarTipi").agg(
+            F.count("*").alias("n"), F.sum(F.col("KUTU").cast("bigint")).alias("boxes"), F.sum("TL").alias("value")
+        ).select(F.lit(v).alias("version"), "*")
+        for v in store.versions()
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _load_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The nulls that loads of delivered facts meet, source by source and as a whole, and the version that each makes."""
+    store, accounts = _store(spark), _accounts(spark, folder)
+    raw, rows = standin(spark, folder, "month_raw"), []
+    whole = standin(spark, folder, "month_src")
+    for name, facts in (("raw", raw), ("raw sales", raw.where("source = 'T'")), ("whole", whole)):
+        report = _load(store, folder, facts, accounts)
+        rows += [(name, c, report.rows, n, report.version) for c, n in report.nulls.items()]
+    return spark.createDataFrame(rows, "load string, column string, rows bigint, nulls bigint, version int")
 
 
 _MART_NULLABLE = ("AccountName", "Urun", "TL", "Kategori1", "Bolge", "OldCode")
@@ -56,7 +95,7 @@ def _violations(spark: SparkSession, folder: str) -> DataFrame:
     """Nulls in the 19 columns that must be filled, and in those of a delivery that lacks some values."""
     raw = standin(spark, folder, "month_raw")
     whole = so.not_null_violations(standin(spark, folder, "month_src"), so.FACT_COLUMNS)
-    delivered = so.not_null_violations(raw, raw.columns).select(*[F.col(c).alias(f"raw_{c}") for c in raw.columns])
+    delivered = so.not_null_violations(raw, so.FACT_COLUMNS).select(*[F.col(c).alias(f"raw_{c}") for c in so.FACT_COLUMNS])
     return whole.crossJoin(F.broadcast(delivered))  # one row each
 
 
@@ -80,7 +119,7 @@ _INPUTS = (
 )
 
 
-def _market_sql(sources: str, label: str, price: str, names: str) -> str:
+def _market_sql(sources: str, label: str, price: str, names: str, periods: str = "%") -> str:
     cats = names.split()
     shown = ", ".join(f"{c} as Kategori{i}" for i, c in enumerate(cats, 1))
     keys = ", ".join(c for c in cats if c != "''")
@@ -94,7 +133,7 @@ def _market_sql(sources: str, label: str, price: str, names: str) -> str:
         left join atc_names n on n.pfc = rtrim(s.pfc)
         left join shops_raw on imscode = universe_code left join brick_region on brick1 = brick
         left join region_name on brickcode = tcode
-        where source in ({sources})
+        where source in ({sources}) and s.period like '{periods}'
         group by s.period, s.whs, s.pfc, account_name, new_name, prod_flag, who_atc, bolge, universe_code, {keys}"""
 
 
@@ -103,6 +142,9 @@ def _oracle(final: str) -> str:
     ctes["drug"] = _market_sql("'T', 'R'", "ILAC", "list_price", "atc1 atc2 atc3 atc4")
     ctes["other"] = _market_sql("'P', 'RP'", "ILAC DISI", "isf", "nfc1 nfc2 nfc3 ''")
     ctes["mart"] = "select *, cast(null as varchar) as OldCode from (select * from drug union all select * from other)"
+    drug = _market_sql("'R'", "ILAC", "list_price", "atc1 atc2 atc3 atc4", "%6")
+    other = _market_sql("'RP'", "ILAC DISI", "isf", "nfc1 nfc2 nfc3 ''", "%6")
+    ctes["returned"] = f"select *, cast(null as varchar) as OldCode from (({drug}) union all ({other}))"
     ctes["ranked"] = """select UniverseCode, PazarTipi, coalesce(Urun, '') as URUN, coalesce(sum(TL), 0) as TL,
         coalesce(sum(KUTU), 0) as KUTU, DONEM as Donem, AccountName as Eczane,
         row_number() over (partition by UniverseCode, DONEM, PazarTipi
@@ -125,13 +167,23 @@ _UNION_SQL = f"""select period, {', '.join(f'{c}::double as {c}' if c in _DECIMA
     0::double as tpt_price,
     case when source in ('T', 'R') then 'ILAC' else 'ILAC DISI' end as market from month_src"""
 
-_RAW = ("sale_date", "whs", "pr_unit", "pr_bonus", "iskonto", "vat", "setflag", "invoice_number")
-
 
 def _null_counts(columns: tuple[str, ...], prefix: str = "") -> str:
     return ", ".join(f"count(*) - count({c}) as {prefix}{c}" for c in columns)
 
 
+def _held(mart: str, version: int) -> str:
+    return f"""select {version} as version, DONEM, PazarTipi, count(*) as n, sum(KUTU)::bigint as boxes, sum(TL)::bigint as value
+        from {mart} group by DONEM, PazarTipi"""
+
+
+def _checks(name: str, rows: str, version: str) -> str:
+    return " union all ".join(
+        f"select '{name}' as load, '{c}' as column, count(*) as rows, count(*) - count({c}) as nulls, {version} as version from {rows}"
+        for c in _FACT
+    )
+
+
 _RANKED = "cast(TL as bigint) as TL, cast(KUTU as bigint) as KUTU, Donem, Eczane, RowNo, URUN"
 
 QUERIES: dict[str, Query] = {
@@ -143,7 +195,26 @@ QUERIES: dict[str, Query] = {
         _violations,
         _oracle(
             f"select * from (select {_null_counts(_FACT)} from month_src), "
-            f"(select {_null_counts(_RAW, 'raw_')} from month_raw)"
+            f"(select {_null_counts(_FACT, 'raw_')} from month_raw)"
+        ),
+    ),
+    "load_checks": Query(
+        _load_checks,
+        _oracle(
+            " union all ".join(
+                (
+                    _checks("raw", "month_raw", "null::int"),
+                    _checks("raw sales", "(select * from month_raw where source = 'T')", "null::int"),
+                    _checks("whole", "month_src", "1"),
+                )
+            )
+        ),
+    ),
+    "mart_version": Query(
+        _versions,
+        _oracle(
+            f"""select * from ({_held('mart', 1)} union all {_held('mart', 3)} union all
+                {_held("(select * from mart where DONEM not in (select DONEM from returned) union all select * from returned)", 2)})"""
         ),
     ),
     "mart_nulls": Query(_mart_nulls, _oracle(f"select {_null_counts(_MART_NULLABLE)} from mart")),

@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dispensa.functions.compat import round_to_int, same_text, trimmed
+from dispensa.sources.snapshots import Snapshots
 from dispensa.sources.tables import partition_scan
 
 # Columns that the monthly tables must have, all of them filled.
@@ -55,6 +56,16 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns(checked)
 
 
+def require_filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` unchanged; the job fails at the first row with a null in one of the columns, read later on or not.
+
+    As a filter it stays in the plan also where a column is not used any more.
+    """
+    empty = [F.when(F.col(c).isNull(), F.lit(c)) for c in columns]
+    failure = F.raise_error(F.concat(F.lit("null in "), F.concat_ws(", ", *empty))).cast("boolean")
+    return df.where(F.when(F.coalesce(*empty).isNotNull(), failure).otherwise(True))
+
+
 def union_sources(facts: DataFrame, market: Market, period: str | None = None) -> DataFrame:
     """All rows of the market's sources, with a constant report price."""
     rows = facts.where(F.col("source").isin(*market.sources))
@@ -92,6 +103,7 @@ def market_sellout(
     accounts: DataFrame,
     atc_names: DataFrame,
     period: str | None = None,
+    checked: bool = True,
 ) -> DataFrame:
     """Boxes and value per period, shop and product of the markets, in one pass over the facts.
 
@@ -99,8 +111,8 @@ def market_sellout(
     the value is the same. The dimensions are left-joined to the sums, and the last aggregation
     groups by a superset of those keys. The product flag of the price list is part of the grouping
     but not of the output, so visible keys can repeat. Units are whole numbers and add up as such.
-    Keys may be blank-padded on either side. A null in a fact column that is read here fails the job,
-    as every column of the monthly tables must be filled.
+    Keys may be blank-padded on either side. A null in any of the columns that the monthly tables must have filled
+    fails the job, whether it is used here or not; unless not ``checked``, for facts that are watched otherwise.
     """
     if period is not None:
         facts = partition_scan(facts, period)
@@ -108,7 +120,9 @@ def market_sellout(
         f"when source in ({', '.join(repr(s) for s in m.sources)}) then '{m.label}'" for m in markets
     )
     facts = facts.where(F.col("source").isin(*[s for m in markets for s in m.sources]))
-    facts = trimmed(require_not_null(facts, ["whs", "pfc", "pr_unit", "pr_bonus"]), "whs", "pfc")
+    if checked:
+        facts = require_filled(facts, [c for c in FACT_COLUMNS if c in facts.columns])
+    facts = trimmed(facts, "whs", "pfc")
     prices, atc_names = trimmed(prices, "prd_cd"), trimmed(atc_names, "pfc")
     sold = (
         facts.withColumn("market", F.expr(f"case {cases} end"))
@@ -158,13 +172,67 @@ def in_mart_columns(rows: DataFrame) -> DataFrame:
 
 
 def sellout_mart(
-    facts: DataFrame, prices: DataFrame, accounts: DataFrame, atc_names: DataFrame, period: str | None = None
+    facts: DataFrame,
+    prices: DataFrame,
+    accounts: DataFrame,
+    atc_names: DataFrame,
+    period: str | None = None,
+    checked: bool = True,
 ) -> DataFrame:
     """Both markets in the mart's declared columns; a column that no job fills is null."""
-    rows = market_sellout(facts, (DRUG, NON_DRUG), prices, accounts, atc_names, period)
+    rows = market_sellout(facts, (DRUG, NON_DRUG), prices, accounts, atc_names, period, checked)
     return in_mart_columns(rows)
 
 
+def mart_store(spark: SparkSession, root: str) -> Snapshots:
+    """The mart in versions, by period."""
+    return Snapshots(spark, root, MART_SCHEMA, "DONEM")
+
+
+@dataclass(frozen=True)
+class LoadReport:
+    """Rows and nulls that the load of a mart met, and the version that it became, if it did."""
+
+    rows: int
+    nulls: dict[str, int]
+    version: int | None
+
+
+def load_mart(
+    store: Snapshots,
+    facts: DataFrame,
+    prices: DataFrame,
+    accounts: DataFrame,
+    atc_names: DataFrame,
+    period: str | None = None,
+) -> LoadReport:
+    """Build the mart of the facts' periods, or of one, and publish it if all columns of the facts are filled.
+
+    Rows and nulls of the 19 columns are counted in the pass that writes; the facts are read once. What was written
+    becomes a version only if no count but that of the rows is above zero; otherwise it is deleted and the mart stays as
+    it was. A period that is given and has no facts is emptied.
+    """
+    missing = [c for c in FACT_COLUMNS if c not in facts.columns]
+    if missing:
+        raise ValueError(f"facts lack the columns {', '.join(missing)}")
+    facts = facts.where(F.col("source").isin(*DRUG.sources, *NON_DRUG.sources))
+    if period is not None:
+        facts = partition_scan(facts, period)
+    seen = Observation()
+    watched = facts.observe(
+        seen, F.count("*").alias("rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in FACT_COLUMNS]
+    )
+    load = store.write(sellout_mart(watched, prices, accounts, atc_names, checked=False))
+    # The planner drops the counts together with facts that turn out empty; then nothing is written either.
+    counts = seen.get if load.folders else {}
+    nulls = {c: counts.get(c, 0) for c in FACT_COLUMNS}
+    rows = counts.get("rows", 0)
+    if any(nulls.values()):
+        store.discard(load)
+        return LoadReport(rows, nulls, None)
+    return LoadReport(rows, nulls, store.commit(load, [] if period is None else [period]))
+
+
 def publish_mart(mart: DataFrame, path: str) -> None:
     """Replace the periods that ``mart`` holds and leave the others as they are.
 

@@ -24,6 +24,24 @@ _PACK = (
     "when 'MEDIUM' then 3 when 'PROMO' then 4 when 'SMALL' then 5 else 6 end)"
 )
 
+# Monthly facts of the four sources, with blank-padded keys.
+_MONTH = """
+        select case l_returnflag || l_linestatus when 'AO' then 'T' when 'AF' then 'R' when 'NO' then 'P'
+                    when 'NF' then 'RP' when 'RO' then 'T' else 'P' end as source,
+               substring(cast(year(l_shipdate) * 100 + month(l_shipdate) as string), 3, 4) as period,
+               'TR01' as production, cast(l_shipdate as date) as sale_date,
+               rpad(lpad(cast(l_suppkey as string), 7, '0'), 10, ' ') as whs,
+               rpad(lpad(cast(l_partkey as string), 7, '0'), 9, ' ') as pfc,
+               lpad(cast(l_orderkey as string), 7, '0') as u_code,
+               cast(l_quantity as decimal(10,0)) as pr_unit, cast(l_linenumber % 3 as decimal(10,0)) as pr_bonus,
+               cast(l_extendedprice as decimal(10,2)) as pr_price, cast(l_extendedprice as decimal(10,2)) as ndf_price,
+               l_linenumber as setflag, cast(l_extendedprice as decimal(10,2)) as pub_price,
+               cast(l_extendedprice as decimal(10,2)) as trd_price, cast(l_discount as decimal(7,2)) as iskonto,
+               cast(l_shipdate as date) as invoice_date, cast(l_orderkey as string) as invoice_number,
+               cast(l_tax as decimal(7,2)) as vat, cast(1 as int) as is_prescription,
+               l_quantity as prj_unit, l_extendedprice as prj_value
+        from {lineitem}"""
+
 STANDINS: dict[str, str] = {
     "sellin": f"""
         select cast(year(o_orderdate) * 100 + month(o_orderdate) as string) as period,
@@ -69,30 +87,14 @@ STANDINS: dict[str, str] = {
     "oper": """
         select distinct cast(year(o_orderdate) * 100 + month(o_orderdate) as int) as pd_id
         from {orders} where year(o_orderdate) = (select max(year(o_orderdate)) from {orders})""",
-    "month_src": """
-        select case l_returnflag || l_linestatus when 'AO' then 'T' when 'AF' then 'R' when 'NO' then 'P'
-                    when 'NF' then 'RP' when 'RO' then 'T' else 'P' end as source,
-               substring(cast(year(l_shipdate) * 100 + month(l_shipdate) as string), 3, 4) as period,
-               'TR01' as production, cast(l_shipdate as date) as sale_date,
-               rpad(lpad(cast(l_suppkey as string), 7, '0'), 10, ' ') as whs,
-               rpad(lpad(cast(l_partkey as string), 7, '0'), 9, ' ') as pfc,
-               lpad(cast(l_orderkey as string), 7, '0') as u_code,
-               cast(l_quantity as decimal(10,0)) as pr_unit, cast(l_linenumber % 3 as decimal(10,0)) as pr_bonus,
-               cast(l_extendedprice as decimal(10,2)) as pr_price, cast(l_extendedprice as decimal(10,2)) as ndf_price,
-               l_linenumber as setflag, cast(l_extendedprice as decimal(10,2)) as pub_price,
-               cast(l_extendedprice as decimal(10,2)) as trd_price, cast(l_discount as decimal(7,2)) as iskonto,
-               cast(l_shipdate as date) as invoice_date, cast(l_orderkey as string) as invoice_number,
-               cast(l_tax as decimal(7,2)) as vat, cast(1 as int) as is_prescription,
-               l_quantity as prj_unit, l_extendedprice as prj_value
-        from {lineitem}""",
-    # As delivered, before anything is checked: a bonus or discount of nothing, and some flags, are missing.
-    "month_raw": """
-        select cast(l_shipdate as date) as sale_date, lpad(cast(l_suppkey as string), 7, '0') as whs,
-               cast(l_quantity as decimal(10,0)) as pr_unit, cast(nullif(l_linenumber % 3, 0) as decimal(10,0)) as pr_bonus,
-               cast(nullif(l_discount, 0) as decimal(7,2)) as iskonto, cast(nullif(l_tax, 0) as decimal(7,2)) as vat,
-               case when l_returnflag <> 'R' then l_linenumber end as setflag,
-               case when l_linestatus = 'O' then cast(l_orderkey as string) end as invoice_number
-        from {lineitem}""",
+    "month_src": _MONTH,
+    # As delivered, before anything is checked: a bonus, discount or tax of nothing, some flags and numbers are missing.
+    "month_raw": f"""
+        select source, period, production, sale_date, whs, pfc, u_code, pr_unit, nullif(pr_bonus, 0) as pr_bonus, pr_price,
+               ndf_price, case when source <> 'R' then setflag end as setflag, pub_price, trd_price,
+               nullif(iskonto, 0) as iskonto, invoice_date, case when source <> 'RP' then invoice_number end as invoice_number,
+               nullif(vat, 0) as vat, is_prescription, prj_unit, nullif(prj_value, 0) as prj_value
+        from ({_MONTH})""",
     "price_list": """
         select substring(cast(y * 100 + m as string), 3, 4) as period, lpad(cast(p_partkey as string), 7, '0') as prd_cd,
                p_name as new_name, substring(p_brand, 7, 2) as prod_flag, p_type as who_atc,

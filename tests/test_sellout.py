@@ -194,3 +194,136 @@ def test_regions_of_padded_accounts(spark):
     bricks = spark.createDataFrame([(10, 1)], "brick1 int, tcode int")
     names = spark.createDataFrame([(1, "EGE")], "brickcode int, bolge string")
     assert tuple(so.account_regions(accounts, shops, bricks, names).first()) == ("s1", "Shop", "u1", "EGE")
+
+
+def whole_facts(spark, rows):
+    """All 19 columns filled; ``rows`` give source, period, shop, product, units and bonus, and columns to overwrite."""
+    kinds = {
+        "production": "string", "sale_date": "date", "u_code": "string", "pr_price": "decimal(10,2)", "ndf_price": "decimal(10,2)",
+        "setflag": "int", "pub_price": "decimal(10,2)", "trd_price": "decimal(10,2)", "iskonto": "decimal(7,2)",
+        "invoice_date": "date", "invoice_number": "string", "vat": "decimal(7,2)", "is_prescription": "int",
+        "prj_unit": "double", "prj_value": "double",
+    }
+    fill = {"string": "x", "date": dt.date(2021, 1, 1), "int": 1, "double": 1.0}
+    schema = FACTS + "".join(f", {c} {t}" for c, t in kinds.items())
+    names = [c.split()[0] for c in FACTS.split(", ")] + list(kinds)
+    full = []
+    for *given, odd in rows:
+        values = [*given[:4], D(given[4]), D(given[5]), *[fill.get(t, D(1)) for t in kinds.values()]]
+        full.append(tuple((dict(zip(names, values)) | odd).values()))
+    return spark.createDataFrame(full, schema)
+
+
+def held(mart):
+    return sorted((r["DONEM"], r["EczaneKod"], r["KUTU"]) for r in mart.collect())
+
+
+def test_load_replaces_its_periods_and_keeps_older_versions(spark, dims, tmp_path):
+    store = so.mart_store(spark, str(tmp_path / "mart"))
+    assert store.current() == 0 and store.read().collect() == [] and store.read().dtypes == so.in_mart_columns(store.read()).dtypes
+    first = whole_facts(spark, [("T", "2101", "s1", "p1", 1, 0, {}), ("T", "2102", "s1", "p1", 1, 0, {})])
+    report = so.load_mart(store, first, **dims)
+    assert (report.rows, report.version, set(report.nulls.values())) == (2, 1, {0})
+    assert so.load_mart(store, whole_facts(spark, [("T", "2102", "s2", "p1", 7, 0, {})]), **dims).version == 2
+    assert held(store.read()) == [("2101", "s1", 1), ("2102", "s2", 7)]
+    assert held(store.read(1)) == [("2101", "s1", 1), ("2102", "s1", 1)]
+    assert store.restore(1) == 3 and held(store.read()) == held(store.read(1))
+    # A period that is loaded and has no facts is emptied; a version that is not there can't be gone back to.
+    assert so.load_mart(store, first, **dims, period="2103").version == 4 and held(store.read()) == held(store.read(1))
+    assert so.load_mart(store, first.where("period = '2101'"), **dims, period="2102").version == 5
+    assert held(store.read()) == [("2101", "s1", 1)]
+    with pytest.raises(ValueError, match="no version 9"):
+        store.restore(9)
+
+
+def test_a_null_in_any_column_leaves_the_mart_as_it_was(spark, dims, tmp_path):
+    store = so.mart_store(spark, str(tmp_path / "mart"))
+    so.load_mart(store, whole_facts(spark, [("T", "2101", "s1", "p1", 1, 0, {})]), **dims)
+    loads = store._names("data")
+    for column in so.FACT_COLUMNS:
+        broken = whole_facts(spark, [("T", "2101", "s1", "p1", 5, 0, {}), ("P", "2101", "s1", "p1", 5, 0, {column: None})])
+        report = so.load_mart(store, broken, **dims)
+        assert report.version is None and report.rows == 2
+        assert {c: n for c, n in report.nulls.items() if n} == {column: 1}
+        # Without a store, the job itself fails, whether it uses the column or not.
+        with pytest.raises(Exception, match=f"null in {column}"):
+            so.market_sellout(broken, [so.NON_DRUG], **dims).collect()
+    assert store.versions() == [1] and store._names("data") == loads and held(store.read()) == [("2101", "s1", 1)]
+    odd = [("X", "2101", "s1", "p1", 5, 0, {"vat": None}), ("T", "2101", "s1", "p1", 2, 0, {})]
+    assert so.load_mart(store, whole_facts(spark, odd), **dims).version == 2  # not one of the markets' sources
+
+
+def test_facts_without_a_column_are_not_loaded(spark, dims, tmp_path):
+    store = so.mart_store(spark, str(tmp_path / "mart"))
+    with pytest.raises(ValueError, match="lack the columns vat"):
+        so.load_mart(store, whole_facts(spark, [("T", "2101", "s1", "p1", 1, 0, {})]).drop("vat"), **dims)
+    assert store.versions() == []
+
+
+def test_the_load_counts_in_the_pass_that_writes(spark, dims, tmp_path, monkeypatch):
+    """One scan of the facts: the plan that is written holds the counts, and no other job reads them."""
+    whole_facts(spark, [("T", "2101", "s1", "p1", 1, 0, {})] * 50).write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    store = so.mart_store(spark, str(tmp_path / "mart"))
+    plans = []
+    write = store.write
+
+    def noted(rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return write(rows)
+
+    monkeypatch.setattr(store, "write", noted)
+    assert so.load_mart(store, facts, **dims).rows == 50
+    assert len(plans) == 1 and plans[0].count("CollectMetrics") == 1
+    assert plans[0].count("Relation [source#") == 1
+
+
+def test_a_publish_that_is_killed_half_way_is_not_seen(spark, dims, tmp_path, monkeypatch):
+    store = so.mart_store(spark, str(tmp_path / "mart"))
+    first = whole_facts(spark, [("T", "2101", "s1", "p1", 1, 0, {}), ("T", "2102", "s1", "p1", 1, 0, {})])
+    so.load_mart(store, first, **dims)
+    reader = store.read()
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    # Killed between the writing of the data and the switch; and after some of the data only.
+    with monkeypatch.context() as m:
+        m.setattr(store, "_switch", killed)
+        with pytest.raises(KeyboardInterrupt):
+            so.load_mart(store, whole_facts(spark, [("T", "2102", "s2", "p1", 7, 0, {})]), **dims)
+    bad = so.sellout_mart(first, **dims).withColumn("KUTU", F.when(F.col("DONEM") == "2102", F.raise_error(F.lit("killed"))).otherwise(F.col("KUTU")))
+    with pytest.raises(Exception, match="killed"):
+        store.publish(bad)
+    assert store.versions() == [1] and held(reader) == held(store.read()) == [("2101", "s1", 1), ("2102", "s1", 1)]
+    # The next load goes on from there, and what nobody names is deleted.
+    assert so.load_mart(store, whole_facts(spark, [("T", "2102", "s2", "p1", 7, 0, {})]), **dims).version == 2
+    store.vacuum(keep=1)
+    assert store.versions() == [2] and held(store.read()) == [("2101", "s1", 1), ("2102", "s2", 7)]
+    named = {f"load={load}" for load in store.partitions().values()}
+    assert set(store._names("data")) == named
+
+
+def test_two_loads_at_once_take_turns(spark, dims, tmp_path, monkeypatch):
+    store, other = (so.mart_store(spark, str(tmp_path / "mart")) for _ in range(2))
+    so.load_mart(store, whole_facts(spark, [("T", "2101", "s1", "p1", 1, 0, {})]), **dims)
+    late = store.write(so.sellout_mart(whole_facts(spark, [("T", "2102", "s1", "p1", 2, 0, {})]), **dims))
+    current, calls = store.current, []
+
+    def slow():
+        found = current()
+        if not calls:  # the other load finishes between this one's look at the number and its switch
+            calls.append(so.load_mart(other, whole_facts(spark, [("T", "2103", "s1", "p1", 3, 0, {})]), **dims).version)
+        return found
+
+    monkeypatch.setattr(store, "current", slow)
+    assert store.commit(late) == 3 and calls == [2]
+    assert held(store.read()) == [("2101", "s1", 1), ("2102", "s1", 2), ("2103", "s1", 3)]
+
+
+def test_versions_prune_by_period(spark, dims, tmp_path):
+    store = so.mart_store(spark, str(tmp_path / "mart"))
+    so.load_mart(store, whole_facts(spark, [("T", p, "s1", "p1", 1, 0, {}) for p in ("2101", "2102", "2103")]), **dims)
+    plan = store.read().where("DONEM = '2102'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(DONEM" in plan
+    assert len(store.read().where("DONEM = '2102'").inputFiles()) >= 1
