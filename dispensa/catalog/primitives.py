@@ -11,6 +11,7 @@ from dispensa.catalog import Query
 from dispensa.functions import compat as c
 from dispensa.functions import dates as dt
 from dispensa.operators import ordered
+from dispensa.operators.trailing import trailing_sums
 from dispensa.plans.feed import append_by_position
 from dispensa.sources.staging import Staging
 from dispensa.sources.standins import standin, standin_sql
@@ -287,11 +288,8 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     days = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count("*").alias("orders"))
-    spread = days.select(
-        F.explode(F.sequence(F.date_add("day", 1), F.date_add("day", 7))).alias("day"), F.col("orders").alias("earlier")
-    )
-    before = spread.groupBy("day").agg(F.sum("earlier").alias("week_before"))
-    return days.join(before, "day")
+    days = days.withColumn("number", F.unix_date("day"))
+    return trailing_sums(days, [], "number", "orders", 7, "week_before", t.staging()).where("week_before is not null").drop("number")
 
 
 @query(
@@ -456,8 +454,21 @@ def _(t: Tables) -> DataFrame:
     sold = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey"))
     index = F.year("l_shipdate") * 12 + F.month("l_shipdate")
     months = sold.groupBy("p_brand", index.alias("mi")).agg(F.sum("l_quantity").cast("bigint").alias("units"))
-    before = Window.partitionBy("p_brand").orderBy("mi").rangeBetween(-9, -1)  # one row per month
-    return months.withColumn("nine_before", F.sum("units").over(before))
+    return trailing_sums(months, ["p_brand"], "mi", "units", 9, "nine_before", t.staging())
+
+
+@query(
+    "win_trailing_years",
+    """with m as (select l_suppkey, cast(year(l_shipdate) * 12 + month(l_shipdate) as int) as mi,
+                  cast(sum(l_quantity) as bigint) as units
+                  from lineitem group by all)
+       select a.l_suppkey, a.mi, a.units, cast(sum(b.units) as bigint) as two_years_before from m a
+       left join m b on a.l_suppkey = b.l_suppkey and b.mi between a.mi - 24 and a.mi - 1 group by all""",
+)
+def _(t: Tables) -> DataFrame:
+    index = F.year("l_shipdate") * 12 + F.month("l_shipdate")
+    months = t.lineitem.groupBy("l_suppkey", index.alias("mi")).agg(F.sum("l_quantity").cast("bigint").alias("units"))
+    return trailing_sums(months, ["l_suppkey"], "mi", "units", 24, "two_years_before", t.staging())
 
 
 @query("top_n", "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 50")

@@ -271,7 +271,24 @@ for _lv in ALL_LEVELS:
         f"select PdID, Region, TSC, Chain, {_lv}, u as PanelWx{_lv}Units from pm_{_lv}",
     )
 
+
+
+def _universe_long(spark: SparkSession, folder: str) -> DataFrame:
+    """The universe over windows of 24 months."""
+    job = run(spark, folder)
+    window = pj.window_periods(pj.distinct_periods(job.inputs.sellin), job.inputs.oper, spark.sql("select 24 as MthsAvg"))
+    monthly = pj.monthly_sellin(job.inputs.sellin, window.select("PdID").distinct())
+    return pj.universe(monthly, job.staging.keep(window, "window"), job.shops(), job.packs())
+
+
+_LONG_SQL = """select pd_id as PdID, ShopID, PackID, cast(sum(total_unit) as bigint) as Units
+    from oper join sellin on cast(left(period, 4) as int) * 12 + cast(right(period, 2) as int)
+        between (pd_id // 100) * 12 + pd_id % 100 - 24 and (pd_id // 100) * 12 + pd_id % 100 - 1
+    join shops on lpad(ShopID::varchar, 7, '0') = customer_code join packs on lpad(PackID::varchar, 7, '0') = pfc
+    where pd_id::varchar in (select period from sellin) group by all"""
+
 QUERIES: dict[str, Query] = {
+    "universe_24": Query(_universe_long, oracle(_LONG_SQL)),
     "period_index": Query(_period_index, oracle("select * from numbered")),
     "period_window": Query(_period_window, oracle("select * from pd")),
     **{

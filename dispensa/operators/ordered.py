@@ -10,7 +10,7 @@ The order must be unique within its group, which also makes the ranges even.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +47,25 @@ def _join_ranges(placed: DataFrame, side: DataFrame, group: Sequence[str], stagi
     return placed.join(renamed, F.expr(on)).drop(*[f"_o{k}" for k in keys])
 
 
+def running_sums(
+    df: DataFrame, values: Mapping[str, str], order: Sequence[Column], staging: Staging, group: Sequence[str] = ()
+) -> DataFrame:
+    """Add for each (value, into) the sum of ``value`` over the rows of the group up to and including this one."""
+    placed = place(df, group, order, staging, f"placed_{'_'.join(values.values())}")
+    sizes = placed.groupBy(*group, RANGE).agg(*[F.sum(v).alias(f"_size_{i}") for i, v in enumerate(values)])
+    earlier = Window.partitionBy(*group).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *group, RANGE, *[F.sum(f"_size_{i}").over(earlier).alias(f"_before_{i}") for i in range(len(values))]
+    )
+    rows = _join_ranges(placed, offsets, group, staging)
+    upto = Window.partitionBy(*group, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = {
+        into: F.coalesce(f"_before_{i}", F.lit(0)) + F.coalesce(F.sum(value).over(upto), F.lit(0))
+        for i, (value, into) in enumerate(values.items())
+    }
+    return rows.withColumns(sums).drop(RANGE, *[f"_before_{i}" for i in range(len(values))])
+
+
 def running_sum(
     df: DataFrame,
     value: str,

@@ -26,6 +26,7 @@ from dispensa.functions.compat import int_div, zero_pad
 from dispensa.operators import levels as lv
 from dispensa.operators.levels import LEVELS, STRATUM
 from dispensa.operators.ordered import integer_median, running_sum
+from dispensa.operators.trailing import events, sums_at
 from dispensa.sources.staging import Staging
 
 TRIPLE = ("PdID", "ShopID", "PackID")
@@ -270,19 +271,33 @@ def _pack_keys(packs: DataFrame) -> DataFrame:
     return packs.select(zero_pad(F.col("PackID"), 7).alias("_pack_code"), "PackID")
 
 
-def universe(monthly: DataFrame, window: DataFrame, shops: DataFrame, packs: DataFrame) -> DataFrame:
-    """Sell-in units per operated period, shop and pack, over the months before the period.
+def universe_events(monthly: DataFrame, window: DataFrame, shops: DataFrame, packs: DataFrame) -> DataFrame:
+    """Where the monthly units of a shop and pack come into the windows of the operated periods, and where they go.
 
-    The window has a row per operated period and month, so it is broadcast: periods are too few
-    to shuffle by. It comes last, as each row then stands once for every period it counts in.
+    A month counts in the windows of neighbouring operated periods, so it has two events at most, whatever the number of
+    months; what goes behind the last operated period has none. Few periods make a short list, which is broadcast.
     """
-    periods = F.broadcast(window.select(F.col("PdID").alias("period"), "ProcPdID"))
-    return (
+    last = F.broadcast(window.agg(F.max("ProcPdID").alias("_last")))
+    spans = window.groupBy(F.col("PdID").alias("period")).agg(
+        F.min("ProcPdID").alias("_comes"), (F.max("ProcPdID") + 1).alias("_goes")
+    )
+    rows = (
         monthly.join(_shop_keys(shops), F.col("_shop_code") == F.col("customer_code"))
         .join(_pack_keys(packs), F.col("_pack_code") == F.col("pfc"))
-        .join(periods, "period")
-        .groupBy(F.col("ProcPdID").alias("PdID"), "ShopID", "PackID")
-        .agg(F.sum("total_unit").alias("Units"))
+        .join(F.broadcast(spans.crossJoin(last)), "period")
+    )
+    return events(rows, ["ShopID", "PackID"], "total_unit", F.col("_comes"), F.col("_goes"), F.col("_last"))
+
+
+def universe(monthly: DataFrame, window: DataFrame, shops: DataFrame, packs: DataFrame) -> DataFrame:
+    """Sell-in units per operated period, shop and pack, over the months before the period, by difference events.
+
+    An event list of a shop and pack has at most two entries for each operated period. Rows appear per period only at
+    the end, where they are the result.
+    """
+    changes = universe_events(monthly, window, shops, packs)
+    return sums_at(changes, ["ShopID", "PackID"], window, "ProcPdID", "Units").select(
+        F.col("ProcPdID").alias("PdID"), "ShopID", "PackID", "Units"
     )
 
 
@@ -358,8 +373,7 @@ def panel_and_universe(unvrs: DataFrame, panel_rows: DataFrame, shops: DataFrame
     """Every triple of either side once, with its stratum and three flags.
 
     ``inUniverse`` and ``inPanel`` tell which side knows the triple; ``onPanel`` tells whether the
-    shop is on the panel in that period at all. The universe comes out of its aggregation
-    partitioned by the triple, so the full join only moves the panel.
+    shop is on the panel in that period at all.
     """
     both = (
         unvrs.withColumn("inUniverse", F.lit(1))

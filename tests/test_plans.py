@@ -12,7 +12,7 @@ from dispensa.plans import projection as pj
 from dispensa.sources.tables import partition_scan
 
 # Windows without a partition that see a proven small number of rows: ranges, or the best n.
-SMALL_WINDOWS = {"top_products": "TakeOrderedAndProject", "join_theta_self": ordered.RANGE, "win_global_rank": ordered.RANGE}
+SMALL_WINDOWS = {"top_products": "TakeOrderedAndProject", "join_theta_self": ordered.RANGE, "win_global_rank": ordered.RANGE, "join_band": ordered.RANGE}
 
 
 def text_of(df) -> str:
@@ -127,22 +127,39 @@ def test_operated_periods_prune_the_sellout(spark, tmp_path):
     assert [(r["Units"], r["ProjUnits"]) for r in units.collect()] == [(3, 6.0)]
 
 
-def test_windows_fan_out_after_the_other_joins(spark):
-    monthly = spark.createDataFrame([("201701", "0000001", "0000002", 5)], "period string, customer_code string, pfc string, total_unit int")
-    window = spark.createDataFrame([("201701", 201702), ("201701", 201703)], "PdID string, ProcPdID int")
-    shops, packs = spark.createDataFrame([(1,)], "ShopID int"), spark.createDataFrame([(2,)], "PackID int")
+@pytest.mark.parametrize("months", [9, 24])
+def test_a_month_has_two_events_at_most_and_periods_come_last(spark, months):
+    index = lambda p: p // 100 * 12 + p % 100 - 1
+    every = [y * 100 + m for y in (2015, 2016, 2017) for m in range(1, 13)]
+    operated = every[-8:]
+    sold = [(str(p), f"{s:07d}", "0000002", p % 7 - 3) for p in every for s in (1, 3) if p % 5 or s == 1]
+    monthly = spark.createDataFrame(sold, "period string, customer_code string, pfc string, total_unit int")
+    pairs = [(str(p), q) for q in operated for p in every if 1 <= index(q) - index(p) <= months]
+    window = spark.createDataFrame(pairs, "PdID string, ProcPdID int")
+    shops, packs = spark.createDataFrame([(1,), (3,)], "ShopID int"), spark.createDataFrame([(2,)], "PackID int")
+    want = {}
+    for p, q in pairs:
+        for period, shop, _, units in sold:
+            if period == p:
+                want[q, int(shop), 2] = want.get((q, int(shop), 2), 0) + units
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         for threshold in (before, "-1"):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
             got = pj.universe(monthly, window, shops, packs)
-            assert sorted(map(tuple, got.collect())) == [(201702, 1, 2, 5), (201703, 1, 2, 5)]
-            final = text_of(got).split("Initial Plan")[0]
-            joins = [line for line in final.splitlines() if "Join [" in line]
-            # The plan is printed from the end: the first join is the last to run.
-            assert "period" in joins[0] and not any("period" in line for line in joins[1:])
+            assert {(r[0], r[1], r[2]): r[3] for r in got.collect()} == want and 0 in want.values()
+            plan = text_of(got).split("Initial Plan")[0]
+            # The plan is printed from the end: periods come last, after the window over the events.
+            assert plan.index("explode(filter(_points") < plan.index("Window [")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    used = len({(p, s) for p, s, _, _ in sold for q, _ in [(x, 0) for x, _ in pairs] if p == q})
+    n = pj.universe_events(monthly, window, shops, packs).agg({"rows": "count"}).first()[0]
+    joined = sum(1 for p, _ in pairs for s in sold if s[0] == p)
+    assert n <= 2 * used and (months == 9 or joined > 6 * used)
+    # One operated period: a month comes in with all others of its window, and never goes.
+    one = window.where("ProcPdID = 201712")
+    assert pj.universe_events(monthly, one, shops, packs).count() == 2
 
 
 def test_calendar_queries_scan_the_fact_once(spark, folder):
