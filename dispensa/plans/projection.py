@@ -15,11 +15,11 @@ The facts are read once and summed (sell-in) or made distinct (sell-out) before
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dispensa.functions.compat import int_div, zero_pad
@@ -27,11 +27,12 @@ from dispensa.operators import levels as lv
 from dispensa.operators.levels import LEVELS, STRATUM
 from dispensa.operators.ordered import integer_median, running_sum
 from dispensa.operators.trailing import events, sums_at
-from dispensa.sources.staging import Staging
+from dispensa.sources.staging import Staging, subset_keys
 
 TRIPLE = ("PdID", "ShopID", "PackID")
 ATTRIBUTES = ("Brand", "ATC1", "ATC2", "ATC3", "ATC4", "Basket", "Rx", "Class")
 UNITS = ("UnvrsUnits", "PanelUnits")
+CELL = (*STRATUM, "PackID")
 
 # Regions that are reported as one.
 FOLDED_REGIONS = {
@@ -440,18 +441,24 @@ def orphan_levels(orphans: DataFrame, lookup: DataFrame) -> DataFrame:
     return out
 
 
-def factor_regular(panel_attached: DataFrame, universe_attached: DataFrame) -> DataFrame:
+def with_class_means(attached: DataFrame) -> DataFrame:
+    """Add ClassMeans, the distinct universe means that the rows of the same stratum and class have, null among them.
+
+    A class has as many as it has brands at most. A row without a class finds none.
+    """
+    same_class = Window.partitionBy(*STRATUM, "Class")
+    means = F.collect_set(F.struct("UnvrsWxClassUnits")).over(same_class)
+    return attached.withColumn("ClassMeans", F.when(F.col("Class").isNotNull(), means))
+
+
+def factor_regular(panel_attached: DataFrame) -> DataFrame:
     """Factors of panel triples that the universe knows: universe mean over panel mean of the class.
 
-    ``panel_attached`` has a row per triple with PanelWxClassUnits, ``universe_attached`` rows per
-    (stratum, pack) with UnvrsWxClassUnits.
+    ``panel_attached`` has a row per triple with PanelWxClassUnits and ClassMeans, so that no join is left to do.
     """
-    keys = [*STRATUM, "Class"]
-    universe_means = universe_attached.select(*keys, "UnvrsWxClassUnits").distinct()
     factor = "case when PanelWxClassUnits > 0 then cast(UnvrsWxClassUnits as double) / PanelWxClassUnits end as PF"
     return (
-        panel_attached.select(*TRIPLE, "Region", "TSC", "Chain", "Class", "PanelWxClassUnits")
-        .join(universe_means, keys)
+        panel_attached.select(*TRIPLE, "Region", "TSC", "Chain", "Class", "PanelWxClassUnits", F.inline("ClassMeans"))
         .selectExpr(*TRIPLE, factor, "Region", "TSC", "Chain", "Class", "0 as Orphan")
         .distinct()
     )
@@ -538,6 +545,12 @@ class Projection:
             self._made[name] = self.staging.keep(make(), name) if keep else make()
         return self._made[name]
 
+    def _dealt(self, name: str, make: Callable[[], DataFrame], keys: Sequence[str]) -> DataFrame:
+        """Like ``_once``, dealt by keys that later joins and groupings have."""
+        if name not in self._made:
+            self._made[name] = self.staging.keep_bucketed(make(), name, keys)
+        return self._made[name]
+
     def monthly(self) -> DataFrame:
         i = self.inputs
         return self._once("monthly", lambda: monthly_sellin(i.sellin, needed_periods(i.oper, i.months)))
@@ -608,37 +621,45 @@ class Projection:
             reporting = self.panel()
             return panel_and_universe(self.universe(), reporting, self.shops())
 
-        return self._once("pairs", make)
+        return self._dealt("pairs", make, CELL)
 
     def cells(self) -> DataFrame:
-        return self._once("cells", lambda: level_cells(self.pairs(), self.packs()))
+        return self._dealt("cells", lambda: level_cells(self.pairs(), self.packs()), STRATUM)
 
     def means(self) -> DataFrame:
         """All level means, of the universe and of the panel shops."""
-        return self._once("means", lambda: lv.level_means(self.cells(), self.inputs.months, UNITS))
+        return self._dealt("means", lambda: lv.level_means(self.cells(), self.inputs.months, UNITS), STRATUM)
 
-    def attached(self) -> DataFrame:
-        """(stratum, pack) with the eight universe means and the eight panel means."""
+    def attach(self) -> DataFrame:
+        """(stratum, pack) with the eight universe means, the eight panel means and the means of its class, not stored."""
         prefixes = dict(zip(("Unvrs", "Panel"), UNITS, strict=True))
         rows = self.cells().drop(*UNITS)
-        return self._once(
-            "attached", lambda: lv.attach_levels(rows, self.means(), prefixes, self.inputs.fix_class_key)
-        )
+        return with_class_means(lv.attach_levels(rows, self.means(), prefixes, self.inputs.fix_class_key))
+
+    def attached(self) -> DataFrame:
+        """The same, stored. Cells and means lie by stratum, which has a row for each pack at most: joins run where they lie."""
+        rows = self.attach()
+        with subset_keys(self.staging.spark):
+            return self._dealt("attached", lambda: rows, CELL)
 
     def _levels(self, pairs: DataFrame, prefix: str) -> DataFrame:
         means = [f"{prefix}Wx{level}Units" for level in lv.ALL_LEVELS]
-        attached = self.attached().select(*STRATUM, "PackID", *ATTRIBUTES, *means)
+        more = ["ClassMeans"] if prefix == "Panel" else []
+        attached = self.attached().select(*STRATUM, "PackID", *ATTRIBUTES, *means, *more)
         return pairs.select(*TRIPLE, "Region", "TSC", "Chain").join(attached, [*STRATUM, "PackID"])
 
     def universe_levels(self) -> DataFrame:
         """Universe rows with the eight universe means."""
         return self._levels(self.pairs().where(F.col("inUniverse") == 1), "Unvrs")
 
-    def panel_levels(self) -> DataFrame:
-        """Panel triples that the universe knows, with the eight panel means."""
+    def _panel_levels(self) -> DataFrame:
         known = (F.col("inUniverse") == 1) & (F.col("inPanel") == 1)
         return self._levels(self.pairs().where(known), "Panel")
 
+    def panel_levels(self) -> DataFrame:
+        """Panel triples that the universe knows, with the eight panel means."""
+        return self._panel_levels().drop("ClassMeans")
+
     def potential(self) -> DataFrame:
         return potential(self.attached())
 
@@ -659,7 +680,7 @@ class Projection:
         return joined.drop("_attributes")
 
     def factor_regular(self) -> DataFrame:
-        return factor_regular(self.panel_levels(), self.attached())
+        return factor_regular(self._panel_levels())
 
     def factor_orphan(self) -> DataFrame:
         return factor_orphan(self.orphan_levels())

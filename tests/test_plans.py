@@ -9,6 +9,7 @@ import pytest
 from dispensa.catalog import all_queries, projection
 from dispensa.operators import ordered
 from dispensa.plans import projection as pj
+from dispensa.sources.staging import Staging, subset_keys
 from dispensa.sources.tables import partition_scan
 
 # Windows without a partition that see a proven small number of rows: ranges, or the best n.
@@ -193,3 +194,28 @@ def test_a_run_leaves_nothing_behind(spark, folder):
         root = Path(staging.root.removeprefix("file:"))
         assert any(root.iterdir())
     assert not root.exists()
+
+
+def test_level_joins_run_where_their_sides_lie(spark, folder):
+    """Bucketed stages: no exchange below the eight level joins, the class means and what reads them, broadcasts off."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with Staging(spark) as staging:
+            run = pj.Projection(projection.inputs(spark, folder, staging), staging)
+            run.means()
+            with subset_keys(spark):
+                joins = text_of(run.attach())
+            assert joins.count("Join [") == 8 and "Exchange" not in joins
+            for made in (run.universe_levels(), run.panel_levels(), run.factor_regular()):
+                plan = text_of(made)
+                assert plan.count("Join [") == 1 and "Exchange" not in plan and "Bucketed: true" in plan
+                assert made.count() > 0
+            cells = text_of(pj.level_cells(run.pairs(), run.packs()))
+            assert cells.count("hashpartitioning(PdID") == 0  # summed where the pairs lie
+            tables = list(staging._tables)
+            assert len(tables) == 4
+        assert not any(spark.catalog.tableExists(t) for t in tables)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"

@@ -166,9 +166,18 @@ def test_lookup_multiplies_rows_like_two_joins(spark):
 def test_regular_factor_is_null_for_an_empty_panel_mean(spark):
     schema = "PdID int, ShopID int, PackID int, Region string, TSC int, Chain int, Class string, PanelWxClassUnits bigint"
     rows = [(1, 1, 1, "R", 2, 1, "K", 4), (1, 2, 1, "R", 2, 1, "K", 0), (1, 3, 1, "R", 2, 1, "K", None), (1, 3, 1, "R", 2, 1, "K", None)]
-    unvrs = spark.createDataFrame([(1, "R", 2, 1, "K", 10)], "PdID int, Region string, TSC int, Chain int, Class string, UnvrsWxClassUnits bigint")
-    got = pj.factor_regular(spark.createDataFrame(rows, schema), unvrs)
-    assert sorted(((r["ShopID"], r["PF"]) for r in got.collect())) == [(1, 2.5), (2, None), (3, None)]
+    rows += [(1, 4, 2, "R", 2, 1, "L", 2), (1, 5, 3, "R", 2, 1, None, 2), (1, 6, 4, "R", 2, 1, "M", 2)]
+    unvrs = spark.createDataFrame(
+        # A class of one mean twice, one of three means, null among them, and rows without a class.
+        [(1, "R", 2, 1, c, m) for c, m in (("K", 10), ("K", 10), ("L", 4), ("L", 6), ("L", None), (None, 8))],
+        "PdID int, Region string, TSC int, Chain int, Class string, UnvrsWxClassUnits bigint",
+    )
+    means = pj.with_class_means(unvrs)
+    assert means.count() == 6
+    known = means.select("Class", "ClassMeans").where("Class is not null").distinct()
+    panel = spark.createDataFrame(rows, schema).join(known, "Class", "left")
+    got = sorted(((r["ShopID"], r["PF"]) for r in pj.factor_regular(panel).collect()), key=str)
+    assert got == [(1, 2.5), (2, None), (3, None), (4, 2.0), (4, 3.0), (4, None)]
 
 
 def test_swapped_period(spark):
