@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dispensa.catalog import Query
 from dispensa.plans import gate as g
+from dispensa.sources.changes import ChangeTable
 from dispensa.sources.staging import Staging
 from dispensa.sources.standins import standin, standin_sql
 
@@ -58,6 +59,25 @@ def _notes(spark: SparkSession, folder: str) -> DataFrame:
     return g.write_notes(t["log"], g.gate_verdict(**t))
 
 
+_LOG = (
+    "cycle_id int, account_id int, is_deleted int, day_no int, month_no int, year_no int, unit int, bonus int, rec_p int, "
+    "rec_c int, rec_s int, note string"
+)
+
+
+def _changed_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log with the gate's notes, then with bonuses cleared and notes withdrawn for busy requests, one compaction between."""
+    t = _tables(spark, folder)
+    table = ChangeTable(spark, Staging(spark).root + "/log", _LOG, g.KEYS)
+    table.create(t["log"])
+    table.update(g.note_changes(g.gate_verdict(**t)))
+    table.compact()
+    busy = t["log"].groupBy(*g.KEYS).agg(F.sum("rec_s").alias("n")).where("n % 2 = 0")
+    table.update(busy.select(*g.KEYS, F.lit(None).cast("int").alias("bonus")))
+    table.update(busy.where("n % 3 = 0").select(*g.KEYS, F.lit("withdrawn").alias("note")))
+    return table.read()
+
+
 def _routed(spark: SparkSession, folder: str) -> DataFrame:
     t = _tables(spark, folder)
     verdicts = Staging(spark).keep(g.gate_verdict(**t), "verdicts")
@@ -174,6 +194,15 @@ QUERIES: dict[str, Query] = {
     ),
     "gate_verdict": Query(_verdict, _oracle("select * from verdicts")),
     "gate_notes": Query(_notes, _oracle("select * from noted")),
+    "log_with_changes": Query(
+        _changed_log,
+        _oracle(
+            """select n.* exclude (note, bonus), case when b.n % 2 = 0 then null else bonus end as bonus,
+                      case when b.n % 6 = 0 then 'withdrawn' else note end as note
+               from noted n left join (select cycle_id, account_id, sum(rec_s) as n from log_pp group by all) b
+                 on b.cycle_id = n.cycle_id and b.account_id = n.account_id"""
+        ),
+    ),
     "gate_routing": Query(lambda s, d: g.process_updates(_routed(s, d), STATUS), _oracle(_UPDATES_SQL)),
     "gate_routing_log": Query(
         lambda s, d: g.operation_log(_routed(s, d), STATUS, AS_OF),

@@ -287,7 +287,31 @@ _LONG_SQL = """select pd_id as PdID, ShopID, PackID, cast(sum(total_unit) as big
     join shops on lpad(ShopID::varchar, 7, '0') = customer_code join packs on lpad(PackID::varchar, 7, '0') = pfc
     where pd_id::varchar in (select period from sellin) group by all"""
 
+_SELLIN = "customer_code string, pfc string, total_unit int, period string"
+
+
+def _incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Sell-in sums that are kept, after the last month got a late correction: a unit more for each of its rows."""
+    root = Staging(spark).root
+    sellin = standin(spark, folder, "sellin")
+    sellin.hint("rebalance", "period").write.partitionBy("period").parquet(f"{root}/sellin")
+    sums = pj.monthly_sums(spark, f"{root}/sellin", _SELLIN, f"{root}/sums")
+    sums.refresh()
+    last = sellin.agg(F.max("period").alias("period"))
+    late = sellin.join(F.broadcast(last), "period").withColumn("total_unit", F.lit(1))
+    late.write.mode("append").partitionBy("period").parquet(f"{root}/sellin")
+    sums.refresh()
+    return sums.store.read()
+
+
+_INCREMENTAL_SQL = f"""with sellin as ({standin_sql('sellin')})
+    select period, customer_code, pfc, cast(sum(total_unit) as bigint) as total_unit
+    from (select * from sellin union all
+          select period, customer_code, pfc, 1 from sellin where period = (select max(period) from sellin))
+    group by period, customer_code, pfc"""
+
 QUERIES: dict[str, Query] = {
+    "monthly_incremental": Query(_incremental, _INCREMENTAL_SQL),
     "universe_24": Query(_universe_long, oracle(_LONG_SQL)),
     "period_index": Query(_period_index, oracle("select * from numbered")),
     "period_window": Query(_period_window, oracle("select * from pd")),

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispensa.catalog import Query
+from dispensa.operators.distinct import bitmaps, counts, merged
 from dispensa.plans import sellout as so
+from dispensa.sources.periods import PeriodTable
 from dispensa.sources.snapshots import Snapshots
 from dispensa.sources.standins import standin, standin_sql
 from dispensa.sources.staging import Staging
@@ -112,6 +114,51 @@ def _top_all(spark: SparkSession, folder: str) -> DataFrame:
     return so.top_products_all(_published(spark, folder), standin(spark, folder, "report_period"))
 
 
+def _rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct shops and products by month, quarter and year; the fact is read for the months alone."""
+    facts = standin(spark, folder, "month_src").select(
+        "period", F.rtrim("whs").cast("int").alias("shop"), F.rtrim("pfc").cast("int").alias("pack")
+    )
+    measures = {"shops": F.col("shop"), "packs": F.col("pack")}
+    months = Staging(spark).keep(bitmaps(facts, ["period"], measures), "bitmaps")
+    year = F.substring("period", 1, 2)
+    quarter = F.concat(year, F.lit("Q"), F.quarter(F.to_date(F.concat(F.lit("20"), "period", F.lit("01")), "yyyyMMdd")).cast("string"))
+    out = [
+        counts(sets, ["span"], list(measures)).select(F.lit(level).alias("level"), "*")
+        for level, sets in (
+            ("month", months.withColumnRenamed("period", "span")),
+            ("quarter", merged(months, [quarter.alias("span")])),
+            ("year", merged(months, [year.alias("span")])),
+        )
+    ]
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+_GROWN = (
+    "sale_date date, whs string, pfc string, pr_unit decimal(10,0), pr_price decimal(10,2), setflag bigint, vat decimal(7,2), "
+    "is_prescription int, prj_unit double"
+)
+
+
+def _grown(spark: SparkSession, folder: str) -> DataFrame:
+    """Months that were written without two columns and with a narrower one, read under today's schema."""
+    table = PeriodTable(spark, Staging(spark).root + "/months", _GROWN)
+    facts = standin(spark, folder, "month_src")
+    names = table.declared.names
+    old = facts.select("period", *[c for c in names if c not in ("vat", "is_prescription")])
+    new = facts.select("period", *names).withColumn("setflag", F.col("setflag").cast("bigint"))
+    for rows, which in ((old, "substring(period, 1, 2) < '98'"), (new, "substring(period, 1, 2) >= '98'")):
+        rows.where(which).hint("rebalance", "period").write.mode("append").partitionBy("period").parquet(table.root)
+    sums = table.read().groupBy("period").agg(
+        F.count("*").alias("n"), F.count("vat").alias("with_vat"), F.sum("vat").cast("double").alias("vat"),
+        F.sum("is_prescription").alias("prescriptions"), F.sum("setflag").alias("flags"), F.sum("pr_unit").cast("bigint").alias("units"),
+    )
+    states = table.report().groupBy("period").agg(
+        F.count(F.when(F.col("state") == "missing", 1)).alias("missing"), F.count(F.when(F.col("state") == "widened", 1)).alias("widened")
+    )
+    return sums.join(states, "period")
+
+
 # --- the oracle ------------------------------------------------------------------------------
 
 _INPUTS = (
@@ -217,6 +264,31 @@ QUERIES: dict[str, Query] = {
                 {_held("(select * from mart where DONEM not in (select DONEM from returned) union all select * from returned)", 2)})"""
         ),
     ),
+    "distinct_rollup": Query(
+        _rollup,
+        _oracle(
+            " union all ".join(
+                f"""select '{level}' as level, {span} as span, count(distinct rtrim(whs)) as shops, count(distinct rtrim(pfc)) as packs
+                    from month_src group by 2"""
+                for level, span in (
+                    ("month", "period"),
+                    ("quarter", "period[1:2] || 'Q' || ((period[3:4]::int + 2) // 3)"),
+                    ("year", "period[1:2]"),
+                )
+            )
+        ),
+    ),
+    "period_schema_merge": Query(
+        _grown,
+        _oracle(
+            """select period, count(*) as n, case when old then 0 else count(*) end as with_vat,
+                      case when not old then sum(vat)::double end as vat,
+                      case when not old then sum(is_prescription)::bigint end as prescriptions, sum(setflag)::bigint as flags,
+                      sum(pr_unit)::bigint as units, case when old then 2 else 0 end::bigint as missing,
+                      case when old then 1 else 0 end::bigint as widened
+               from (select *, period[1:2] < '98' as old from month_src) group by period, old"""
+        ),
+    ),
     "mart_nulls": Query(_mart_nulls, _oracle(f"select {_null_counts(_MART_NULLABLE)} from mart")),
     "top_products": Query(
         _top,

@@ -187,9 +187,14 @@ def gate_verdict(
     return checked.select(*KEYS, verdict.alias("verdict"), "message", note.alias("note"))
 
 
+def note_changes(verdicts: DataFrame) -> DataFrame:
+    """The notes of failed requests by key, to update a log that is kept as a base with changes."""
+    return verdicts.where(F.col("note").isNotNull()).select(*KEYS, "note")
+
+
 def write_notes(log: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The log with the note of each failed request on all its rows, deleted ones included."""
-    notes = verdicts.where(F.col("note").isNotNull()).select(*KEYS, F.col("note").alias("_note"))
+    notes = note_changes(verdicts).withColumnRenamed("note", "_note")
     return log.join(notes, list(KEYS), "left").withColumn("note", F.coalesce("_note", "note")).drop("_note")
 
 

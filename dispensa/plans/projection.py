@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dispensa.functions.compat import int_div, zero_pad
@@ -27,6 +27,8 @@ from dispensa.operators import levels as lv
 from dispensa.operators.levels import LEVELS, STRATUM
 from dispensa.operators.ordered import integer_median, running_sum
 from dispensa.operators.trailing import events, sums_at
+from dispensa.sources.partials import PartialSums
+from dispensa.sources.snapshots import Snapshots
 from dispensa.sources.staging import Staging, subset_keys
 
 TRIPLE = ("PdID", "ShopID", "PackID")
@@ -120,6 +122,12 @@ def monthly_sellin(sellin: DataFrame, needed: DataFrame | None = None) -> DataFr
     return sellin.groupBy("period", "customer_code", "pfc").agg(F.sum("total_unit").alias("total_unit"))
 
 
+def monthly_sums(spark: SparkSession, fact: str, schema: str, root: str) -> PartialSums:
+    """Sell-in per period, shop code and pack code, kept below ``root`` across runs, of a fact stored by period."""
+    store = Snapshots(spark, root, "period string, customer_code string, pfc string, total_unit bigint", "period")
+    return PartialSums(spark, fact, schema, store, monthly_sellin)
+
+
 # --- shops -----------------------------------------------------------------------------------
 
 
@@ -530,6 +538,7 @@ class Inputs:
     folded_regions: dict[str, str] | None = None
     dates: Callable[[DataFrame], DataFrame] = swapped_dates
     fix_class_key: bool = False
+    kept: DataFrame | None = None  # sell-in per period, shop code and pack code, where earlier runs have left it
 
 
 class Projection:
@@ -553,7 +562,11 @@ class Projection:
 
     def monthly(self) -> DataFrame:
         i = self.inputs
-        return self._once("monthly", lambda: monthly_sellin(i.sellin, needed_periods(i.oper, i.months)))
+        needed = needed_periods(i.oper, i.months)
+        if i.kept is None:
+            return self._once("monthly", lambda: monthly_sellin(i.sellin, needed))
+        of_run = F.broadcast(needed.withColumnRenamed("PdID", "period"))  # as in monthly_sellin
+        return self._once("monthly", lambda: i.kept.join(of_run, "period", "left_semi"))
 
     def window(self) -> DataFrame:
         i = self.inputs
