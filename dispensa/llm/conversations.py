@@ -399,18 +399,31 @@ class Repair:
             F.array_join(F.transform("audits", lambda a: a["audit"]), "").alias("audit"),
         )
 
+    def _edits(self) -> DataFrame:
+        """Each row's place, key, edits and the roles that they write."""
+        zipped = F.arrays_zip("entries", "edits", F.split("roles", " ").alias("written"))
+        return self._solved.select("conv_id", F.posexplode(zipped).alias("_", "r")).select(
+            "conv_id", "r.entries.at", "r.entries.turn", "r.entries.role", "r.entries.key", "r.edits", "r.written"
+        )
+
+    def digests(self) -> DataFrame:
+        """(conv_id, sha256): of the repaired rows of each conversation with some, as ``role:text``, joined by line feeds.
+
+        A digest reads its lines one after the other, so each conversation goes to one task; edits and texts meet there,
+        sorted by Spark, and stream through it, so that texts are shuffled once and no more than a batch is held.
+        """
+        none = F.lit(None).cast("string")
+        edits = self._edits().select("conv_id", "turn", "role", "key", F.lit(0).alias("part"), "edits", "written", none.alias("text"))
+        texts = self._rows.select("conv_id", "turn", "role", "key", F.lit(1).alias("part"), none.alias("edits"), none.alias("written"), "text")
+        both = edits.unionByName(texts).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "key", "part")
+        return _digests(both.select("conv_id", "edits", "written", "role", "text"))
+
     def rows(self) -> DataFrame:
         """The repaired rows: conv_id, at and step (their order), turn, role, text, edit (K, R or I).
 
         An inserted row has no turn and an empty text.
         """
-        edits = self._solved.select(
-            "conv_id",
-            F.posexplode(F.arrays_zip("entries", "edits", F.split("roles", " ").alias("written"))).alias("_", "r"),
-        ).select(
-            "conv_id", "r.entries.at", "r.entries.turn", "r.entries.role", "r.entries.key", "r.edits", "r.written"
-        )
-        steps = edits.select(
+        steps = self._edits().select(
             "conv_id", "at", "turn", "role", "key", "written", F.posexplode(F.split("edits", "")).alias("step", "edit")
         ).withColumn("written", F.substring("written", F.col("step") + 1, F.lit(1)))
         role = F.when(F.col("written") == "u", "user").when(F.col("written") == "a", "assistant").otherwise(F.col("role"))
@@ -433,38 +446,53 @@ def _audit(entry: Column, edits: Column) -> Column:
     return F.concat(own, more, F.substring(edits, F.length(own) + 1, F.length(edits)))
 
 
-def line_digests(rows: DataFrame) -> DataFrame:
-    """(conv_id, sha256): of the repaired rows of each conversation as ``role:text``, joined by line feeds.
+def _digests(ordered: DataFrame) -> DataFrame:
+    """(conv_id, sha256) of rows (conv_id, edits, written, role, text), dealt by conversation and sorted.
 
-    A digest reads its lines one after the other, so each conversation goes to one task; it streams through it, sorted by
-    Spark, and no more than a batch is held.
+    Each row with edits is followed by its text, if any, once or several times; other texts are left out.
     """
-    shipped(rows.sparkSession)
-    lines = rows.select("conv_id", "at", "step", F.concat_ws(":", "role", "text").alias("line"))
-    kind = lines.schema["conv_id"].dataType
+    kind = ordered.schema["conv_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         from pyspark.sql.pandas.types import to_arrow_type
 
-        arrow, open_id, state = to_arrow_type(kind), None, None
+        arrow = to_arrow_type(kind)
+        state, conv, waiting, lines = None, None, None, 0
+
+        def told(edits: str, written: str, role: str, text: str | None) -> Iterator[str]:
+            for edit, to in zip(edits, written):
+                if edit != DELETE:
+                    name = role if to == "." else "user" if to == "u" else "assistant"
+                    yield f"{name}:{'' if edit == INSERT else text}"
+
         for batch in batches:
             ids, digests = [], []
-            for conv, line in zip(batch.column("conv_id").to_pylist(), batch.column("line").to_pylist()):
-                if state is not None and conv == open_id:
-                    state.update(b"\n")
-                else:
-                    if state is not None:
-                        ids.append(open_id)
+            columns = [batch.column(c).to_pylist() for c in ("conv_id", "edits", "written", "role", "text")]
+            for row_conv, edits, written, role, text in zip(*columns):
+                if state is None or row_conv != conv:
+                    if lines:
+                        ids.append(conv)
                         digests.append(state.hexdigest())
-                    open_id, state = conv, hashlib.sha256()
-                state.update(line.encode())
+                    state, conv, waiting, lines = hashlib.sha256(), row_conv, None, 0
+                if edits is not None:
+                    # Its text comes next, if one of its edits needs it.
+                    waiting = (edits, written, role) if KEEP in edits or REROLE in edits else None
+                    if waiting is not None:
+                        continue
+                    new = told(edits, written, role, None)
+                elif waiting is not None:
+                    new, waiting = told(*waiting, text), None
+                else:
+                    continue
+                for line in new:
+                    state.update(f"\n{line}".encode() if lines else line.encode())
+                    lines += 1
             yield pa.RecordBatch.from_arrays([pa.array(ids, arrow), pa.array(digests, pa.string())], names=["conv_id", "sha256"])
-        if state is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([open_id], arrow), pa.array([state.hexdigest()])], names=["conv_id", "sha256"])
+        if lines:
+            yield pa.RecordBatch.from_arrays([pa.array([conv], arrow), pa.array([state.hexdigest()])], names=["conv_id", "sha256"])
 
-    ordered = lines.repartition("conv_id").sortWithinPartitions("conv_id", "at", "step").select("conv_id", "line")
     return ordered.mapInArrow(run, f"conv_id {kind.simpleString()}, sha256 string")
 
 

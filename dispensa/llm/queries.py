@@ -118,7 +118,7 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations")
     repair = conversations.Repair(conversations.damaged(turns), Staging(spark))
     report = repair.report().withColumnRenamed("conv_id", "_r")
-    digests = conversations.line_digests(repair.rows()).withColumnRenamed("conv_id", "_d")
+    digests = repair.digests().withColumnRenamed("conv_id", "_d")
     found = turns.select("conv_id").distinct().join(report, F.expr("conv_id <=> _r"), "left")
     found = found.join(digests, F.expr("conv_id <=> _d"), "left")
     numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")

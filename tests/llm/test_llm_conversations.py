@@ -79,7 +79,7 @@ def check(spark, staging, rows):
     lines = {}
     for r in sorted(repair.rows().collect(), key=lambda r: (r["at"], r["step"])):
         lines.setdefault(r["conv_id"], []).append(f"{r['role']}:{r['text']}")
-    digests = {r["conv_id"]: r["sha256"] for r in cv.line_digests(repair.rows()).collect()}
+    digests = {r["conv_id"]: r["sha256"] for r in repair.digests().collect()}
     want = {c: plain(in_order(rows, c)) for c in {r[0] for r in rows}}
     assert report == {c: w[0] for c, w in want.items()}
     assert {c: tuple(x) for c, x in lines.items()} == {c: w[1] for c, w in want.items() if w[1]}
@@ -143,7 +143,7 @@ def test_empty_and_odd_columns(spark, staging):
     repair = cv.Repair(table, staging)
     got = {r["conv_id"]: (r["gaps"], r["blank"], r["cost"], r["audit"]) for r in repair.report().collect()}
     assert got == {"b": (0, 1, 7, "DKI"), None: (0, 0, 3, "IK")}
-    assert {r["conv_id"] for r in cv.line_digests(repair.rows()).collect()} == {"b", None}
+    assert {r["conv_id"] for r in repair.digests().collect()} == {"b", None}
 
 
 def damaged(rows):
