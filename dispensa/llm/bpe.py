@@ -8,7 +8,7 @@ order of their ranks. Only the two pairs beside a merge are looked up anew and e
 never cross pieces, so the result is that of encoding each piece alone, and no data has to be shuffled.
 
 A vocabulary file has about a megabyte whatever the corpus, and travels in a broadcast. A worker keeps the
-encodings of ``REMEMBERED`` pieces at most, and starts over when they are reached.
+encodings of ``REMEMBERED`` pieces; when they are reached they become the older ones, and those asked again come back.
 
 Defined results: a null text counts as empty; an empty text has no ids and decodes to no bytes; special tokens
 are ordinary text; unknown ids raise. Input columns named like a result are replaced by it.
@@ -43,6 +43,7 @@ class Vocabulary:
         self.pieces = regex.compile(pattern).findall
         self.first = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @functools.cached_property
     def pairs(self) -> np.ndarray:
@@ -63,8 +64,6 @@ class Vocabulary:
 
     def learn(self, pieces: list[str]) -> None:
         """Encode distinct pieces together by replaying the merges in the order of their ranks."""
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known.clear()
         if not pieces:
             return
         raw = [p.encode() for p in pieces]
@@ -93,8 +92,9 @@ class Vocabulary:
         for band, places in enumerate(index):
             while places:
                 # A place may have been entered twice, or have got another pair since.
-                at = np.unique(np.concatenate(places))
+                at = np.sort(np.concatenate(places))
                 places.clear()
+                at = at[np.flatnonzero(np.diff(at, prepend=-1))]
                 at = at[rank[at] < (band + 1) * BAND]
                 if not len(at):
                     continue
@@ -131,14 +131,20 @@ class Vocabulary:
         for piece, a, b in zip(pieces, starts, ends):
             self.known[piece] = ids[a:b]
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.pieces(text) for text in texts]
         distinct = set().union(*cut)
         new = [p for p in distinct if p not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
-            new = list(distinct)  # the others are about to be forgotten
-        self.learn(new)
+            self.older, self.known = self.known, {}
+            new = list(distinct)
+        older = self.older
+        self.known.update((p, older[p]) for p in new if p in older)
+        self.learn([p for p in new if p not in older])
         return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
 
     def decode(self, ids: bytes) -> bytes:
@@ -172,7 +178,7 @@ class Codec:
             return out | ({"decoded": pa.array(map(vocabulary.decode, ids), pa.binary())} if decoded else {})
 
         def done() -> None:
-            _vocabulary(shared.value, pattern).known.clear()
+            _vocabulary(shared.value, pattern).forget()
 
         made = "n_tokens bigint, ids binary" + ", decoded binary" * decoded
         return mapped(docs, text, work, made, done=done)
