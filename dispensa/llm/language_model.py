@@ -138,8 +138,9 @@ class _Table:
         for a in range(0, len(out), step):
             b = min(a + step, len(out))
             lo, hi = starts[a], starts[b] if b < len(out) else len(self.owner)
-            products = logs[:, self.places[lo:hi]] * self.times[lo:hi]
-            out[a:b] = np.add.reduceat(products, starts[a:b] - lo, axis=1).argmax(axis=0)
+            cells = (self.owner[lo:hi] - a) * (2 * FEATURES) + self.places[lo:hi]
+            dense = np.bincount(cells, weights=self.times[lo:hi], minlength=(b - a) * 2 * FEATURES)
+            out[a:b] = (dense.reshape(b - a, 2 * FEATURES) @ logs.T).argmax(axis=1)
         return np.where(self.hashes == _END, CLASSES, out)
 
 
