@@ -30,6 +30,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from dispensa.llm import packed
 from dispensa.llm.words import U, Words, buffers, mix
 
+BLOCK_BYTES = 4 << 20  # of text; a block is held whole, with several arrays of its words
 ROUNDS = 3
 WINDOW = 35
 _INDEX = U((1 << 32) - 1)
@@ -143,7 +144,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, text: str = "text", key:
 
     Adds n_words, n_removed and ``removed``, the runs of removed words as [first, after the last].
     """
-    blocks, parts = packed.blocked(docs, key, text, carried=True), packed.parts_of(docs)
+    blocks, parts = packed.blocked(docs, key, text, carried=True, block_bytes=BLOCK_BYTES), packed.parts_of(docs)
 
     def ask(block: int, rows: pa.Table) -> pa.Table:
         symbols, counts = Windows(rows["text"], size).ask_symbols()
