@@ -161,14 +161,14 @@ def _url_rules_sql() -> str:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": Query(op1_license_scan),
-    "op2_substring_dedup": Query(op2_substring_dedup),
+    "op2_substring_dedup": Query(op2_substring_dedup, twins.SUBSTRINGS),
     "op3_html_extraction": Query(op3_html_extraction),
     "op4_byte_bpe": Query(op4_byte_bpe),
-    "op5_ngram_jaccard_join": Query(op5_ngram_jaccard_join),
+    "op5_ngram_jaccard_join": Query(op5_ngram_jaccard_join, twins.JACCARD),
     "op6_quality_classifier": Query(op6_quality_classifier),
     "op7_url_filter": Query(op7_url_filter, _url_rules_sql()),
-    "op8_embedding_near_dedup": Query(op8_embedding_near_dedup),
-    "op9_decontamination": Query(op9_decontamination),
+    "op8_embedding_near_dedup": Query(op8_embedding_near_dedup, twins.VECTORS),
+    "op9_decontamination": Query(op9_decontamination, twins.DECONTAMINATION),
     "op10_class_language_model": Query(op10_class_language_model),
     "op11_token_counts": Query(op11_token_counts),
     "op12_merkle_manifest": Query(op12_merkle_manifest, twins.MANIFEST),

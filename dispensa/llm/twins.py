@@ -1,4 +1,4 @@
-"""SQL twins of the manifest and of the repair of conversations: level by level, and row by row with whole audits."""
+"""SQL twins: all windows and pairs against all, trees level by level, repairs row by row with whole audits."""
 
 from __future__ import annotations
 
@@ -123,3 +123,80 @@ CONVERSATIONS = rf"""with recursive
            coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, best.cost::bigint as cost,
            best.audit as audit, sha256(array_to_string(best.lines, chr(10))) as repaired_sha256
     from final f left join counted c on c.conv_id is not distinct from f.conv_id"""
+
+
+# --- words, windows, shingles, vectors: everything against everything ----------------------------
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _documents(words: str) -> str:
+    """Rows (r, doc_id, w): each document with a number of its own and its words."""
+    return f"select row_number() over () as r, doc_id, {words} as w from documents"
+
+
+def _components(nodes: str, links: str) -> str:
+    """CTEs reach and least (r, least): the smallest identifier that a walk over the links leads to."""
+    return f"""reach as (
+        select r, r as s from ({nodes}) union select reach.r, l.b from reach join ({links}) l on l.a = reach.s),
+    least as (select reach.r, min(n.id) as least from reach join ({nodes}) n on n.r = reach.s group by reach.r)"""
+
+
+SUBSTRINGS = f"""with docs as materialized ({_documents(_SPACED.format("coalesce(text, '')"))}),
+    spot as materialized (select r, i, md5(array_to_string(w[i:i + 34], ' ')) as h
+                          from (select r, w, unnest(range(1, len(w) - 33)) as i from docs where len(w) >= 35)),
+    gone as materialized (select distinct r, unnest(range(i, i + 35)) as i
+                          from spot where h in (select h from spot group by h having count(*) > 1)),
+    word as materialized (select r, unnest(w) as x, unnest(range(1, len(w) + 1)) as i from docs),
+    kept as (select r, count(*) as n, string_agg(x, ' ' order by i) as told from word anti join gone using (r, i) group by r)
+    select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+           sha256(coalesce(told, '')) as kept_sha256
+    from docs left join kept using (r)"""
+
+JACCARD = f"""with recursive docs as materialized ({_documents(_SPACED.format(_LOWER.format("coalesce(text, '')")))}),
+    shingle as materialized (
+        select distinct r, md5(array_to_string(w[i:i + 4], ' ')) as h
+        from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from docs where len(w) > 0)),
+    size as materialized (select r, count(*) as n from shingle group by r),
+    -- Equal sets are one class; classes are compared pair by pair.
+    class as materialized (select r, min(r) over (partition by told) as c
+                           from (select r, md5(string_agg(h, '' order by h)) as told from shingle group by r)),
+    first as materialized (select r, h, n from shingle join class using (r) join size using (r) where r = c),
+    link as materialized (
+        select a.r as a, b.r as b from first a join first b on a.h = b.h and a.r <> b.r
+        and 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+        group by a.r, b.r, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+    {_components("select c as r, min(doc_id) as id from class join docs using (r) group by c", "select a, b from link")}
+    select doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(least, doc_id) as component_id
+    from docs left join size using (r) left join class using (r) left join least on least.r = c"""
+
+VECTORS = f"""with recursive given as materialized (
+        select row_number() over () as r, vec_id, embedding::double[] as v from embeddings),
+    sound as materialized (
+        select r, vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) as v from given
+        where v is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+          and list_inner_product(v, v) > 0),
+    link as materialized (select a.r as a, b.r as b from sound a join sound b on a.r <> b.r and len(a.v) = len(b.v)
+                          and list_inner_product(a.v, b.v) >= 0.9),
+    {_components("select r, vec_id as id from given", "select a, b from link")}
+    select vec_id, coalesce(n, 0)::bigint as n_links, least as component_id, vec_id = least as kept
+    from given join least using (r) left join (select a as r, count(*) as n from link group by a) using (r)"""
+
+DECONTAMINATION = f"""with docs as materialized ({_documents(_ALNUM.format(_LOWER.format("coalesce(text, '')")))}),
+    item as (select item_id, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} as w from benchmark),
+    sought as materialized (
+        select distinct item_id, least(len(w), 10) as n, array_to_string(w[i:i + 9], ' ') as x
+        from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from item where len(w) > 0)),
+    spot as (
+        select r, n, i, array_to_string(w[i:i + n - 1], ' ') as x
+        from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i
+              from docs, (select distinct n from sought) where len(w) >= n)),
+    hit as materialized (select r, i, n, item_id from spot join sought using (n, x)),
+    word as (select r, count(*) as n from (select distinct r, unnest(range(i, i + n)) as i from hit) group by r),
+    told as (select r, count(*) as n, string_agg(item_id, ',' order by item_id) as items
+             from (select distinct r, item_id::varchar as item_id from hit) group by r)
+    select doc_id, len(w)::bigint as n_words, coalesce(word.n, 0)::bigint as n_hit, coalesce(told.n, 0)::bigint as n_items,
+           sha256(coalesce(items, '')) as items_sha256, coalesce(word.n, 0) > 0 as contaminated
+    from docs left join word using (r) left join told using (r)"""
