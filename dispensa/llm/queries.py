@@ -141,11 +141,31 @@ def _url_rules_sql() -> str:
         case when starts_with(regexp_extract({{0}}, '(?s)://[^/?#]*([^#]*)', 1), '/') then '' else '/' end ||
         regexp_extract({{0}}, '(?s)://[^/?#]*([^#]*)', 1) end"""
     judged = f"select *, case {rule} end as rule from {{0}}"
-    link = r"""regexp_extract(html, '(?is)<link\s[^>]*rel="?canonical\b[^>]*href="?([^"\s>]+)', 1)"""
-    refresh = r"""regexp_extract(html, '(?is)<meta\s[^>]*http-equiv="?refresh\b[^>]*url=([^"''>\s]+)', 1)"""
-    return f"""with recursive
-        linked as (select url, case when {refresh} <> '' then {refresh} else {link} end as target from pages
-                   where contains(lower(html), 'canonical') or contains(lower(html), 'refresh')),
+    scheme = "regexp_extract(url, '(?s)^(.*?)://', 1)"
+    site = f"{scheme} || '://' || {host.format('url')}"
+    dots = """list_reduce(list_prepend('', string_split({0}, '/')[2:]), lambda done, x: case x when '..'
+        then regexp_replace(done, '/[^/]*$', '') when '.' then done else done || '/' || x end)
+        || case when string_split({0}, '/')[-1] in ('.', '..') then '/' else '' end"""
+    folder = f"coalesce(nullif(regexp_replace({path.format('url')}, '[^/]*$', ''), ''), '/')"
+    whole = f"""case when regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') then t
+        when starts_with(t, '//') then {scheme} || ':' || t
+        when regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') then null
+        when starts_with(t, '/') then {site} || {dots.format('place')} || rest
+        when starts_with(t, '?') then {site} || {path.format('url')} || t
+        when not starts_with(t, '#') then {site} || {dots.format(f"({folder} || place)")} || rest end"""
+    quoted = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))"""
+    return rf"""with recursive
+        tag as (select url,
+            regexp_extract_all(html, '(?is)<meta\s[^>]*http-equiv\s*=\s*["'']?refresh\b[^>]*>') as metas,
+            regexp_extract_all(html, '(?is)<link\s[^>]*rel\s*=\s*["'']?canonical\b[^>]*>') as links from pages),
+        target as (
+            select url, regexp_extract(unnest(metas), '(?is)\burl\s*=\s*[''"]?([^''">\s]+)', 1) as t from tag union all
+            select url, regexp_extract(m, '{quoted}', 1) || regexp_extract(m, '{quoted}', 2) || regexp_extract(m, '{quoted}', 3)
+            from (select url, unnest(links) as m from tag)),
+        named as (select url, replace(trim(t), '&amp;', '&') as t from target),
+        cut as (select *, regexp_extract(t, '(?s)^([^?#]*)', 1) as place, regexp_extract(t, '(?s)^[^?#]*(.*)$', 1) as rest
+                from named where t <> ''),
+        linked as (select url, {whole} as target from cut),
         pair as (select {node.format('url')} as a, {node.format('target')} as b from linked),
         edge as (select a, b from pair where a <> b union select b, a from pair where a <> b),
         reach as (select a as x, a as y from edge union select x, b from reach join edge on a = y),

@@ -112,9 +112,16 @@ def test_other_columns_repeats_and_nothing(spark, rules, staging):
 def test_sql_twin_on_aliases(spark, rules, staging):
     con = duckdb.connect()
     con.execute("create table pages (page_id bigint, url varchar, html varchar)")
-    # The SQL reads absolute targets and a link's href after its rel.
-    rows = [(i, u, (h or "").replace('<LINK href="', '<link rel="canonical" href="').replace('" rel="canonical">', '">'))
-            for i, u, h in ALIASES if i not in (6, 7, 12)]
+    more = [
+        (101, "http://n.net/1", page(to="http://n.net/1", link="http://x.com/de/1")),
+        (102, "http://two.net/", page(to="http://calm.net/", link="http://x.com/de/2")), (103, "http://calm.net/", None),
+        (104, "http://t.net/", page(link="http://t.net/") + page(link="http://x.com/de/3")), (105, "http://r.net/a/b?q", page(to="page2")),
+        (106, "http://r.net/a/page2", page(link="http://x.com/de/4")), (107, "http://q.net/s", page(to="?p=1")),
+        (108, "http://q.net/s?p=1", page(link="http://x.com/de/")), (109, "http://mail.net/", page(link="mailto:x@x.com")),
+        (110, "http://up.net/a/b/c", page(link="../x/./y/..")), (111, "http://up.net/a/x/", page(link="//x.com/de/5")),
+        (112, "http://amp.net/?a=1&b=2", page(link="http://x.com/de/6")), (113, "http://w.net/", page(link="http://amp.net/?a=1&amp;b=2")),
+    ]
+    rows = [*ALIASES, *more]
     con.executemany("insert into pages values (?, ?, ?)", rows)
     out = urls.judged(spark.createDataFrame(rows, SCHEMA), rules, staging)
     compare(out.select("page_id", "host", "path", "rule", "verdict"), con, QUERIES["op7_url_filter"].sql)
