@@ -11,7 +11,9 @@ hundred of its unknown ones would pass.
 All paragraphs of all documents are scored. First with one weight for each place, the most by which any
 family's exceeds unknown's: where that sum is not positive, no family can win. The rest get all classes'
 probabilities, and the winning family's templates are compared: a prediction is confirmed if a template's
-word pairs, ``CONFIRM`` of them at least, occur in the paragraph.
+word pairs, ``CONFIRM`` of them at least, occur in the paragraph. Notices are often wrapped over several lines, so
+it is confirmed too if they occur in the paragraph and up to ``REACH`` ones before and after it, read as one text,
+and no other family's template has more of its pairs there.
 
 Only DataFrame functions are used. Defined results: a null, empty or blank text has no paragraphs and no
 notices; a paragraph without ASCII letters or digits is unknown; ties go to the family first in the
@@ -35,6 +37,7 @@ VARIANTS = 6
 STEPS = 30
 RATE, PENALTY = 1.0, 5e-5
 CONFIRM = 0.6
+REACH = 8
 UNKNOWN = "unknown"
 
 # Usual wordings of notices.
@@ -81,6 +84,9 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.",
         "Licensed under the LGPL-3.0 license.",
     ],
     "mit": [
@@ -292,19 +298,32 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             ranked = F.zip_with(p, F.col("families"), lambda x, f: F.struct(x.alias("probability"), f.alias("family")))
             # array_min over the negated probability: ties go to the first name.
             least = F.array_min(F.transform(ranked, lambda r: F.struct((-r["probability"]).alias("q"), r["family"].alias("family"))))
-            return F.struct(n["paragraph"].alias("paragraph"), least.alias("least"), _pairs(words).alias("pairs"))
+            return F.struct(n["paragraph"].alias("paragraph"), least.alias("least"))
 
         return _let(_words(n["line"]), with_words)
 
     rows = rows.withColumn("judged", F.transform("likely", judge))
     believed = F.filter("judged", lambda j: (j["least"]["family"] != UNKNOWN) & (-j["least"]["q"] >= F.col("threshold")))
 
+    def near(i: Column) -> Column:
+        return F.array_join(F.slice("lines", F.greatest(i - REACH, F.lit(0)) + 1, F.lit(2 * REACH + 1)), " ")
+
     def confirm(j: Column) -> Column:
-        own = F.filter("templates", lambda t: t["family"] == j["least"]["family"])
-        share = F.transform(own, lambda t: F.size(F.array_intersect(t["pairs"], j["pairs"])) / F.size(t["pairs"]))
+        own = lambda t: t["family"] == j["least"]["family"]
+
+        def held(pairs: Column) -> Column:
+            """For each template whether it is held, of how many pairs, and whether it is the family's."""
+            size = lambda t: F.size(F.array_intersect(t["pairs"], pairs))
+            told = F.transform("templates", lambda t: F.struct(size(t).alias("n"), F.size(t["pairs"]).alias("of"), own(t).alias("own")))
+            return F.filter(told, lambda t: t["n"] >= CONFIRM * t["of"])
+
+        alone = _let(_let(_words(F.get("lines", j["paragraph"])), _pairs), lambda pairs: F.exists(held(pairs), lambda t: t["own"]))
+        most = lambda h: F.array_max(F.transform(h, lambda t: F.struct(t["n"].alias("n"), t["own"].alias("own"))))["own"]
+        wrapped = _let(_let(_words(near(j["paragraph"])), _pairs), lambda pairs: _let(held(pairs), most))
+        best = alone | F.coalesce(wrapped, F.lit(False))
         return F.struct(
             j["paragraph"].alias("paragraph"), j["least"]["family"].alias("family"), (-j["least"]["q"]).alias("probability"),
-            (F.array_max(share) >= CONFIRM).alias("confirmed"),
+            best.alias("confirmed"),
         )
 
     rows = rows.withColumn("notices", F.transform(believed, confirm))

@@ -98,3 +98,45 @@ def test_odd_inputs(spark, model):
     got = sorted((r["doc_id"] or 0, r["n_paragraphs"], r["licence"] or "") for r in out.collect())
     assert got == [(0, 3, "cc-by-nc"), (1, 0, ""), (2, 0, ""), (3, 0, ""), (4, 1, "cc-by-nc"), (4, 1, "cc-by-nc")]
     assert licences.scan(table.limit(0), model).collect() == []
+
+
+WRAPPED = {
+    "mit": """/*
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+ * copies of the Software
+ */""",
+    "bsd": """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions
+# are met:""",
+    "gpl": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.""",
+    "lgpl": """// This library is free software; you can redistribute it and/or
+// modify it under the terms of the GNU Lesser General Public
+// License as published by the Free Software Foundation; either
+// version 2.1 of the License, or (at your option) any later version.""",
+    "apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""",
+}
+
+
+def test_notices_wrapped_over_lines(spark, model):
+    texts = [f"A first line.\n\n{notice}\n\nAnd the text goes on here.\nFor some lines." for notice in WRAPPED.values()]
+    got = best(spark, model, texts)
+    assert {i: (got[i]["licence"], got[i]["confirmed"]) for i in range(len(texts))} == {
+        i: (family, True) for i, family in enumerate(WRAPPED)
+    }
+
+
+def test_lines_far_from_a_notice_do_not_confirm_it(spark, model):
+    parts = WRAPPED["mit"].split("\n")[1:-1]
+    far = "\n".join(["\n".join(["Plain words of a story stand between."] * 20).join(["", p]) for p in parts])
+    row = best(spark, model, [far])[0]
+    assert not row["confirmed"]
