@@ -58,9 +58,11 @@ class Staging:
         """Write ``df`` once dealt and sorted by the keys, and return the written table.
 
         Joins and groupings on these keys, also of several such tables, then need no exchange; ``subset_keys`` does the
-        same for joins on more keys. Each bucket is one file; there are as many as shuffle partitions.
+        same for joins on more keys. Each bucket is one file; there are as many as shuffle partitions, or two for each
+        core where these are fewer, as buckets are not joined to larger ones at run time.
         """
-        n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        cores = self.spark.sparkContext.defaultParallelism
+        n = buckets or min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
         mark = uuid.uuid4().hex
         table, path = f"stage_{name}_{mark}", f"{self.root}/{name}-{mark[:8]}"
         dealt = df.repartition(n, *keys)
