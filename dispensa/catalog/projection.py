@@ -3,6 +3,7 @@ join per lookup, so that it shares no plan idea with the Spark jobs."""
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -274,11 +275,15 @@ for _lv in ALL_LEVELS:
 
 
 def _universe_long(spark: SparkSession, folder: str) -> DataFrame:
-    """The universe over windows of 24 months."""
-    job = run(spark, folder)
-    window = pj.window_periods(pj.distinct_periods(job.inputs.sellin), job.inputs.oper, spark.sql("select 24 as MthsAvg"))
-    monthly = pj.monthly_sellin(job.inputs.sellin, window.select("PdID").distinct())
-    return pj.universe(monthly, job.staging.keep(window, "window"), job.shops(), job.packs())
+    """The universe over windows of 24 months; one pass over the sell-in sums what these and the run's own need."""
+    staging = Staging(spark)
+    given, months = inputs(spark, folder, staging), spark.sql("select 24 as MthsAvg")
+    needed = pj.needed_periods(given.oper, given.months).unionByName(pj.needed_periods(given.oper, months)).distinct()
+    monthly = staging.keep(pj.monthly_sellin(given.sellin, needed), "monthly")
+    job = pj.Projection(dataclasses.replace(given, kept=monthly), staging)
+    window = staging.keep(pj.window_periods(pj.distinct_periods(monthly), given.oper, months), "window")
+    of_windows = F.broadcast(window.select(F.col("PdID").alias("period")).distinct())
+    return pj.universe(monthly.join(of_windows, "period", "left_semi"), window, job.shops(), job.packs())
 
 
 _LONG_SQL = """select pd_id as PdID, ShopID, PackID, cast(sum(total_unit) as bigint) as Units

@@ -204,3 +204,12 @@ def test_size_classes_cover_all_shops(job):
     assert sum(r["Stores_TOT"] for r in check) == job.shops().count()
     top = job.cumulative().agg(F.max("UnitsCUM")).first()[0]
     assert top == job.imputed().agg(F.sum("Units")).first()[0]
+
+
+def test_universe_24_reads_the_sellin_once(spark, folder, monkeypatch):
+    from dispensa.catalog import all_queries
+
+    calls, once = [], pj.monthly_sellin
+    monkeypatch.setattr(pj, "monthly_sellin", lambda *a: calls.append(a) or once(*a))
+    assert all_queries()["universe_24"].run(spark, folder).count() > 0
+    assert len(calls) == 1
