@@ -68,7 +68,7 @@ class PartialSums:
         changed, gone = self.stale()
         if not changed and not gone:
             return Refreshed((), (), self.store.current())
-        load = self.store.write(self.make(self.source(list(changed))))
+        load = self.store.write(self.store.spread(self.make(self.source(list(changed)))))
         after = self.fingerprints()
         if any(after.get(v) != f for v, f in changed.items()):
             self.store.discard(load)

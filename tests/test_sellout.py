@@ -327,3 +327,31 @@ def test_versions_prune_by_period(spark, dims, tmp_path):
     plan = store.read().where("DONEM = '2102'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(DONEM" in plan
     assert len(store.read().where("DONEM = '2102'").inputFiles()) >= 1
+
+
+def test_a_load_deals_the_sums_and_not_the_mart(spark, dims, tmp_path, monkeypatch):
+    """Whole rows of the mart are not exchanged, also where prices have to be; a share of a period is one file."""
+    store, plans = so.mart_store(spark, str(tmp_path / "mart")), []
+    monkeypatch.setattr(so, "PARTITIONS_A_SHARE", 2)
+    write = store.write
+
+    def noted(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(rows)
+
+    monkeypatch.setattr(store, "write", noted)
+    monkeypatch.setattr(store, "spread", lambda rows: pytest.fail("dealt again"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    facts = whole_facts(spark, [("T", p, "s1", f"p{k}", k, 0, {}) for p in ("2101", "2102") for k in range(1, 9)])
+    small = {"accounts": F.broadcast(dims["accounts"]), "atc_names": F.broadcast(dims["atc_names"])}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        so.load_mart(store, facts, **(dims | small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plans[0] and plans[0].count("REPARTITION_BY_COL") == 2
+    assert plans[0].count("Exchange hashpartitioning(period") == 3  # the sums, twice, and the prices
+    files = [f.split("/")[-2] for f in store.read().inputFiles()]
+    assert set(files) == {"DONEM=2101", "DONEM=2102"} and all(files.count(f) <= 2 for f in files)
+    plain = so.sellout_mart(facts, **dims)
+    assert sorted(map(str, store.read().select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
