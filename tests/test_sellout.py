@@ -329,6 +329,13 @@ def test_versions_prune_by_period(spark, dims, tmp_path):
     assert len(store.read().where("DONEM = '2102'").inputFiles()) >= 1
 
 
+def test_refused_facts_are_neither_joined_nor_written(spark, dims, tmp_path, monkeypatch):
+    store = so.mart_store(spark, str(tmp_path / "mart"))
+    monkeypatch.setattr(store, "write", lambda rows: pytest.fail("written"))
+    report = so.load_mart(store, whole_facts(spark, [("T", "2101", "s1", "p1", 1, 0, {"vat": None})] * 3), **dims)
+    assert (report.rows, report.nulls["vat"], report.version) == (3, 3, None)
+
+
 def test_a_load_deals_the_sums_and_not_the_mart(spark, dims, tmp_path, monkeypatch):
     """Whole rows of the mart are not exchanged, also where prices have to be; a share of a period is one file."""
     store, plans = so.mart_store(spark, str(tmp_path / "mart")), []
