@@ -235,19 +235,29 @@ def _stars(posts: DataFrame, turn: int, t: Fraction) -> DataFrame:
 
 def _across(posts: DataFrame, t: Fraction) -> DataFrame:
     """All pairs of documents of a shingle that lie in two components."""
+    left = _asking(posts, t)
+    right = posts.withColumnRenamed("part", "other")
+    pairs = left.alias("x").join(right.alias("y"), ["shingle", "other"])
+    return _ends(pairs.where(_possible(t, "x", "y")).where(_possible(t, "x", "y", at=True)))
+
+
+def _asking(posts: DataFrame, t: Fraction) -> DataFrame:
+    """Of two components at a shingle, the posts of the one that has fewer there, with the ``other`` that they may meet.
+
+    So a large component is not repeated for each of the small ones beside it.
+    """
     parts = posts.groupBy("shingle", "part").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.expr("n - at")).alias("rest")
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.expr("n - at")).alias("rest"), F.count("*").alias("m")
     )
     p, q = t.numerator, t.denominator
-    two = parts.alias("v").join(parts.alias("w"), "shingle").where("v.part < w.part")
+    two = parts.alias("v").join(parts.alias("w"), "shingle").where("v.m < w.m or (v.m = w.m and v.part < w.part)")
     # The filters of single documents, for the best that any two of the components can offer.
     two = two.where(f"{p} * w.lo <= {q} * v.hi and {p} * v.lo <= {q} * w.hi")
     two = two.where(f"{p} * (v.lo + w.lo) <= {p + q} * least(v.rest, w.rest)")
-    two = two.select("shingle", F.col("v.part").alias("part"), F.col("w.part").alias("other"))
-    left = two.join(posts, ["shingle", "part"]).select("shingle", "other", "rep", "n", "at")
-    right = posts.withColumnRenamed("part", "other")
-    pairs = left.alias("x").join(right.alias("y"), ["shingle", "other"])
-    return _ends(pairs.where(_possible(t, "x", "y")).where(_possible(t, "x", "y", at=True)))
+    two = two.selectExpr("shingle", "v.part as part", "w.part as other", "w.lo as lo", "w.hi as hi", "w.rest as rest")
+    asking = two.join(posts, ["shingle", "part"]).where(f"{p} * lo <= {q} * n and {p} * n <= {q} * hi")
+    # The same for a document and the best that the other component can offer it.
+    return asking.where(f"{p} * (n + lo) <= {p + q} * least(n - at, rest)").select("shingle", "other", "rep", "n", "at")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:

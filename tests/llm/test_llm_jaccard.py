@@ -106,3 +106,18 @@ def test_nulls_repeats_clashing_columns_and_nothing(spark, staging):
     got = sorted(tuple(-1 if v is None else v for v in r) for r in jaccard.similarity_components(docs, staging).collect())
     assert got == [(-1, 5, -1), (3, 5, 3), (5, 5, 3), (5, 5, 3), (7, 0, 7), (8, 0, 8)]
     assert jaccard.similarity_components(docs.limit(0), staging).collect() == []
+
+
+def test_a_large_component_is_not_repeated_for_small_ones(spark):
+    """At one shingle, one large component and many of one document: each of these asks, and no pair is lost."""
+
+    t, rows = Fraction(3, 4), [(7, rep, 20 + rep % 9, rep % 5, 0 if rep < 200 else rep) for rep in range(240)]
+    posts = spark.createDataFrame(rows, "shingle long, rep long, n long, at int, part long")
+    pairs = jaccard._across(posts, t).distinct()
+    want = {
+        (a[1], b[1]) for a in rows for b in rows
+        if a[1] < b[1] and a[4] != b[4] and 3 * max(a[2], b[2]) <= 4 * min(a[2], b[2])
+        and 3 * (a[2] + b[2]) <= 7 * min(a[2] - a[3], b[2] - b[3])
+    }
+    assert {(r["a"], r["b"]) for r in pairs.collect()} == want and want
+    assert jaccard._asking(posts, t).count() <= 40 + 40 * 39 // 2
