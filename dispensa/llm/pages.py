@@ -2,9 +2,15 @@
 
 A page is read as a stream of tags and texts. Elements that are never part of an article (menus, page headers,
 footers, sidebars, notices, adverts, forms, comments, scripts, hidden ones) are known by their tag, role, class
-or id. Where a page marks its article or main part, the text is all of that without such elements.
-
-Where it does not, the host decides. The word streams of its pages, with a mark at each block's border, are
+or id. Where a page marks its article or main part, the text is all of that without such elements, and without the
+containers that its host repeats. For these the streams of all pages of a host, whole pages as tokens for tags with
+class and id and for blocks, go through the array of suffixes described below. A container with a class or id in an
+article goes if it is covered by stretches of ``SPAN`` tokens, from its tag to its end, that each stand on ``PAGES``
+distinct pages, and its beginning stands on half of the pages with its tag, class and id or more: a class whose words
+differ holds text. It must also stand on more pages than half of the article's text does, so that copies of an article
+lose none of it. Blocks that are in no such container stay, shared or not.
+
+Where a page marks nothing, the host decides by words. The word streams of its pages, with a mark at each block's border, are
 concatenated; the array of their suffixes, sorted to the depth of ``REPEAT`` tokens, brings equal stretches
 together. Stretches that stand on ``PAGES`` distinct pages are boilerplate: blocks that they cover go, and runs
 of ``REPEAT`` covered words in other blocks. The parts outside the articles of marked pages take part, so one unmarked page of a host is enough.
@@ -28,7 +34,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -38,6 +44,7 @@ from dispensa.llm.urls import host
 from dispensa.llm.words import mix
 
 REPEAT = 8
+SPAN = 3
 PAGES = 2
 GROUP_BYTES = 8 << 20
 
@@ -72,6 +79,10 @@ _COMMON = frozenset(
 )
 #: Elements that an id can name as no article; others, as headings, have ids to be linked to.
 _CONTAINERS = frozenset("div section ul ol table aside nav footer header form".split())
+#: Of these, what a host can repeat inside of articles without any mark.
+_BOXES = frozenset("div section ul ol".split())
+# Low bits of a token: what it is, and whether it is in the article (of a tag: whether it is a box there).
+_TEXT, _BEGIN, _END, _INSIDE = 0, 1, 2, 4
 
 
 def _named(value: str, words: frozenset[str]) -> bool:
@@ -105,11 +116,25 @@ def _furniture(tag: str, rest: str, inside: bool) -> bool:
     return False
 
 
+def _signature(tag: str, rest: str) -> tuple[str, bool]:
+    """The tag with its class and id, and whether it has any."""
+    pairs = _ATTRIBUTE.findall(rest) if "=" in rest else []
+    found = {name.lower(): " ".join(sorted(value.strip("\"'").lower().split())) for name, value in pairs}
+    named = [f"{name}={found[name]}" for name in ("class", "id") if found.get(name)]
+    return " ".join([tag, *named]), bool(named)
+
+
 def blocks(page: str) -> tuple[bool, list[tuple[str, str]]]:
     """Whether the page marks an article, and its blocks as (kind, text): article, furniture or open.
 
     An article without text, beside text that is nowhere, marks nothing.
     """
+    marked, found = stream(page)
+    return marked, [(kind, text) for kind, text in found if kind not in ("box", "tag", "end")]
+
+
+def stream(page: str) -> tuple[bool, list[tuple[str, str]]]:
+    """As ``blocks``, with the containers' tags and ends between them; a box is a named one in an article."""
     out: list[tuple[str, str]] = []
     parts: list[str] = []
     # Open elements: tag, in furniture, in an article, in furniture within a line, which no block holds.
@@ -145,8 +170,11 @@ def blocks(page: str) -> tuple[bool, list[tuple[str, str]]]:
             continue
         if m["end"]:
             while opened[tag]:
-                opened[stack[-1][0]] -= 1
-                if stack.pop()[0] == tag:
+                name, _, _, within = stack.pop()
+                opened[name] -= 1
+                if name in _CONTAINERS and not within:
+                    out.append(("end", name))
+                if name == tag:
                     break
         elif not m["rest"].endswith("/"):
             if stack and stack[-1][0] in _ENDED_BY_BLOCKS and tag not in _INLINE:
@@ -158,21 +186,51 @@ def blocks(page: str) -> tuple[bool, list[tuple[str, str]]]:
                 within = top[3] or (away and tag in _INLINE)
                 opened[tag] += 1
                 stack.append((tag, top[1] or (away and not within), top[2] or (tag in _ARTICLE and not away), within))
+                if tag in _CONTAINERS and not within:
+                    shown, named = _signature(tag, m["rest"])
+                    box = named and tag in _BOXES and top[2] and not (top[1] or away)
+                    out.append(("box" if box else "tag", shown))
                 marked |= tag in _ARTICLE and not (top[1] or away)
         top = stack[-1] if stack else ("", False, False, False)
     flush()
+    out += [("end", name) for name, _, _, within in reversed(stack) if name in _CONTAINERS and not within]
     kinds = {kind for kind, _ in out}
     return marked and ("article" in kinds or "open" not in kinds), out
 
 
-def _parsed(column: str, unmarked: bool):
-    """Texts of marked pages, or the blocks by which their hosts judge the unmarked ones."""
+def _shape(marked: bool, found: list[tuple[str, str]]) -> bytes:
+    """The page's tokens: a hash of each block or tag with the low bits of what it is, then the blocks' sizes."""
+    bits = {"article": _TEXT | _INSIDE * marked, "box": _BEGIN | _INSIDE * marked, "tag": _BEGIN, "end": _END}
+    # The hash tells a block from a tag, and not where it is.
+    said = [f"{bits.get(kind, _TEXT) & ~_INSIDE}{text}".encode("utf-8", "surrogatepass") for kind, text in found]
+    tokens = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=8).digest() for x in said), dtype="<u8")
+    low = np.array([bits.get(kind, _TEXT) for kind, _ in found], dtype="<u8")
+    return ((tokens & ~np.uint64(7)) | low).tobytes() + np.array([len(t) for _, t in found], dtype="<u4").tobytes()
+
+
+def _marked(column: str):
+    """Texts of marked pages, null for others, and the shapes."""
+
+    def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        found = [stream(page or "") for page in batch.column(column).to_pylist()]
+        texts = ["\n".join(t for kind, t in b if kind == "article") if marked else None for marked, b in found]
+        return {"text": pa.array(texts, pa.string()), "shape": pa.array([_shape(*x) for x in found], pa.binary())}
+
+    return work
+
+
+def _shaped(column: str):
+    def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        return {"shape": pa.array([_shape(*stream(page or "")) for page in batch.column(column).to_pylist()], pa.binary())}
+
+    return work
+
+
+def _parsed(column: str):
+    """The blocks by which the hosts judge unmarked pages."""
 
     def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         found = [blocks(page or "") for page in batch.column(column).to_pylist()]
-        if not unmarked:
-            texts = ["\n".join(t for kind, t in b if kind == "article") if marked else None for marked, b in found]
-            return {"text": pa.array(texts, pa.string())}
         # Of a marked page only what is outside of its article can be boilerplate.
         lists = [[t for kind, t in b if kind == "open" or (marked and kind == "furniture")] for marked, b in found]
         return {
@@ -327,6 +385,115 @@ def _group_texts(depth: int, least: int, parts: int):
     return work
 
 
+class _Shapes:
+    """Shapes of a block's pages, and the stretches of one token and of ``span`` on them with names that hold anywhere."""
+
+    def __init__(self, table: pa.Table, span: int):
+        table = packed.ordered(table, ["host", "shape_name"])
+        self.hosts, self.names = table["host"].to_pylist(), table["shape_name"]
+        self.bits, self.sizes, self.streams = [], [], []
+        salts = {h: np.frombuffer(hashlib.blake2b(h.encode(), digest_size=8).digest(), "<u8")[0] for h in set(self.hosts)}
+        for site, raw in zip(self.hosts, table["shape"].to_pylist()):
+            n = len(raw) // 12
+            tokens = np.frombuffer(raw, "<u8", n)
+            self.bits.append((tokens & np.uint64(7)).astype(np.uint8))
+            self.sizes.append(np.frombuffer(raw, "<u4", n, 8 * n).astype(np.int64))
+            self.streams.append(mix((tokens & ~np.uint64(7)) ^ salts[site]))
+        flat = np.concatenate([np.zeros(0, np.uint64), *self.streams])
+        self.starts, hashes, held = [], [], []
+        for depth in (1, span):
+            starts, stretch, distinct = _stretches(self.streams, np.arange(len(self.streams)), depth)
+            _, first = np.unique(stretch, return_index=True)
+            named = np.full(len(first), depth, dtype=np.uint64)
+            for step in range(depth):
+                named = mix(named * np.uint64(0x9E3779B97F4A7C15) + flat[starts[first] + step])
+            self.starts.append(starts)
+            hashes.append(named[stretch])
+            held.append(distinct[stretch])
+        self.hashes, place, self.place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        self.held = np.concatenate(held)[place]
+
+    def counts(self, held: np.ndarray) -> list[np.ndarray]:
+        """For each depth the pages of the stretch that starts at a token, 0 where there is no room for one."""
+        out, at = [], 0
+        for starts in self.starts:
+            counts = np.zeros(sum(map(len, self.streams)), dtype=np.int64)
+            counts[starts] = held[self.place[at : at + len(starts)]]
+            out.append(counts)
+            at += len(starts)
+        return out
+
+
+def _gone(
+    bits: np.ndarray, sizes: np.ndarray, alone: np.ndarray, spans: np.ndarray, span: int, least: int
+) -> np.ndarray | None:
+    """Which of the article's blocks are in boxes that the host repeats, if any.
+
+    ``alone`` and ``spans`` are the pages of the stretches of one token and of ``span`` that start at each.
+    """
+    kind, inside = bits & 3, bits & _INSIDE > 0
+    article = inside & (kind == _TEXT)
+    if not (inside & (kind == _BEGIN)).any() or not article.any():
+        return None
+    order = np.argsort(alone[article], kind="stable")
+    sums = np.cumsum(sizes[article][order])
+    usual = alone[article][order][np.searchsorted(2 * sums, sums[-1])]  # on so many pages stands half of the text
+    rare = np.concatenate([[0], np.cumsum(spans < least)])
+    away, open_ = np.zeros(len(bits) + 1, dtype=np.int64), []
+    for at in np.flatnonzero(kind != _TEXT):
+        if kind[at] == _BEGIN:
+            open_.append(at)
+            continue
+        begin = open_.pop()
+        last = at - span + 2  # behind the last stretch inside
+        whole = last > begin and rare[last] == rare[begin]
+        if inside[begin] and whole and spans[begin] > usual and 2 * spans[begin] >= alone[begin]:
+            away[begin] += 1
+            away[at] -= 1
+    gone = (np.cumsum(away)[:-1] > 0)[article]
+    return gone if gone.any() else None
+
+
+def _ask_boxes(span: int, parts: int):
+    def work(block: int, table: pa.Table) -> pa.Table:
+        shapes = _Shapes(table, span)
+        return packed.question(block, 0, shapes.hashes, shapes.held, parts)
+
+    return work
+
+
+def _judged(shapes: _Shapes, held: np.ndarray, span: int, least: int) -> pa.Table:
+    alone, spans = shapes.counts(held)
+    cuts = np.cumsum([len(s) for s in shapes.streams])[:-1]
+    pages = zip(shapes.bits, shapes.sizes, np.split(alone, cuts), np.split(spans, cuts))
+    found = [_gone(*page, span, least) for page in pages]
+    some = [i for i, gone in enumerate(found) if gone is not None]
+    return pa.table(
+        {
+            "host": pa.array([shapes.hosts[i] for i in some], pa.string()),
+            "shape_name": shapes.names.take(pa.array(some, pa.int64())),
+            "gone": pa.array([found[i].tolist() for i in some], pa.list_(pa.bool_())),
+        }
+    )
+
+
+def _host_boxes(span: int, least: int):
+    def work(table: pa.Table) -> pa.Table:
+        _, first = np.unique(table["shape_name"].to_numpy(), return_index=True)
+        shapes = _Shapes(table.take(pa.array(first)), span)
+        return _judged(shapes, shapes.held, span, least)
+
+    return work
+
+
+def _group_boxes(span: int, least: int, parts: int):
+    def work(block: int, table: pa.Table, told: pa.Table) -> pa.Table:
+        shapes = _Shapes(table, span)
+        return _judged(shapes, packed.answers(told, 0, shapes.hashes, parts), span, least)
+
+    return work
+
+
 def main_texts(
     pages: DataFrame, page: str = "html", url: str = "url", depth: int = REPEAT, least: int = PAGES, group_bytes: int = GROUP_BYTES
 ) -> DataFrame:
@@ -336,16 +503,38 @@ def main_texts(
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("page"), F.col(f"`{page}`").alias("html"),
         host(F.col(f"`{url}`")).alias("host"),
     )
-    marked = mapped(rows.select("page", "html"), "html", _parsed("html", False), "text string")
-    marked = marked.where("text is not null").select("page", "text")
-
     # Large hosts, with the number of their groups: at most one row for each ``group_bytes`` of html.
     sizes = rows.groupBy("host").agg(F.ceil(F.sum(F.octet_length("html")) / group_bytes).alias("groups"))
     large = F.broadcast(sizes.where("groups > 1"))
     rows = rows.withColumn("name", F.xxhash64("html"))
+    parts = packed.parts_of(pages)
+
+    def dealt_by(name: str) -> Column:
+        return F.pmod(F.xxhash64("host", F.pmod(name, "groups")), F.lit(2**31 - 1)).cast("int").alias("block")
+
+    # Every page's tags and blocks take part in the array of its host; equal pages are one. Of a large host they ask.
+    def shaped(some: DataFrame) -> DataFrame:
+        out = mapped(some, "html", _shaped("html"), "shape binary").where("length(shape) > 0")
+        return out.withColumn("shape_name", F.xxhash64("shape"))
+
+    boxes = "host string, shape_name long, gone array<boolean>"
+    own = shaped(rows.join(large, "host", "left_anti").select("host", "html")).select("host", "shape_name", "shape")
+    own = own.groupBy("host").applyInArrow(_host_boxes(SPAN, least), boxes)
+    shapes = shaped(rows.join(large, "host").select("host", "groups", "html")).groupBy("host", "shape_name").agg(
+        F.first("groups").alias("groups"), F.first("shape").alias("shape")
+    )
+    shapes = shapes.select(dealt_by("shape_name"), "host", "shape_name", "shape")
+    replies = packed.tallied(packed.each_block(shapes, _ask_boxes(SPAN, parts), packed.ASKED))
+    shared = packed.with_answers(shapes, replies, _group_boxes(SPAN, least, parts), boxes)
+
+    marked = mapped(rows.select("page", "host", "html"), "html", _marked("html"), "text string, shape binary")
+    marked = marked.where("text is not null").select("page", "host", "text", F.xxhash64("shape").alias("shape_name"))
+    left = F.filter(F.split("text", "\n"), lambda _, i: ~F.element_at("gone", i + 1))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    marked = marked.join(own.unionByName(shared), ["host", "shape_name"], "left").select("page", text.alias("text"))
 
     def parsed(some: DataFrame) -> DataFrame:
-        return mapped(some, "html", _parsed("html", True), "marked boolean, blocks array<string>")
+        return mapped(some, "html", _parsed("html"), "marked boolean, blocks array<string>")
 
     small = parsed(rows.join(large, "host", "left_anti"))
     small = small.select("host", "marked", "blocks", "name", F.when(~F.col("marked"), F.col("page")).alias("page"))
@@ -357,9 +546,7 @@ def main_texts(
     kinds = parsed(dealt.select("host", "name", "groups", "html")).groupBy("host", "name").agg(
         F.first("groups").alias("groups"), F.first("marked").alias("marked"), F.first("blocks").alias("blocks")
     )
-    block = F.pmod(F.xxhash64("host", F.pmod("name", "groups")), F.lit(2**31 - 1)).cast("int")
-    kinds = kinds.select(block.alias("block"), "host", "name", "marked", "blocks")
-    parts = packed.parts_of(pages)
+    kinds = kinds.select(dealt_by("name"), "host", "name", "marked", "blocks")
     replies = packed.tallied(packed.each_block(kinds, _ask(depth, parts), packed.ASKED))
     texts = packed.with_answers(kinds, replies, _group_texts(depth, least, parts), "host string, name long, text string")
     shared = dealt.select("host", "name", "page").join(texts, ["host", "name"]).select("page", "text")

@@ -157,3 +157,100 @@ def test_broken_pages_of_a_megabyte_take_no_longer(page):
     begin = time.process_time()
     pages.blocks(page)
     assert time.process_time() - begin < 3
+
+
+def boxed_page(k, story, box="<div class='x7'><p>Read this story and more in our new app</p><p>It costs nothing</p></div>"):
+    """An article with a box that no name tells, words of its own in a class, a paragraph and a section."""
+    return (
+        f"<div class=ad>Buy number {k}</div><article><h1>Title {k}</h1><div class='para'>{story}</div>{box}"
+        f"<p>As said before, all of this is well known.</p><div class='para'>End of {k} here</div></article><footer>Foot {k}</footer>"
+    )
+
+
+@pytest.mark.parametrize("group_bytes", [pages.GROUP_BYTES, 2000])
+def test_the_host_decides_on_boxes_in_marked_articles(spark, group_bytes):
+    story = {k: " ".join(f"w{k}x{i}" for i in range(20)) for k in range(60)}
+    rows = [(k, "http://h.net/", boxed_page(k, story[k])) for k in range(50)]
+    # A shared text of a class whose words differ elsewhere stays, and so does the box of a host that shows it once.
+    rows += [(k, "http://H.net/", boxed_page(k, story[k], "<div class='para'>Short and shared</div>")) for k in (50, 51)]
+    rows += [(52, "http://once.net/", boxed_page(52, story[52]))]
+    # A copy of an article, with a title of its own, keeps its text and loses the box.
+    rows += [(53, "http://h.net/", boxed_page(53, story[5]))]
+    # Two addresses of one article, one of them with a newer title: a copy repeats no host's box, and loses nothing.
+    copy = "<article><h1>News{}</h1><section class='body'><p>One of it</p><p>Two of it</p></section></article>"
+    rows += [(60, "http://copy.net/a", copy.format("")), (61, "http://copy.net/b", copy.format("")), (62, "http://copy.net/c", copy.format(" 2"))]
+    # An equal section is one page's own where its name stands once; without a name it is text like a paragraph.
+    rows += [(63, "http://own.net/", "<article><p>x y z</p><div><p>Shared</p></div></article>")]
+    rows += [(64, "http://own.net/", "<article><p>u v w q</p><div><p>Shared</p></div><section id='social-history'><p>s</p></section></article>")]
+    got = {r["page_id"]: r["text"] for r in pages.main_texts(spark.createDataFrame(rows, SCHEMA), group_bytes=group_bytes).collect()}
+    assert len(got) == len(rows)
+    said, box = "As said before, all of this is well known.", "Read this story and more in our new app\nIt costs nothing\n"
+    for k in range(50):
+        assert got[k] == f"Title {k}\n{story[k]}\n{said}\nEnd of {k} here"
+    assert got[53] == f"Title 53\n{story[5]}\n{said}\nEnd of 53 here"
+    for k in (50, 51):
+        assert got[k] == f"Title {k}\n{story[k]}\nShort and shared\n{said}\nEnd of {k} here"
+    assert got[52] == f"Title 52\n{story[52]}\n{box}{said}\nEnd of 52 here"
+    assert [got[k] for k in (60, 61, 62)] == ["News\nOne of it\nTwo of it"] * 2 + ["News 2\nOne of it\nTwo of it"]
+    assert (got[63], got[64]) == ("x y z\nShared", "u v w q\nShared\ns")
+
+
+def test_streams_hold_tags_with_class_and_id():
+    page = "<nav id=n>m</nav><article><div class='b a'><ul><li>x</ul></div><aside><div class=c>y</div></aside><section id=s>z"
+    assert pages.stream(page)[1] == [
+        ("tag", "nav id=n"), ("furniture", "m"), ("end", "nav"), ("box", "div class=a b"), ("tag", "ul"), ("article", "x"),
+        ("end", "ul"), ("end", "div"), ("tag", "aside"), ("tag", "div class=c"), ("furniture", "y"), ("end", "div"),
+        ("end", "aside"), ("box", "section id=s"), ("article", "z"), ("end", "section"),
+    ]
+
+
+def brute_boxes(streams, span, least):
+    """The words of ``_gone``'s rule, read page by page from all stretches."""
+    on = {}
+    for i, s in enumerate(streams):
+        for d in (1, span):
+            for a in range(len(s) - d + 1):
+                on.setdefault(tuple((k in ("box", "tag"), k == "end", t) for k, t in s[a : a + d]), set()).add(i)
+    pages_of = lambda s, a, d: len(on[tuple((k in ("box", "tag"), k == "end", t) for k, t in s[a : a + d])])
+    texts = []
+    for s in streams:
+        gone, open_ = set(), []
+        article = [i for i, (kind, _) in enumerate(s) if kind == "article"]
+        letters = sorted(pages_of(s, i, 1) for i in article for _ in s[i][1])
+        usual = letters[(len(letters) + 1) // 2 - 1]
+        for at, (kind, _) in enumerate(s):
+            if kind in ("box", "tag"):
+                open_.append(at)
+            elif kind == "end":
+                a = open_.pop()
+                whole = at - a + 1 >= span and all(pages_of(s, x, span) >= least for x in range(a, at - span + 2))
+                if s[a][0] == "box" and whole and pages_of(s, a, span) > usual and 2 * pages_of(s, a, span) >= pages_of(s, a, 1):
+                    gone |= set(range(a, at))
+        texts.append("\n".join(s[i][1] for i in article if i not in gone))
+    return texts
+
+
+def test_boxes_against_all_stretches(spark):
+    rng = np.random.default_rng(5)
+
+    def part(depth):
+        out = ""
+        for _ in range(rng.integers(1, 4)):
+            if depth and rng.random() < 0.5:
+                tag, name = [("div", " class=k1"), ("section", " class=k2"), ("ul", " id=k3"), ("div", "")][rng.integers(4)]
+                out += f"<{tag}{name}>{part(depth - 1)}</{tag}>"
+            else:
+                out += f"<p>{rng.choice(['aa bb', 'c'], p=[0.9, 0.1])}</p>"
+        return out
+
+    made = [f"<article><p>{'own ' * int(rng.integers(2, 12))}{k}</p>{part(2)}</article><div class=k1>{part(1)}</div>" for k in range(80)]
+    rows = [(k, f"http://{'ab'[k % 2]}.net/", html) for k, html in enumerate(made)]
+    want = {}
+    for site in range(2):
+        mine = range(site, 80, 2)
+        want |= dict(zip(mine, brute_boxes([pages.stream(made[k])[1] for k in mine], pages.SPAN, pages.PAGES)))
+    whole = {k: article(html) for k, html in enumerate(made)}
+    assert 5 < sum(want[k] != whole[k] for k in want) < 75
+    for size in (pages.GROUP_BYTES, 1500):
+        out = pages.main_texts(spark.createDataFrame(rows, SCHEMA), group_bytes=size).collect()
+        assert {r["page_id"]: r["text"] for r in out} == want
